@@ -44,7 +44,7 @@ def exact_median(c) -> Column:
     return quantile_expr(c, 0.5)
 
 
-def _stack(one_row: DataFrame, cols: list[str], stats: list[str], key: str = "column") -> DataFrame:
+def _stack(one_row: DataFrame, cols: list[str], stats: list[str], key: str = "column_name") -> DataFrame:
     """Turn ``<col>__<stat>`` fields of a one-row frame into rows ``(column, stat…)``."""
     parts = [F.struct(F.lit(c).alias(key), *[F.col(f"`{c}__{s}`").alias(s) for s in stats]) for c in cols]
     return one_row.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
@@ -63,7 +63,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, method: str =
                  q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
     row = df.agg(*aggs)
     long = _stack(row, cols, ["count", "mean", "std", "min", "q", "max"])
-    return long.select("column", "count", "mean", "std", "min",
+    return long.select("column_name", "count", "mean", "std", "min",
                        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
 
 
@@ -75,10 +75,10 @@ def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFr
     Tie on the top value → the smallest value.
     """
     cols = cols or string_columns(df)
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                                          for c in cols])).alias("r")).select("r.*")
-    per_value = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return per_value.groupBy("column").agg(
+    per_value = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return per_value.groupBy("column_name").agg(
         F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
         F.min_by("value", F.struct((-F.col("n")).alias("negn"), F.col("value"))).alias("top"),
         F.max("n").alias("freq"))
@@ -96,7 +96,7 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
             miss = miss | F.isnan(F.col(f"`{f.name}`"))
         aggs.append(F.sum(miss.cast("bigint")).alias(f"{f.name}__n_null"))
     row = df.agg(*aggs)
-    return _stack(row, cols, ["n_null"]).orderBy(F.desc("n_null"), F.asc("column"))
+    return _stack(row, cols, ["n_null"]).orderBy(F.desc("n_null"), F.asc("column_name"))
 
 
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -123,15 +123,15 @@ def select_by_correlation(df: DataFrame, target: str, threshold: float = 0.3,
     """Columns whose |corr| with ``target`` is strictly above ``threshold`` (fitted statistic:
     one row per column comes back to the driver)."""
     rows = target_correlations(df, target, cols).collect()
-    return [r["column"] for r in rows if r["r"] is not None and abs(r["r"]) > threshold]
+    return [r["column_name"] for r in rows if r["r"] is not None and abs(r["r"]) > threshold]
 
 
 def quantile_table(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact") -> DataFrame:
     """Long ``(column, p, value)`` table of quantiles, one aggregation pass."""
     row = df.agg(*[quantile_expr(c, probs, method).alias(f"{c}__q") for c in cols])
     long = _stack(row, cols, ["q"])
-    return long.select("column", F.posexplode("q").alias("k", "value")) \
-               .select("column", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("k") + 1).alias("p"),
+    return long.select("column_name", F.posexplode("q").alias("k", "value")) \
+               .select("column_name", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("k") + 1).alias("p"),
                        "value")
 
 
@@ -162,7 +162,7 @@ def boxplot_summary(df: DataFrame, cols: list[str], whisker: float = 1.5, method
     q = quantile_table(df, cols, [0.25, 0.5, 0.75], method).collect()
     stats: dict[str, dict[float, float]] = {}
     for r in q:
-        stats.setdefault(r["column"], {})[r["p"]] = r["value"]
+        stats.setdefault(r["column_name"], {})[r["p"]] = r["value"]
     aggs = []
     for c in cols:
         q1, q3 = stats[c][0.25], stats[c][0.75]
@@ -179,5 +179,5 @@ def boxplot_summary(df: DataFrame, cols: list[str], whisker: float = 1.5, method
     long = _stack(row, cols, ["lower_whisker", "upper_whisker", "n_outliers"])
     spark = df.sparkSession
     qdf = spark.createDataFrame([(c, stats[c][0.25], stats[c][0.5], stats[c][0.75]) for c in cols],
-                                "column string, q1 double, median double, q3 double")
-    return qdf.join(long, "column")
+                                "column_name string, q1 double, median double, q3 double")
+    return qdf.join(long, "column_name")

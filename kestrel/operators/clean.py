@@ -71,7 +71,8 @@ def fill_median(df: DataFrame, cols: list[str], medians: dict[str, float] | None
     """Replace NULLs by the column median (fitted on ``df`` unless ``medians`` is given,
     e.g. fitted on the training split and applied to the test split)."""
     m = medians if medians is not None else median_values(df, cols)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(m[c]).cast(df.schema[c].dataType)) for c in cols})
+    # a median of integers can fall between two of them: the filled column is DOUBLE
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m[c]).cast("double")) for c in cols})
 
 
 def mode_values(df: DataFrame, cols: list[str]) -> dict[str, object]:

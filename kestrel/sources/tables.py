@@ -43,3 +43,15 @@ def coordinates_view(embeddings: DataFrame) -> DataFrame:
         (e[1].cast("double") * 180.0).alias("pickup_longitude"),
         (e[2].cast("double") * 90.0).alias("dropoff_latitude"),
         (e[3].cast("double") * 180.0).alias("dropoff_longitude"))
+
+
+def lineitem_with_gaps(lineitem: DataFrame) -> DataFrame:
+    """Lineitem with NULLs injected by fixed rules (the test tables hold none):
+    line number 3 → NULL, discount NULL for order keys divisible by 7, return flag
+    NULL for order keys divisible by 5."""
+    k = F.col("l_orderkey")
+    return lineitem.withColumns({
+        "l_linenumber": F.nullif(F.col("l_linenumber"), F.lit(3)),
+        "l_discount": F.when(k % 7 != 0, F.col("l_discount")),
+        "l_returnflag": F.when(k % 5 != 0, F.col("l_returnflag")),
+    })
