@@ -136,3 +136,43 @@ def dickey_fuller_lag0(spark, sf):
     """Dickey–Fuller statistic per series from regression aggregates (W9, no lags)."""
     d = ts.dickey_fuller(monthly_log_totals(spark, sf))
     return d.withColumns({"beta": F.round("beta", R), "adf_stat": F.round("adf_stat", R)})
+
+
+# ---------------------------------------------------------------- per-series solvers (no SQL twin)
+from kestrel.operators import series_models as sm  # noqa: E402
+
+
+@register("monthly_partial_autocorrelation")
+def monthly_partial_autocorrelation(spark, sf):
+    """PACF for lags 0..20 per series by Durbin–Levinson over the ACF."""
+    return sm.partial_autocorrelation(monthly_log_totals(spark, sf), 20)
+
+
+@register("monthly_augmented_dickey_fuller")
+def monthly_augmented_dickey_fuller(spark, sf):
+    """Augmented Dickey–Fuller with AIC lag choice, MacKinnon p-value."""
+    return sm.augmented_dickey_fuller(monthly_log_totals(spark, sf))
+
+
+@register("arima_order_search")
+def arima_order_search(spark, sf):
+    """AIC over the order grid p, d, q ∈ 0..4 per series (failed fits skipped) and the best
+    order (W12, W13)."""
+    grid = sm.arima_order_grid(monthly_log_totals(spark, sf), 4, 4, 4)
+    return sm.best_orders(grid)
+
+
+@register("arima_fitted_vs_actual")
+def arima_fitted_vs_actual(spark, sf):
+    """ARIMA(1,1,0) on the log series: actual vs fitted monthly totals in units."""
+    f = sm.arima_fitted(monthly_log_totals(spark, sf), 1, 1, 0)
+    return f.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("ts"),
+                    F.exp("actual").alias("actual"), F.exp("fitted").alias("fitted"))
+
+
+@register("arima_monthly_forecast")
+def arima_monthly_forecast(spark, sf):
+    """Twelve months ahead from ARIMA(1,1,0) on the log series, back in units."""
+    f = sm.arima_forecast(monthly_log_totals(spark, sf), 1, 1, 0, 12)
+    return f.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("ts"), "step",
+                    F.exp("forecast").alias("forecast"))
