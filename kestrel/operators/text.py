@@ -16,7 +16,7 @@ import zipfile
 from functools import lru_cache
 
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, RegexTokenizer, StopWordsRemover, Tokenizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Token patterns.
@@ -103,7 +103,8 @@ def tfidf_long(long: DataFrame, doc: str, n_docs: int, term: str = "term", smoot
     """Vectoriser-style TF-IDF in long form: ``idf = ln((1+N)/(1+df)) + 1`` (smooth),
     weight = count · idf, then L2-normalised per document → ``(doc, term, weight)``."""
     dt = long.groupBy(doc, term).agg(F.count(F.lit(1)).alias("n"))
-    df_ = dt.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
+    # reading ``n`` keeps the two aggregates identical, so the tokenised shuffle is reused
+    df_ = dt.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
     if smooth:
         idf = F.ln((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     else:
@@ -112,8 +113,9 @@ def tfidf_long(long: DataFrame, doc: str, n_docs: int, term: str = "term", smoot
     w = dt.join(df_.select(term, idf.alias("idf")), term).select(doc, term, (tf * F.col("idf")).alias("w"))
     if not normalise:
         return w.withColumnRenamed("w", "weight")
-    norm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__norm"))
-    return w.join(norm, doc).select(doc, term, (F.col("w") / F.col("__norm")).alias("weight"))
+    # the norm is a window over one document's terms (bounded by its length): one shuffle
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
+    return w.select(doc, term, (F.col("w") / norm).alias("weight"))
 
 
 # MLlib stages (vector form) for model pipelines

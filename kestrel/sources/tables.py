@@ -11,11 +11,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Tables whose rows carry whole texts: per-row work (regex, tokenising) dominates.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan of one table; filters and projections push into the scan."""
+    """Lazy parquet scan of one table; filters and projections push into the scan.
+
+    A text table read into fewer scan partitions than the cluster has cores (few large
+    row groups) is spread round-robin first, so tokenising uses every core; on a
+    many-file input the scan already has enough partitions and nothing is added.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par)
+    return df
 
 
 def trip_text_view(orders: DataFrame) -> DataFrame:
