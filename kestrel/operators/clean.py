@@ -8,7 +8,7 @@ no join is needed to spread a scalar over the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,3 +128,9 @@ def scale_by_global_max(df: DataFrame, cols: list[str]) -> tuple[DataFrame, floa
     row = df.agg(F.greatest(*[F.max(F.col(c).cast("double")) for c in cols]).alias("m")).first()
     m = row["m"]
     return df.withColumns({c: F.col(c) / F.lit(m) for c in cols}), m
+
+
+def first_rows(df: DataFrame, order_by: list, n: int) -> DataFrame:
+    """The first ``n`` rows in an explicit order (``head``/``show`` made deterministic): a
+    distributed top-n (per-partition top-n, then a merge), never a full sort."""
+    return df.orderBy(*order_by).limit(n)

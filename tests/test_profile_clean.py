@@ -72,3 +72,8 @@ def test_correlation_pairwise_complete(spark):
     pdf, df = _frame(spark)
     r = agg.correlation_pairs(df, ["x", "y"]).first()["r"]
     assert math.isclose(r, pdf["x"].corr(pdf["y"]), rel_tol=1e-12)
+
+
+def test_first_rows_ordered(spark):
+    _, df = _frame(spark)
+    assert [r["id"] for r in clean.first_rows(df, [F.desc("x")], 2).collect()] == [9, 8]
