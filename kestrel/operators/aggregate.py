@@ -11,6 +11,8 @@ exact answer through a distributed sort.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,64 @@ def exact_median(c) -> Column:
     return quantile_expr(c, 0.5)
 
 
+def bracketed_quantiles(df: DataFrame, cols: list[str], probs, accuracy: int = 10000, extra_aggs=(),
+                        with_row: bool = False):
+    """Exact linear-interpolation quantiles without holding every distinct value in one buffer.
+
+    Pass 1 (one aggregate): counts and approximate quantiles at ``p ± 3/accuracy``, which
+    bracket the exact order statistics.  Pass 2 (one aggregate): per (column, p) the number
+    of values below the bracket and the few values inside it (about ``6·n/accuracy``).  The
+    exact value is read from the sorted bracket; if a bracket ever misses, that quantile
+    falls back to the exact ``percentile`` aggregate.  Returns ``{(column, p): value}``.
+    """
+    probs = [float(p) for p in probs]
+    eps = 3.0 / accuracy
+    edges = {p: (max(0.0, p - eps), min(1.0, p + eps)) for p in probs}
+    grid = sorted({e for pair in edges.values() for e in pair})
+    aggs = list(extra_aggs)
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"),
+                 F.percentile_approx(x, F.array(*[F.lit(g) for g in grid]), accuracy).alias(f"{c}__b")]
+    row = df.agg(*aggs).first()
+    need, aggs2 = {}, []
+    for c in cols:
+        n = row[f"{c}__n"]
+        if not n:
+            for p in probs:
+                need[(c, p)] = None
+            continue
+        b = dict(zip(grid, row[f"{c}__b"]))
+        x = F.col(c).cast("double")
+        for k, p in enumerate(probs):
+            lo_v, hi_v = b[edges[p][0]], b[edges[p][1]]
+            need[(c, p)] = (n, lo_v, hi_v, k)
+            aggs2 += [F.sum((x < F.lit(lo_v)).cast("bigint")).alias(f"{c}__{k}__below"),
+                      F.sort_array(F.collect_list(F.when(x.between(F.lit(lo_v), F.lit(hi_v)), x)))
+                       .alias(f"{c}__{k}__band")]
+    row2 = df.agg(*aggs2).first() if aggs2 else None
+    out, missed = {}, []
+    for (c, p), spec in need.items():
+        if spec is None:
+            out[(c, p)] = None
+            continue
+        n, _, _, k = spec
+        below, band = row2[f"{c}__{k}__below"] or 0, row2[f"{c}__{k}__band"]
+        pos = p * (n - 1)
+        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+        if below <= lo and hi < below + len(band):
+            lv, hv = band[lo - below], band[hi - below]
+            out[(c, p)] = lv if lo == hi else (hi - pos) * lv + (pos - lo) * hv
+        else:
+            missed.append((c, p))
+    if missed:
+        r = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(p)).alias(f"m{i}")
+                     for i, (c, p) in enumerate(missed)]).first()
+        for i, key in enumerate(missed):
+            out[key] = r[f"m{i}"]
+    return (out, row) if with_row else out
+
+
 def _stack(one_row: DataFrame, cols: list[str], stats: list[str], key: str = "column_name") -> DataFrame:
     """Turn ``<col>__<stat>`` fields of a one-row frame into rows ``(column, stat…)``."""
     parts = [F.struct(F.lit(c).alias(key), *[F.col(f"`{c}__{s}`").alias(s) for s in stats]) for c in cols]
@@ -52,17 +112,25 @@ def _stack(one_row: DataFrame, cols: list[str], stats: list[str], key: str = "co
 
 def describe_numeric(df: DataFrame, cols: list[str] | None = None, method: str = "exact") -> DataFrame:
     """pandas ``describe().T``: one row per numeric column with count, mean, std (sample),
-    min, 25 %, 50 %, 75 %, max."""
+    min, 25 %, 50 %, 75 %, max in one aggregation pass.  ``method='exact'`` uses the
+    ``percentile`` aggregate, ``'approx'`` ``percentile_approx``, and ``'bracketed'`` reads
+    exact quartiles with :func:`bracketed_quantiles` (moments ride along in its first pass)."""
     cols = cols or numeric_columns(df)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = quantile_expr(c, DESCRIBE_PROBS, method)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
-    row = df.agg(*aggs)
-    long = _stack(row, cols, ["count", "mean", "std", "min", "q", "max"])
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    spark = df.sparkSession
+    if method == "bracketed":
+        qs, row = bracketed_quantiles(df, cols, DESCRIBE_PROBS, extra_aggs=aggs, with_row=True)
+        data = [(c, row[f"{c}__count"], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
+                 qs[(c, 0.25)], qs[(c, 0.5)], qs[(c, 0.75)], row[f"{c}__max"]) for c in cols]
+        return spark.createDataFrame(data, "column_name string, count bigint, mean double, std double, min double, "
+                                           "p25 double, p50 double, p75 double, max double")
+    for c in cols:
+        aggs.append(quantile_expr(c, DESCRIBE_PROBS, method).alias(f"{c}__q"))
+    long = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max", "q"])
     return long.select("column_name", "count", "mean", "std", "min",
                        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
 
