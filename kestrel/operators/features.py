@@ -127,8 +127,8 @@ def split_stratified(df: DataFrame, key: str, label: str, test_fraction: float,
                         F.sum("__n").over(Window.partitionBy(label)).alias("__tot"))
     cut = cum.filter(F.col("__cum") >= F.lit(test_fraction) * F.col("__tot")) \
              .groupBy(label).agg(F.min("__b").alias("__cut"))
-    # one row per label value: a bounded broadcast
-    out = b.join(F.broadcast(cut), on=label, how="left")
+    # one row per label value; no hint — AQE broadcasts it when its measured size is small
+    out = b.join(cut, on=label, how="left")
     return out.withColumn(flag, F.coalesce(F.col("__b") <= F.col("__cut"), F.lit(False))).drop("__b", "__cut")
 
 
