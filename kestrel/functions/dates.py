@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 HYPHEN_FORMAT = "MM-dd-yyyy HH:mm:ss"        # e.g. 01-31-2017 07:00:00
 SLASH_FORMAT = "MM/dd/yyyy hh:mm:ss a"       # e.g. 02/01/2017 05:30:00 PM
 PEAK_HOURS = ((7, 9), (17, 20))              # inclusive ranges
-# Hour as written after the date in ``<a>-<b>-<c> <h>:<m>:<s>`` text (greedy groups).
-HYPHEN_HOUR_PATTERN = r"^(.*)-(.*)-(.*) (.*):(.*):(.*)"
 
 
 def _c(c) -> Column:
@@ -50,9 +48,11 @@ def peak_time(ts) -> Column:
 
 
 def text_hour(text) -> Column:
-    """Hour field of ``<a>-<b>-<c> <h>:<m>:<s>…`` text as INT (NULL when absent)."""
-    h = F.regexp_extract(_c(text), HYPHEN_HOUR_PATTERN, 4)
-    return F.trim(h).try_cast("int")
+    """Hour of hyphenated date-time text as INT (NULL when absent): the clock's first field."""
+    t = _c(text)
+    day, clock = F.split_part(t, F.lit(" "), F.lit(1)), F.split_part(t, F.lit(" "), F.lit(2))
+    dated = (F.size(F.split(day, "-")) == 3) & (F.size(F.split(clock, ":")) == 3)
+    return F.when(dated, F.split_part(clock, F.lit(":"), F.lit(1)).try_cast("int"))
 
 
 def peak_flag_text(text) -> Column:
@@ -69,10 +69,9 @@ def is_weekend(ts) -> Column:
 def quarter_start(label) -> Column:
     """``2000Q1`` → DATE 2000-01-01; other text → NULL."""
     s = _c(label)
-    y = F.regexp_extract(s, r"^(\d+)Q(\d)", 1).try_cast("int")
-    q = F.regexp_extract(s, r"^(\d+)Q(\d)", 2).try_cast("int")
-    return F.when(q.between(1, 4) & y.isNotNull(),
-                  F.make_date(y, (q - 1) * 3 + 1, F.lit(1)))
+    year = F.split_part(s, F.lit("Q"), F.lit(1)).try_cast("int")
+    quarter = F.split_part(s, F.lit("Q"), F.lit(2)).try_cast("int")
+    return F.when(year.isNotNull() & quarter.between(1, 4), F.make_date(year, quarter * 3 - 2, F.lit(1)))
 
 
 def parse_month(label) -> Column:

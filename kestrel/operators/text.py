@@ -10,15 +10,12 @@ Sparse weights stay long (never one column per term).
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, RegexTokenizer, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.stopwords import ENGLISH_STOP_WORDS
+
 # Token patterns.
 SENTENCE_END = r"([.!?])[ \n\t\r]+"          # a sentence ends at . ! ? followed by blanks
 SEP = "\u0001"
@@ -52,19 +49,9 @@ def whitespace_lower_tokens(text) -> Column:
     return F.split(F.lower(_c(text)), r"\s")
 
 
-@lru_cache(maxsize=None)
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """The stop-word list shipped with Spark MLlib, read from its jar (no JVM needed)."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in data.split("\n") if w)
-
-
 def remove_stop_words(tokens, stop_words=None) -> Column:
     """Drop stop words from a token array (case-insensitive on lower-cased tokens)."""
-    sw = list(stop_words if stop_words is not None else default_stop_words())
+    sw = list(stop_words if stop_words is not None else ENGLISH_STOP_WORDS)
     return F.filter(_c(tokens), lambda t: ~F.lower(t).isin(sw))
 
 
@@ -103,7 +90,6 @@ def tfidf_long(long: DataFrame, doc: str, n_docs: int, term: str = "term", smoot
     """Vectoriser-style TF-IDF in long form: ``idf = ln((1+N)/(1+df)) + 1`` (smooth),
     weight = count · idf, then L2-normalised per document → ``(doc, term, weight)``."""
     dt = long.groupBy(doc, term).agg(F.count(F.lit(1)).alias("n"))
-    # reading ``n`` keeps the two aggregates identical, so the tokenised shuffle is reused
     df_ = dt.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
     if smooth:
         idf = F.ln((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)

@@ -93,7 +93,7 @@ def stopword_filtered_text(spark, sf):
 
 def _stopword_sql() -> str:
     return f"""
-WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s'), lambda x: x NOT IN ({_sql_list(tx.default_stop_words())})) AS k
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s'), lambda x: x NOT IN ({_sql_list(tx.ENGLISH_STOP_WORDS)})) AS k
            FROM documents)
 SELECT doc_id, CAST(len(k) AS INTEGER) AS n_kept, CAST(length(array_to_string(k, ' ')) AS INTEGER) AS joined_len FROM t
 """

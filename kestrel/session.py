@@ -7,8 +7,8 @@ re-planned from measured sizes.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,8 +30,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if master and master.startswith("local"):
-        b = b.config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -40,8 +38,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must name a shared, reliable file system folder;
-    a machine-local fallback is only created for ``local[...]`` masters (tests).
+    On a cluster this setting must name a shared, reliable file system folder; where
+    it is unset, a folder is made only for a one-process master (``local``,
+    ``local[...]``), as in tests: there driver and tasks share one machine.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -49,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         d = _LOCAL_CKPT.get(sc.applicationId)
         if d is None:
@@ -63,3 +62,14 @@ def cut_lineage(df):
     """Materialise ``df`` to the shared checkpoint folder (reliable, survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage as ``cut_lineage`` does, but keeps the rows columnar: later reads
+    prune columns, push filters, and know the table's size for join planning.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/kestrel-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
