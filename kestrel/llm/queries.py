@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from kestrel.llm import exact_dedup, line_dedup, sharding
+import public_tokenizers
+
+from kestrel.llm import bpe, decontaminate, exact_dedup, line_dedup, sharding
 from kestrel.llm.common import read_table
 
 
@@ -11,6 +13,17 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark, sf_dir):
+    """Words of ``documents`` inside 13-word windows of ``benchmark``, and which documents that contaminates."""
+    return decontaminate.verdicts(decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
+
+
+def op5_byte_bpe(spark, sf_dir):
+    """``documents`` encoded and decoded with the 50k byte-level vocabulary."""
+    shared = bpe.tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip_digest(read_table(spark, sf_dir, "documents"), shared)
+
+
 def op6_sharding(spark, sf_dir):
     """``documents`` in 40 shards of near equal bytes, equal texts together."""
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
@@ -23,6 +36,8 @@ def op9_line_dedup(spark, sf_dir):
 
 LLM_REGISTRY = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.SQL),
+    "op3_decontamination": (op3_decontamination, decontaminate.SQL),
+    "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_sharding": (op6_sharding, None),
     "op9_line_dedup": (op9_line_dedup, line_dedup.SQL),
 }
