@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from kestrel.llm import bpe, decontaminate, exact_dedup, line_dedup, sharding
+from kestrel.llm import bpe, decontaminate, exact_dedup, line_dedup, ngram_join, sharding
 from kestrel.llm.common import read_table
 
 
@@ -13,6 +13,11 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard_join(spark, sf_dir):
+    """Near duplicates of ``documents`` by three-word shingles at 0.9: the component of each document."""
+    return ngram_join.linked_components(read_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op3_decontamination(spark, sf_dir):
     """Words of ``documents`` inside 13-word windows of ``benchmark``, and which documents that contaminates."""
     return decontaminate.verdicts(decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
@@ -36,6 +41,7 @@ def op9_line_dedup(spark, sf_dir):
 
 LLM_REGISTRY = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.SQL),
+    "op2_ngram_jaccard_join": (op2_ngram_jaccard_join, ngram_join.SQL),
     "op3_decontamination": (op3_decontamination, decontaminate.SQL),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_sharding": (op6_sharding, None),
