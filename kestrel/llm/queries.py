@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from kestrel.llm import bpe, decontaminate, exact_dedup, line_dedup, ngram_join, sharding
+from kestrel.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, sharding
 from kestrel.llm.common import read_table
 
 
@@ -23,6 +23,11 @@ def op3_decontamination(spark, sf_dir):
     return decontaminate.verdicts(decontaminate.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")))
 
 
+def op4_license_scan(spark, sf_dir):
+    """License phrases and notices in ``documents``."""
+    return license_scan.digest(license_scan.scan(read_table(spark, sf_dir, "documents")))
+
+
 def op5_byte_bpe(spark, sf_dir):
     """``documents`` encoded and decoded with the 50k byte-level vocabulary."""
     shared = bpe.tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -34,6 +39,11 @@ def op6_sharding(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark, sf_dir):
+    """Language of every document, learnt from the training fold of ``documents``."""
+    return language_id.held_out_predictions(read_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark, sf_dir):
     """Frequent long lines of ``documents`` dropped but in the largest document that holds them."""
     return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
@@ -43,7 +53,9 @@ LLM_REGISTRY = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.SQL),
     "op2_ngram_jaccard_join": (op2_ngram_jaccard_join, ngram_join.SQL),
     "op3_decontamination": (op3_decontamination, decontaminate.SQL),
+    "op4_license_scan": (op4_license_scan, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_sharding": (op6_sharding, None),
+    "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, line_dedup.SQL),
 }
