@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from kestrel.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, sharding
+from kestrel.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, quality, sharding, toxicity
 from kestrel.llm.common import read_table
 
 
@@ -39,6 +39,11 @@ def op6_sharding(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark, sf_dir):
+    """Expected grade and tail probability of every document, and whether it is kept."""
+    return quality.graded(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_language_id(spark, sf_dir):
     """Language of every document, learnt from the training fold of ``documents``."""
     return language_id.held_out_predictions(read_table(spark, sf_dir, "documents"))
@@ -49,6 +54,11 @@ def op9_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from the training fold of ``labels``."""
+    return toxicity.held_out_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 LLM_REGISTRY = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.SQL),
     "op2_ngram_jaccard_join": (op2_ngram_jaccard_join, ngram_join.SQL),
@@ -56,6 +66,8 @@ LLM_REGISTRY = {
     "op4_license_scan": (op4_license_scan, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_sharding": (op6_sharding, None),
+    "op7_quality_classifier": (op7_quality_classifier, None),
     "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, line_dedup.SQL),
+    "op10_toxicity": (op10_toxicity, None),
 }
