@@ -16,7 +16,7 @@ LIBRARY = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, spe
 
 
 def ids_of(text):
-    return [i for piece in regex.findall(P.PATTERN, text) for i in bpe.encode_piece(piece.encode(), TABLE)]
+    return [i for piece in regex.findall(P.PATTERN, text) for i in bpe.encode_piece(piece.encode(), TABLE, RANKS)]
 
 
 def test_hash_is_perfect_and_minimal():
