@@ -100,7 +100,7 @@ def _block(rows) -> dict:
 
 
 def _scan_texts(texts: list[bytes], block: dict, hashes: WordHashes, table: np.ndarray):
-    """Per text: its words, a mask of those inside an occurrence, and the items found."""
+    """Per text: its number of words, a mask of those inside an occurrence, and the items found (None: no occurrence)."""
     per_text = [words_of(t) for t in texts]
     ends = np.cumsum([len(w) for w in per_text])
     words = [w for ws in per_text for w in ws]
@@ -121,7 +121,7 @@ def _scan_texts(texts: list[bytes], block: dict, hashes: WordHashes, table: np.n
                 hit[i + size] -= 1
                 found.setdefault(k, set()).update(items)
     mask = np.cumsum(hit[:-1]) > 0
-    return [(len(ws), mask[end - len(ws):end], found.get(k, ())) for k, (ws, end) in enumerate(zip(per_text, ends.tolist()))]
+    return [(len(ws), mask[end - len(ws):end], found.get(k)) for k, (ws, end) in enumerate(zip(per_text, ends.tolist()))]
 
 
 def runs(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -139,8 +139,8 @@ def _scan(batches, block):
         n, spans, items = [], [], []
         for count, mask, found in _scan_texts(texts, block, hashes, table):
             n.append(count)
-            spans.append([{"start": a, "end": b} for a, b in (runs(mask) if found else ())])
-            items.append(sorted(x for x in found if x is not None))
+            spans.append([{"start": a, "end": b} for a, b in (runs(mask) if found is not None else ())])
+            items.append(sorted(found or ()))
         yield batch_of(schema, [part.column(0), n, spans, items])
 
 
@@ -218,7 +218,7 @@ def _clean(batches, block, text_col: str, mode: str):
     table = np.unpackbits(block["table"]).astype(bool)
     for part, texts in text_chunks(batches, text_col):
         results = _scan_texts(texts, block, hashes, table)
-        hits = [int(mask.sum()) if found else 0 for _, mask, found in results]
+        hits = [int(mask.sum()) if found is not None else 0 for _, mask, found in results]
         bad = [h > 0 and MIN_SHARE * h >= r[0] for h, r in zip(hits, results)]
         if mode == "documents":
             yield part.filter(pa.array([not x for x in bad]))
