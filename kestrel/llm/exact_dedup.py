@@ -55,11 +55,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without the rows that lose to an equal text; all columns stay as they are.
 
-    Only the ids to drop (null ids aside, see below) are joined back, so Spark may broadcast
-    them when they are few.  Of rows with a null id, each is kept: they cannot be told apart.
+    The ids to drop grow with the input, so they are merged with the documents by id, never
+    broadcast.  Of rows with a null id, each is kept: they cannot be told apart.
     """
     lost = exact_duplicates(docs, id_col, text_col, **how).filter("NOT kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(lost, id_col, "left_anti")
+    return docs.join(lost.hint("merge"), id_col, "left_anti")
 
 
 # Query ---------------------------------------------------------------------------------

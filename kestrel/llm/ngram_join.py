@@ -9,7 +9,8 @@
    band (and of the next one if it can link upwards).  Keys of one batch that meet are
    combined in the task; the rest are shuffled, sorted, and neighbours under a key become
    edges.  Components of those edges are clusters: no link runs between two clusters.
-3. Tiles.  Only members of clusters are read again.  A cluster is cut to blocks by size band
+3. Tiles.  Only members of clusters are read again; they grow with the input, so their ids are
+   merged with the documents, never broadcast.  A cluster is cut to blocks by size band
    and hash, bounded in documents and shingles; a tile is a pair of blocks whose sizes can
    link.  In a tile, bit counts of hashed bitmaps bound the overlap from above; what
    remains and is not yet connected is decided by intersecting the sorted arrays.
@@ -337,7 +338,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     clusters = connected_components(edges).toDF("d1", "cluster")
     members = stage_table(classes.filter("rep IS NOT NULL").join(clusters, "d1").select("cluster", "rep", "n"), "members")
 
-    candidates = src.withColumnRenamed("doc_id", "rep").join(members.select("rep"), "rep", "left_semi")
+    candidates = src.withColumnRenamed("doc_id", "rep").join(members.select("rep").hint("merge"), "rep", "left_semi")
     sets = stage_table(candidates.mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>"), "sets")
     links = _links(members, sets, num, den)
     found = stage_table(connected_components(links).toDF("rep", "component_id"), "components")
@@ -349,7 +350,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one document of each component, the one of the smallest id; all columns stay."""
     lost = linked_components(docs, id_col, text_col, **how).filter("component_id <> doc_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(lost, id_col, "left_anti")
+    return docs.join(lost.hint("merge"), id_col, "left_anti")
 
 
 SQL = r"""
