@@ -180,9 +180,13 @@ def _apply(batches):
 
 
 def kept_texts(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, sha, kept_text, kept_sha256`` of the documents that lose lines (``sha``: of the whole text)."""
+    """``doc_id, sha, kept_text, kept_sha256`` of the documents that lose lines (``sha``: of the whole text).
+
+    The documents that lose a line grow with the input, so the bitmaps are never broadcast:
+    texts and bitmaps are sorted and merged by id at every size.
+    """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return (src.join(bitmaps.select("doc_id", "keep_bitmap"), "doc_id")
+    return (src.join(bitmaps.select("doc_id", "keep_bitmap").hint("merge"), "doc_id")
             .mapInArrow(_apply, "doc_id long, sha string, kept_text string, kept_sha256 string"))
 
 
