@@ -48,6 +48,3 @@ def cap_tokens(text, n: int) -> Column:
     return F.array_join(F.slice(whitespace_tokens(text), 1, n), " ")
 
 
-def join_lines(text) -> Column:
-    """Replace line breaks by single blanks (whole-document text)."""
-    return F.regexp_replace(_c(text), r"\r?\n", " ")

@@ -1,23 +1,20 @@
 """Profiling aggregates: describe, null counts, correlations, quantiles, modes, box summaries.
 
-Each profile is ONE aggregation pass over the input (map-side partial
-aggregation, one small shuffle), then a reshape of the single result row into
-a long table.  Quantiles are exact by default (``percentile``: linear
-interpolation, equal to pandas / DuckDB ``quantile_cont``); ``method='approx'``
-switches to ``percentile_approx`` for columns with very many distinct values,
-and :func:`kestrel.operators.ordering.interpolated_quantiles_sorted` gives the
-exact answer through a distributed sort.
+Moments, counts and correlations are one aggregation pass (map-side partial
+aggregation, one small shuffle), then a reshape of the result row into a long
+table.  Quantiles are exact (linear interpolation, equal to pandas / DuckDB
+``quantile_cont``) and come from counts per distinct value: combined map-side,
+range-sorted, with running counts per partition, so no task holds a column.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-APPROX_ACCURACY = 100000
+from kestrel.session import stage_table
+
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
 
@@ -33,75 +30,46 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def quantile_expr(c, probs, method: str = "exact") -> Column:
-    """Quantile(s) of ``c``: a double for one probability, an array for several."""
-    col = _c(c).cast("double")
-    p = F.lit(probs) if isinstance(probs, (int, float)) else F.array(*[F.lit(float(x)) for x in probs])
-    if method == "approx":
-        return F.percentile_approx(col, p, APPROX_ACCURACY)
-    return F.percentile(col, p)
-
-
-def exact_median(c) -> Column:
-    return quantile_expr(c, 0.5)
-
+def quantiles(df: DataFrame, cols: list[str], probs, by: list[str] | None = None) -> DataFrame:
+    """``(by…, column_name, q)``: the exact quantiles of every column per group as an array.
 
-def bracketed_quantiles(df: DataFrame, cols: list[str], probs, accuracy: int = 10000, extra_aggs=(),
-                        with_row: bool = False):
-    """Exact linear-interpolation quantiles without holding every distinct value in one buffer.
-
-    Pass 1 (one aggregate): counts and approximate quantiles at ``p ± 3/accuracy``, which
-    bracket the exact order statistics.  Pass 2 (one aggregate): per (column, p) the number
-    of values below the bracket and the few values inside it (about ``6·n/accuracy``).  The
-    exact value is read from the sorted bracket; if a bracket ever misses, that quantile
-    falls back to the exact ``percentile`` aggregate.  Returns ``{(column, p): value}``.
+    All columns go through one job: unpivot, count per distinct value with map-side combine,
+    range sort, running counts inside each sorted partition plus the totals of the earlier
+    ones, and the two order statistics around each probability.  NULLs are left out; a
+    column (or group) without values has no row.
     """
+    by = by or []
     probs = [float(p) for p in probs]
-    eps = 3.0 / accuracy
-    edges = {p: (max(0.0, p - eps), min(1.0, p + eps)) for p in probs}
-    grid = sorted({e for pair in edges.values() for e in pair})
-    aggs = list(extra_aggs)
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"),
-                 F.percentile_approx(x, F.array(*[F.lit(g) for g in grid]), accuracy).alias(f"{c}__b")]
-    row = df.agg(*aggs).first()
-    need, aggs2 = {}, []
-    for c in cols:
-        n = row[f"{c}__n"]
-        if not n:
-            for p in probs:
-                need[(c, p)] = None
-            continue
-        b = dict(zip(grid, row[f"{c}__b"]))
-        x = F.col(c).cast("double")
-        for k, p in enumerate(probs):
-            lo_v, hi_v = b[edges[p][0]], b[edges[p][1]]
-            need[(c, p)] = (n, lo_v, hi_v, k)
-            aggs2 += [F.sum((x < F.lit(lo_v)).cast("bigint")).alias(f"{c}__{k}__below"),
-                      F.sort_array(F.collect_list(F.when(x.between(F.lit(lo_v), F.lit(hi_v)), x)))
-                       .alias(f"{c}__{k}__band")]
-    row2 = df.agg(*aggs2).first() if aggs2 else None
-    out, missed = {}, []
-    for (c, p), spec in need.items():
-        if spec is None:
-            out[(c, p)] = None
-            continue
-        n, _, _, k = spec
-        below, band = row2[f"{c}__{k}__below"] or 0, row2[f"{c}__{k}__band"]
-        pos = p * (n - 1)
-        lo, hi = int(math.floor(pos)), int(math.ceil(pos))
-        if below <= lo and hi < below + len(band):
-            lv, hv = band[lo - below], band[hi - below]
-            out[(c, p)] = lv if lo == hi else (hi - pos) * lv + (pos - lo) * hv
-        else:
-            missed.append((c, p))
-    if missed:
-        r = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(p)).alias(f"m{i}")
-                     for i, (c, p) in enumerate(missed)]).first()
-        for i, key in enumerate(missed):
-            out[key] = r[f"m{i}"]
-    return (out, row) if with_row else out
+    keys = [*by, "column_name"]
+    entry = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(*by, F.explode(entry).alias("e")).select(*by, "e.column_name", "e.value").filter("value IS NOT NULL")
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    runs = stage_table(counts.orderBy(*keys, "value").withColumn("part", F.spark_partition_id()), "distinct-values")
+    per = runs.groupBy(*keys, "part").agg(F.sum("n").alias("m"))
+    group = Window.partitionBy(*keys)
+    per = stage_table(per.select(*keys, "part", F.sum("m").over(group).alias("total"),
+                                 (F.sum("m").over(group.orderBy("part")) - F.col("m")).alias("before")), "partition-counts")
+    same = [runs[k].eqNullSafe(per[k]) for k in [*keys, "part"]]
+    at = runs.join(per, same).select(*[runs[k] for k in keys], "value", "n", "before", "total", runs["part"])
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("value"))
+    at = at.withColumn("upto", upto)
+
+    def statistic(index: Column) -> Column:
+        return F.max(F.when((F.col("upto") > index) & (F.col("upto") - F.col("n") <= index), F.col("value")))
+
+    stats, out = [], []
+    for i, p in enumerate(probs):
+        place = F.lit(p) * (F.col("total") - 1)
+        stats += [statistic(F.floor(place)).alias(f"lo{i}"), statistic(F.ceil(place)).alias(f"hi{i}"),
+                  F.max(place - F.floor(place)).alias(f"f{i}")]
+        out.append(F.col(f"lo{i}") + F.col(f"f{i}") * (F.col(f"hi{i}") - F.col(f"lo{i}")))
+    return at.groupBy(*keys).agg(*stats).select(*keys, F.array(*out).alias("q"))
+
+
+def quantile_values(df: DataFrame, cols: list[str], probs) -> dict[str, list[float | None]]:
+    """The quantiles of a few columns as numbers (a fitted statistic)."""
+    found = {r["column_name"]: r["q"] for r in quantiles(df, cols, probs).collect()}
+    return {c: found.get(c) or [None] * len(list(probs)) for c in cols}
 
 
 def _stack(one_row: DataFrame, cols: list[str], stats: list[str], key: str = "column_name") -> DataFrame:
@@ -110,29 +78,19 @@ def _stack(one_row: DataFrame, cols: list[str], stats: list[str], key: str = "co
     return one_row.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, method: str = "exact") -> DataFrame:
+def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """pandas ``describe().T``: one row per numeric column with count, mean, std (sample),
-    min, 25 %, 50 %, 75 %, max in one aggregation pass.  ``method='exact'`` uses the
-    ``percentile`` aggregate, ``'approx'`` ``percentile_approx``, and ``'bracketed'`` reads
-    exact quartiles with :func:`bracketed_quantiles` (moments ride along in its first pass)."""
+    min, 25 %, 50 %, 75 %, max."""
     cols = cols or numeric_columns(df)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    spark = df.sparkSession
-    if method == "bracketed":
-        qs, row = bracketed_quantiles(df, cols, DESCRIBE_PROBS, extra_aggs=aggs, with_row=True)
-        data = [(c, row[f"{c}__count"], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
-                 qs[(c, 0.25)], qs[(c, 0.5)], qs[(c, 0.75)], row[f"{c}__max"]) for c in cols]
-        return spark.createDataFrame(data, "column_name string, count bigint, mean double, std double, min double, "
-                                           "p25 double, p50 double, p75 double, max double")
-    for c in cols:
-        aggs.append(quantile_expr(c, DESCRIBE_PROBS, method).alias(f"{c}__q"))
-    long = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max", "q"])
-    return long.select("column_name", "count", "mean", "std", "min",
-                       F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+    moments = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    return (moments.join(quantiles(df, cols, DESCRIBE_PROBS), "column_name", "left")
+            .select("column_name", "count", "mean", "std", "min",
+                    F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max"))
 
 
 def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -194,19 +152,10 @@ def select_by_correlation(df: DataFrame, target: str, threshold: float = 0.3,
     return [r["column_name"] for r in rows if r["r"] is not None and abs(r["r"]) > threshold]
 
 
-def quantile_table(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact") -> DataFrame:
-    """Long ``(column, p, value)`` table of quantiles, one aggregation pass."""
-    row = df.agg(*[quantile_expr(c, probs, method).alias(f"{c}__q") for c in cols])
-    long = _stack(row, cols, ["q"])
-    return long.select("column_name", F.posexplode("q").alias("k", "value")) \
-               .select("column_name", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("k") + 1).alias("p"),
-                       "value")
-
-
-def global_max(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Per-column maxima and the largest of them (``sorted(df.max())[-1]``), one row."""
-    row = df.agg(*[F.max(c).alias(c) for c in cols])
-    return row.withColumn("global_max", F.greatest(*[F.col(c).cast("double") for c in cols]))
+def quantile_table(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Long ``(column, p, value)`` table of quantiles."""
+    return (quantiles(df, cols, probs).select("column_name", F.posexplode("q").alias("k", "value"))
+            .select("column_name", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("k") + 1).alias("p"), "value"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -223,17 +172,14 @@ def mode_value(df: DataFrame, col: str, by: list[str] | None = None) -> DataFram
                                    F.max("n").alias("freq"))
 
 
-def boxplot_summary(df: DataFrame, cols: list[str], whisker: float = 1.5, method: str = "exact") -> DataFrame:
+def boxplot_summary(df: DataFrame, cols: list[str], whisker: float = 1.5) -> DataFrame:
     """Numbers behind a box plot per column: q1, median, q3, whiskers at the most extreme
     points within ``whisker``·IQR of the box, outlier count.  Two passes: quartiles
     (fitted statistic), then one aggregate with the fences as literals."""
-    q = quantile_table(df, cols, [0.25, 0.5, 0.75], method).collect()
-    stats: dict[str, dict[float, float]] = {}
-    for r in q:
-        stats.setdefault(r["column_name"], {})[r["p"]] = r["value"]
+    stats = quantile_values(df, cols, [0.25, 0.5, 0.75])
     aggs = []
     for c in cols:
-        q1, q3 = stats[c][0.25], stats[c][0.75]
+        q1, _, q3 = stats[c]
         x = F.col(c).cast("double")
         if q1 is None:
             lo_f = hi_f = None
@@ -246,6 +192,6 @@ def boxplot_summary(df: DataFrame, cols: list[str], whisker: float = 1.5, method
     row = df.agg(*aggs)
     long = _stack(row, cols, ["lower_whisker", "upper_whisker", "n_outliers"])
     spark = df.sparkSession
-    qdf = spark.createDataFrame([(c, stats[c][0.25], stats[c][0.5], stats[c][0.75]) for c in cols],
+    qdf = spark.createDataFrame([(c, *stats[c]) for c in cols],
                                 "column_name string, q1 double, median double, q3 double")
     return qdf.join(long, "column_name")

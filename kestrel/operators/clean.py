@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.operators.aggregate import mode_value, quantile_expr
+from kestrel.operators.aggregate import quantile_values
 
 
 def split_by_type(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -22,36 +22,22 @@ def split_by_type(df: DataFrame) -> tuple[list[str], list[str]]:
     return num, txt
 
 
-def null_guard(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Keep rows where all ``cols`` are non-null (conjunctive ``isNotNull`` filter)."""
-    return df.dropna(how="any", subset=cols)
-
-
-def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """NaN → NULL for floating columns (aggregates then skip them, as pandas does)."""
-    fl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-          and (cols is None or f.name in cols)]
-    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in fl}) if fl else df
-
-
-def quantile_band_filter(df: DataFrame, cols: list[str], lo_p: float = 0.25, hi_p: float = 0.75,
-                         method: str = "exact") -> DataFrame:
+def quantile_band_filter(df: DataFrame, cols: list[str], lo_p: float = 0.25, hi_p: float = 0.75) -> DataFrame:
     """Closed-interval filter ``Q(lo_p) <= c <= Q(hi_p)`` applied column after column; each
     column's quantiles are computed on the frame already filtered by the previous ones."""
     out = df
     for c in cols:
-        q = out.agg(quantile_expr(c, [lo_p, hi_p], method).alias("q")).first()["q"]
-        if q is None or q[0] is None:
+        q = quantile_values(out, [c], [lo_p, hi_p])[c]
+        if q[0] is None:
             out = out.filter(F.lit(False))
             continue
         out = out.filter(F.col(c).between(F.lit(q[0]), F.lit(q[1])))
     return out
 
 
-def fence_filter(df: DataFrame, col: str, lower: float = 0.0, factor: float = 1.15, p: float = 0.75,
-                 method: str = "exact") -> DataFrame:
+def fence_filter(df: DataFrame, col: str, lower: float = 0.0, factor: float = 1.15, p: float = 0.75) -> DataFrame:
     """Open-interval fence ``lower < c < Q(p) * factor``."""
-    q = df.agg(quantile_expr(col, p, method).alias("q")).first()["q"]
+    q = quantile_values(df, [col], [p])[col][0]
     if q is None:
         return df.filter(F.lit(False))
     return df.filter((F.col(col) > F.lit(lower)) & (F.col(col) < F.lit(q * factor)))
@@ -62,9 +48,8 @@ def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 
 def median_values(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
-    """Exact median of each column (one aggregation pass)."""
-    row = df.agg(*[quantile_expr(c, 0.5).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    """Exact median of each column (all columns in one job)."""
+    return {c: q[0] for c, q in quantile_values(df, cols, [0.5]).items()}
 
 
 def fill_median(df: DataFrame, cols: list[str], medians: dict[str, float] | None = None) -> DataFrame:
@@ -76,12 +61,13 @@ def fill_median(df: DataFrame, cols: list[str], medians: dict[str, float] | None
 
 
 def mode_values(df: DataFrame, cols: list[str]) -> dict[str, object]:
-    """Most frequent value per column (ties → smallest), computed distributed per column."""
-    out = {}
-    for c in cols:
-        r = mode_value(df, c).first()
-        out[c] = None if r is None else r["mode"]
-    return out
+    """Most frequent value per column as text (ties → smallest), all columns in one job."""
+    entry = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = (df.select(F.explode(entry).alias("e")).select("e.*").filter("value IS NOT NULL")
+              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    top = counts.groupBy("column_name").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
+    found = dict(top.collect())
+    return {c: found.get(c) for c in cols}
 
 
 def fill_mode(df: DataFrame, cols: list[str], modes: dict[str, object] | None = None) -> DataFrame:

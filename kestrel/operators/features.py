@@ -12,12 +12,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators.ordering import global_index
+from kestrel.session import stage_table
 
 HASH_BUCKETS = 10000
+BROADCAST_LABELS = 10000      # one-row-per-label tables up to this size are broadcast
 
 
 # ---------------------------------------------------------------- label encoding
@@ -121,27 +123,34 @@ def split_stratified(df: DataFrame, key: str, label: str, test_fraction: float,
     counts — at most 10000 rows per label, whatever the data size."""
     b = df.withColumn("__b", hash_bucket(key, seed))
     counts = b.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    from pyspark.sql import Window
     w = Window.partitionBy(label).orderBy("__b")
     cum = counts.select(label, "__b", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("__cum"),
                         F.sum("__n").over(Window.partitionBy(label)).alias("__tot"))
     cut = cum.filter(F.col("__cum") >= F.lit(test_fraction) * F.col("__tot")) \
              .groupBy(label).agg(F.min("__b").alias("__cut"))
-    # one row per label value; no hint — AQE broadcasts it when its measured size is small
+    # one row per label value: broadcast while that is few, else joined by label
+    cut = stage_table(cut, "split-cuts")
+    if cut.count() <= BROADCAST_LABELS:
+        cut = F.broadcast(cut)
     out = b.join(cut, on=label, how="left")
     return out.withColumn(flag, F.coalesce(F.col("__b") <= F.col("__cut"), F.lit(False))).drop("__b", "__cut")
 
 
 def assign_folds(df: DataFrame, key: str | list[str], k: int, fold_col: str = "fold") -> DataFrame:
     """Contiguous k folds in key order (k-fold without shuffling): fold sizes equal
-    ``ntile(k)`` — the first ``n mod k`` folds hold one row more.  Distributed: global
-    positions come from a range-partitioned sort, no single-partition window."""
+    ``ntile(k)`` for unique keys — the first ``n mod k`` folds hold one row more.  Only the
+    keys are sorted; the k − 1 keys that start a fold are then applied as literals (rows of
+    equal key share a fold)."""
     keys = [key] if isinstance(key, str) else list(key)
-    idx = global_index(df, [F.col(c).asc() for c in keys], "__pos")
+    idx = global_index(df.select(*keys), [F.col(c).asc() for c in keys], "__pos")
     n = idx.count()
     q, r = divmod(n, k)
-    big = r * (q + 1)
-    pos = F.col("__pos")
-    fold = F.when(pos < big, F.floor(pos / F.lit(q + 1))) \
-            .otherwise(F.lit(r) + F.floor((pos - F.lit(big)) / F.lit(max(q, 1))))
-    return idx.withColumn(fold_col, fold.cast("int")).drop("__pos")
+    starts = [min(f, r) * (q + 1) + max(f - r, 0) * q for f in range(1, k)]
+    first = {x["__pos"]: x for x in idx.filter(F.col("__pos").isin([s for s in starts if s < n])).collect()}
+    row = F.struct(*[F.col(c) for c in keys])
+    fold = F.lit(0)
+    for s in starts:
+        if s in first:
+            bound = F.struct(*[F.lit(first[s][c]).cast(df.schema[c].dataType).alias(c) for c in keys])
+            fold = fold + (row >= bound).cast("int")
+    return df.withColumn(fold_col, fold.cast("int"))

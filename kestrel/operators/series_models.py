@@ -125,7 +125,7 @@ def augmented_dickey_fuller(df: DataFrame, max_lag: int | None = None, series: s
         try:
             tau, lag, nobs = adf_statistic(y, max_lag)
             p = mackinnon_p(tau)
-        except Exception:  # noqa: BLE001  (too short or singular series)
+        except (ValueError, np.linalg.LinAlgError, ZeroDivisionError):  # too short or singular
             tau, lag, nobs, p = float("nan"), -1, len(y), float("nan")
         return pd.DataFrame({series: [pdf[series].iloc[0]], "adf_stat": [tau], "used_lag": [lag], "n_obs": [nobs],
                              "p_value": [p], "crit_1pct": [ADF_CRITICAL[0]], "crit_5pct": [ADF_CRITICAL[1]],
@@ -141,24 +141,27 @@ def _lags(x: np.ndarray, t: int, k: int) -> list[float]:
     return [x[t - i] for i in range(1, k + 1)]
 
 
-def arima_fit(y: np.ndarray, p: int, d: int, q: int, horizon: int = 0):
+def arima_fit(y: np.ndarray, p: int, d: int, q: int, horizon: int = 0, p_max: int | None = None, q_max: int | None = None):
     """Conditional least squares ARIMA(p, d, q) with a constant; MA terms by Hannan–Rissanen
-    (long autoregression residuals as regressors).  Returns (aic, fitted levels aligned with
-    ``y`` — NaN where undefined —, forecasts of ``horizon`` future levels)."""
+    (long autoregression residuals as regressors).  All orders up to (p_max, d, q_max) are
+    fitted to the same rows, so their AICs compare.  Returns (aic, fitted levels aligned with
+    ``y`` — NaN where undefined —, forecasts of ``horizon`` future levels); raises
+    ``ValueError`` for a series too short for the order."""
+    p_max, q_max = p if p_max is None else p_max, q if q_max is None else q_max
     y = np.asarray(y, dtype=float)
     z = np.diff(y, n=d) if d else y.copy()
     n = len(z)
     e = np.zeros(n)
-    start = p
-    if q > 0:
-        m = max(p + q, min(int(10 * math.log10(max(n, 10))), n // 4))
+    start = p_max
+    if q_max > 0:
+        m = max(p_max + q_max, min(int(10 * math.log10(max(n, 10))), n // 4))
         if n - m <= m + 1:
             raise ValueError("series too short")
         ya = np.array([z[t] for t in range(m, n)])
         xa = np.array([[1.0] + _lags(z, t, m) for t in range(m, n)])
         _, ra = _ols(ya, xa)
         e[m:] = ra
-        start = m + q
+        start = m + q_max
     rows = range(start, n)
     if len(rows) <= 1 + p + q:
         raise ValueError("series too short")
@@ -175,12 +178,9 @@ def arima_fit(y: np.ndarray, p: int, d: int, q: int, horizon: int = 0):
     e_full[start:] = res
     # fitted levels: undo the differencing with the observed history
     fitted = np.full(len(y), np.nan)
-    if d == 0:
-        fitted[:] = zhat
-    elif d == 1:
-        fitted[1:] = y[:-1] + zhat
-    else:
-        fitted[2:] = 2 * y[1:-1] - y[:-2] + zhat
+    fitted[d:] = zhat
+    for k in range(1, d + 1):
+        fitted[d:] += (-1) ** (k + 1) * math.comb(d, k) * y[d - k:len(y) - k]
     fc = []
     if horizon:
         zz, ee = list(z), list(e_full)
@@ -190,7 +190,6 @@ def arima_fit(y: np.ndarray, p: int, d: int, q: int, horizon: int = 0):
             zz.append(float(np.dot(beta, x)))
             ee.append(0.0)
         zf = np.array(zz[n:])
-        lv = y.copy()
         if d == 0:
             fc = zf
         else:
@@ -202,13 +201,12 @@ def arima_fit(y: np.ndarray, p: int, d: int, q: int, horizon: int = 0):
             for level in reversed(hist):
                 cur = level[-1] + np.cumsum(cur)
             fc = cur
-        del lv
     return aic, fitted, np.asarray(fc, dtype=float)
 
 
 def arima_order_grid(df: DataFrame, p_max: int = 4, d_max: int = 4, q_max: int = 4, series: str = S, ts: str = T,
                      value: str = V) -> DataFrame:
-    """AIC of every order (p, d, q) per series; failed fits give NULL AIC."""
+    """AIC of every order (p, d, q) per series; an order that cannot be fitted gives a NULL AIC and the reason."""
     orders = [(p, d, q) for p in range(p_max + 1) for d in range(d_max + 1) for q in range(q_max + 1)]
     grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q")) for p, d, q in orders])
     rep = df.select(series, ts, value, F.explode(grid).alias("o")).select(series, ts, value, "o.p", "o.d", "o.q")
@@ -216,15 +214,14 @@ def arima_order_grid(df: DataFrame, p_max: int = 4, d_max: int = 4, q_max: int =
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts)
         p, d, q = int(pdf["p"].iloc[0]), int(pdf["d"].iloc[0]), int(pdf["q"].iloc[0])
+        aic, reason = None, None
         try:
-            aic, _, _ = arima_fit(pdf[value].to_numpy(dtype=float), p, d, q)
-            if not np.isfinite(aic):
-                aic = None
-        except Exception:  # noqa: BLE001  (skip failures, as the grid search does)
-            aic = None
-        return pd.DataFrame({series: [pdf[series].iloc[0]], "p": [p], "d": [d], "q": [q], "aic": [aic]})
+            aic, _, _ = arima_fit(pdf[value].to_numpy(dtype=float), p, d, q, p_max=p_max, q_max=q_max)
+        except (ValueError, np.linalg.LinAlgError) as ex:
+            reason = str(ex)
+        return pd.DataFrame({series: [pdf[series].iloc[0]], "p": [p], "d": [d], "q": [q], "aic": [aic], "reason": [reason]})
 
-    return rep.groupBy(series, "p", "d", "q").applyInPandas(fit, f"{series} string, p int, d int, q int, aic double")
+    return rep.groupBy(series, "p", "d", "q").applyInPandas(fit, f"{series} string, p int, d int, q int, aic double, reason string")
 
 
 def best_orders(grid: DataFrame, series: str = S) -> DataFrame:
@@ -242,7 +239,7 @@ def arima_fitted(df: DataFrame, p: int, d: int, q: int, series: str = S, ts: str
         y = pdf[value].to_numpy(dtype=float)
         try:
             _, fitted, _ = arima_fit(y, p, d, q)
-        except Exception:  # noqa: BLE001
+        except (ValueError, np.linalg.LinAlgError):  # too short
             fitted = np.full(len(y), np.nan)
         return pd.DataFrame({series: pdf[series].to_numpy(), ts: pdf[ts].to_numpy(), "actual": y, "fitted": fitted})
 
@@ -259,7 +256,7 @@ def arima_forecast(df: DataFrame, p: int, d: int, q: int, horizon: int, months_p
         y = pdf[value].to_numpy(dtype=float)
         try:
             _, _, fc = arima_fit(y, p, d, q, horizon)
-        except Exception:  # noqa: BLE001
+        except (ValueError, np.linalg.LinAlgError):  # too short
             fc = np.full(horizon, np.nan)
         return pd.DataFrame({series: pdf[series].iloc[0], "step": np.arange(1, horizon + 1, dtype="int32"),
                              "forecast": fc})

@@ -10,11 +10,12 @@ Sparse weights stay long (never one column per term).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, RegexTokenizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, IDF, Tokenizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.stopwords import ENGLISH_STOP_WORDS
+from kestrel.session import stage_table
 
 # Token patterns.
 SENTENCE_END = r"([.!?])[ \n\t\r]+"          # a sentence ends at . ! ? followed by blanks
@@ -74,7 +75,7 @@ def term_counts(long: DataFrame, doc: str, term: str = "term", min_df: int = 1,
     """Long count matrix ``(doc, term, n)`` with document-frequency limits and a vocabulary
     cap by corpus frequency.  An integer ``max_df`` is an absolute document count
     (terms in more documents are dropped); a float is a share of ``n_docs``."""
-    dt = long.groupBy(doc, term).agg(F.count(F.lit(1)).alias("n"))
+    dt = stage_table(long.groupBy(doc, term).agg(F.count(F.lit(1)).alias("n")), "term-counts")
     stats = dt.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
     keep = stats.filter(F.col("df") >= min_df)
     if max_df is not None:
@@ -82,15 +83,16 @@ def term_counts(long: DataFrame, doc: str, term: str = "term", min_df: int = 1,
         keep = keep.filter(F.col("df") <= F.lit(lim))
     if max_features is not None:
         keep = keep.orderBy(F.desc("tf"), F.asc(term)).limit(max_features)
-    return dt.join(keep.select(term), term, "left_semi")
+    return dt.join(keep.select(term), term, "left_semi").select(doc, term, "n")
 
 
 def tfidf_long(long: DataFrame, doc: str, n_docs: int, term: str = "term", smooth: bool = True,
                sublinear: bool = False, normalise: bool = True) -> DataFrame:
     """Vectoriser-style TF-IDF in long form: ``idf = ln((1+N)/(1+df)) + 1`` (smooth),
     weight = count · idf, then L2-normalised per document → ``(doc, term, weight)``."""
-    dt = long.groupBy(doc, term).agg(F.count(F.lit(1)).alias("n"))
-    df_ = dt.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf"))
+    # staged: the texts are read and tokenised once for the document frequencies and the weights
+    dt = stage_table(long.groupBy(doc, term).agg(F.count(F.lit(1)).alias("n")), "term-counts")
+    df_ = dt.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
     if smooth:
         idf = F.ln((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     else:
@@ -109,26 +111,6 @@ def tokenizer(inp: str, out: str = "words") -> Tokenizer:
     return Tokenizer(inputCol=inp, outputCol=out)
 
 
-def term_tokenizer(inp: str, out: str = "words", unicode: bool = True) -> RegexTokenizer:
-    return RegexTokenizer(inputCol=inp, outputCol=out, pattern=UNICODE_TERM if unicode else ASCII_TERM,
-                          gaps=False, toLowercase=True)
-
-
-def stop_word_remover(inp: str, out: str = "filtered", words=None) -> StopWordsRemover:
-    r = StopWordsRemover(inputCol=inp, outputCol=out)
-    if words is not None:
-        r.setStopWords(list(words))
-    return r
-
-
-def count_vectorizer(inp: str, out: str = "tf", min_df: float = 1.0, max_df: float | None = None,
-                     vocab_size: int = 1 << 18) -> CountVectorizer:
-    cv = CountVectorizer(inputCol=inp, outputCol=out, minDF=min_df, vocabSize=vocab_size)
-    if max_df is not None:
-        cv.setMaxDF(max_df)
-    return cv
-
-
 def hashing_tf(inp: str, out: str = "tf", num_features: int = 20) -> HashingTF:
     return HashingTF(inputCol=inp, outputCol=out, numFeatures=num_features)
 

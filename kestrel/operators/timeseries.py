@@ -91,6 +91,18 @@ def complete_calendar(df: DataFrame, unit: str = "day", series: str = S, ts: str
     return grid.join(df, on=[series, ts], how="left")
 
 
+def partial_date(df: DataFrame, part: str, ts: str = T) -> DataFrame:
+    """Rows of one year (``"1995"``) or month (``"1995-06"``): a closed-open range on ``ts``."""
+    year, _, month = part.partition("-")
+    lo = F.make_date(F.lit(int(year)), F.lit(int(month or 1)), F.lit(1))
+    return df.filter((F.col(ts) >= lo) & (F.col(ts) < F.add_months(lo, 1 if month else 12)))
+
+
+def constant_over_index(df: DataFrame, value: str = V, series: str = S, out: str = "level") -> DataFrame:
+    """The series' mean repeated over its index (the flat line a series is compared with)."""
+    return df.join(df.groupBy(series).agg(F.avg(value).alias(out)), series)
+
+
 def seasonal_decompose(df: DataFrame, period: int = 12, series: str = S, ts: str = T, value: str = V) -> DataFrame:
     """Additive classical decomposition: centred moving-average trend (2×period for an even
     period), per-phase mean of the detrended values centred to sum 0, residual."""

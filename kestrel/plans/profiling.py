@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators import aggregate as agg
 from kestrel.operators import clean
 from kestrel.plans.registry import register
 from kestrel.sources.files import profile_shape
-from kestrel.sources.tables import lineitem_with_gaps, load
+from kestrel.sources.tables import TABLES, lineitem_with_gaps, load
 
 R = 6
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -56,17 +59,21 @@ def part_describe_categorical(spark, sf):
 
 
 GAPS = ["l_orderkey", "l_linenumber", "l_discount", "l_returnflag", "l_quantity"]
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                    "l_returnflag", "l_linestatus", "l_shipdate"]
 _GAPS_SQL = """(SELECT l_orderkey, nullif(l_linenumber, 3) AS l_linenumber,
   CASE WHEN l_orderkey % 7 <> 0 THEN l_discount END AS l_discount,
   CASE WHEN l_orderkey % 5 <> 0 THEN l_returnflag END AS l_returnflag, l_quantity FROM lineitem)"""
+_ALL_GAPS_SQL = """(SELECT * REPLACE (nullif(l_linenumber, 3) AS l_linenumber,
+  CASE WHEN l_orderkey % 7 <> 0 THEN l_discount END AS l_discount,
+  CASE WHEN l_orderkey % 5 <> 0 THEN l_returnflag END AS l_returnflag) FROM lineitem)"""
 
 
 @register("null_count_profile", sql=f"""
-WITH g AS {_GAPS_SQL}
-""" + _union_sql("SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null FROM g", GAPS))
+WITH g AS {_ALL_GAPS_SQL}
+""" + _union_sql("SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null FROM g", LINEITEM_COLUMNS))
 def null_count_profile(spark, sf):
-    g = lineitem_with_gaps(load(spark, sf, "lineitem")).select(*GAPS)
-    return agg.null_counts(g)
+    return agg.null_counts(lineitem_with_gaps(load(spark, sf, "lineitem")))
 
 
 @register("lineitem_correlations", sql="\nUNION ALL\n".join(
@@ -83,8 +90,10 @@ def lineitem_correlations(spark, sf):
 def price_correlation_selection(spark, sf):
     """Target correlations and the |r| > 0.3 column selection (threshold projection)."""
     li = load(spark, sf, "lineitem")
-    t = agg.target_correlations(li, "l_extendedprice", ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey"])
-    return t.select("column_name", F.round("r", R).alias("r"), (F.abs("r") > 0.3).alias("kept"))
+    cols = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey"]
+    kept = agg.select_by_correlation(li, "l_extendedprice", 0.3, cols)
+    t = agg.target_correlations(li, "l_extendedprice", cols)
+    return t.select("column_name", F.round("r", R).alias("r"), F.col("column_name").isin(kept).alias("kept"))
 
 
 PROBS = [0.1, 0.25, 0.5, 0.75, 1.0]
@@ -104,11 +113,12 @@ FROM lineitem GROUP BY 1
 """)
 def mean_median_by_status(spark, sf):
     li = load(spark, sf, "lineitem")
-    return li.groupBy("l_linestatus").agg(
-        F.round(F.avg("l_extendedprice"), R).alias("mean_price"),
-        F.round(agg.exact_median("l_extendedprice"), R).alias("median_price"),
-        F.round(F.avg("l_quantity"), R).alias("mean_qty"),
-        F.round(agg.exact_median("l_quantity"), R).alias("median_qty"))
+    means = li.groupBy("l_linestatus").agg(F.round(F.avg("l_extendedprice"), R).alias("mean_price"),
+                                           F.round(F.avg("l_quantity"), R).alias("mean_qty"))
+    q = agg.quantiles(li, ["l_extendedprice", "l_quantity"], [0.5], by=["l_linestatus"])
+    medians = q.groupBy("l_linestatus").agg(*[F.round(F.max(F.when(F.col("column_name") == c, F.col("q")[0])), R).alias(n)
+                                              for c, n in (("l_extendedprice", "median_price"), ("l_quantity", "median_qty"))])
+    return means.join(medians, "l_linestatus").select("l_linestatus", "mean_price", "median_price", "mean_qty", "median_qty")
 
 
 @register("global_max_scaling", sql="""
@@ -214,18 +224,13 @@ def split_filter_align(spark, sf):
     return _r(out, ["acctbal"])
 
 
-@register("table_shapes", sql="""
-SELECT 'lineitem' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS n_rows,
-       (SELECT CAST(count(*) AS BIGINT) FROM information_schema.columns WHERE table_name = 'lineitem') AS n_cols
-UNION ALL
-SELECT 'orders', (SELECT CAST(count(*) AS BIGINT) FROM orders),
-       (SELECT CAST(count(*) AS BIGINT) FROM information_schema.columns WHERE table_name = 'orders')
-""")
+@register("table_shapes", sql="\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM {t}) AS n_rows, "
+    f"(SELECT CAST(count(*) AS BIGINT) FROM information_schema.columns WHERE table_name = '{t}') AS n_cols" for t in TABLES))
 def table_shapes(spark, sf):
-    """Shape of each table (row count from a scan, column count from the schema)."""
-    parts = [profile_shape(load(spark, sf, t)).select(F.lit(t).alias("table_name"), "n_rows", "n_cols")
-             for t in ("lineitem", "orders")]
-    return parts[0].unionByName(parts[1])
+    """Shape of every given table (row count from a scan, column count from the schema)."""
+    parts = [profile_shape(load(spark, sf, t)).select(F.lit(t).alias("table_name"), "n_rows", "n_cols") for t in TABLES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("aligned_daily_sum", sql="""

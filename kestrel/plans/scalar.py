@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kestrel import functions as kf
-from kestrel.operators.aggregate import exact_median
+from kestrel.operators.aggregate import quantiles
 from kestrel.plans.registry import register
 from kestrel.sources.tables import coordinates_view, load, trip_text_view
 
@@ -33,10 +33,10 @@ def trip_peak_weekend_summary(spark, sf):
     """Flagship: two-format time text → month filter → null guard → weekend/peak groups."""
     f = _trips(spark, sf).filter(kf.in_month("ts", 1)).dropna(subset=["ts", "amount"])
     f = f.withColumns({"weekend": kf.is_weekend("ts"), "peak_time": kf.peak_time("ts")})
-    return (f.groupBy("weekend", "peak_time")
-             .agg(F.count(F.lit(1)).alias("n_trips"),
-                  F.round(F.avg("amount"), R).alias("mean_amount"),
-                  F.round(exact_median("amount"), R).alias("median_amount")))
+    keys = ["weekend", "peak_time"]
+    counts = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_trips"), F.round(F.avg("amount"), R).alias("mean_amount"))
+    return counts.join(quantiles(f, ["amount"], [0.5], by=keys), keys) \
+                 .select(*keys, "n_trips", "mean_amount", F.round(F.col("q")[0], R).alias("median_amount"))
 
 
 @register("trip_text_features", sql="""
@@ -158,7 +158,7 @@ def numeric_transforms(spark, sf):
 
 
 @register("money_text_roundtrip", sql="""
-SELECT o_orderkey, round(o_totalprice, 2) AS amount, length(format('{:,.2f}', o_totalprice)) AS text_len,
+SELECT o_orderkey, round(o_totalprice, 2) AS amount, CAST(length(format('{:,.2f}', o_totalprice)) AS INTEGER) AS text_len,
        upper(o_orderpriority) AS priority_upper, CAST(o_custkey AS VARCHAR) AS cust_text,
        regexp_extract(o_orderpriority, '^(\\d)-', 1) AS priority_digit
 FROM orders

@@ -109,15 +109,15 @@ p AS (SELECT series_id, value, row_number() OVER (PARTITION BY series_id ORDER B
 s AS (SELECT series_id, avg(value) AS mu, count(*) AS n FROM p GROUP BY 1),
 c AS (SELECT p.series_id, pos, value - mu AS d, n FROM p JOIN s ON p.series_id = s.series_id),
 den AS (SELECT series_id, sum(d * d) AS ss FROM c GROUP BY 1),
-lags AS (SELECT CAST(unnest(range(0, 21)) AS INTEGER) AS lag),
+lags AS (SELECT CAST(unnest(range(0, 51)) AS INTEGER) AS lag),
 num AS (SELECT a.series_id, lag, sum(a.d * b.d) AS num
         FROM c a CROSS JOIN lags LEFT JOIN c b ON a.series_id = b.series_id AND b.pos = a.pos - lag
         WHERE lag < a.n GROUP BY 1, 2)
 SELECT num.series_id, lag, round(coalesce(num, 0) / ss, 6) AS acf FROM num JOIN den ON num.series_id = den.series_id
 """)
 def monthly_autocorrelation(spark, sf):
-    """Autocorrelation for lags 0..20 per series."""
-    a = ts.autocorrelation(monthly_log_totals(spark, sf), 20)
+    """Autocorrelation for lags 0..50 per series."""
+    a = ts.autocorrelation(monthly_log_totals(spark, sf), 50)
     return a.withColumn("acf", F.round("acf", R))
 
 
@@ -138,14 +138,45 @@ def dickey_fuller_lag0(spark, sf):
     return d.withColumns({"beta": F.round("beta", R), "adf_stat": F.round("adf_stat", R)})
 
 
+@register("monthly_year_slice", sql=f"""
+WITH {MONTHLY_SQL}
+SELECT series_id, strftime(ts, '%Y-%m-%d') AS ts, round(value, 6) AS value FROM m WHERE year(ts) = 1995
+""")
+def monthly_year_slice(spark, sf):
+    """Partial-date slice: all periods of one year."""
+    return _out(ts.partial_date(monthly_log_totals(spark, sf), "1995").select("series_id", "ts", "value"), ["value"])
+
+
+@register("monthly_mean_line", sql=f"""
+WITH {MONTHLY_SQL}
+SELECT series_id, strftime(ts, '%Y-%m-%d') AS ts, round(value, 6) AS value, round(avg(value) OVER (PARTITION BY series_id), 6) AS level FROM m
+""")
+def monthly_mean_line(spark, sf):
+    """The series' mean as a constant over its index."""
+    return _out(ts.constant_over_index(monthly_log_totals(spark, sf)).select("series_id", "ts", "value", "level"), ["value", "level"])
+
+
+@register("daily_calendar", sql="""
+WITH d AS (SELECT event_type AS series_id, CAST(date_trunc('day', ts) AS DATE) AS ts, sum(value) AS value FROM events GROUP BY 1, 2),
+g AS (SELECT * FROM d WHERE day(ts) % 4 <> 0),
+b AS (SELECT series_id, min(ts) AS lo, max(ts) AS hi FROM g GROUP BY 1),
+c AS (SELECT series_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS ts FROM b)
+SELECT c.series_id, strftime(c.ts, '%Y-%m-%d') AS ts, round(g.value, 6) AS value FROM c LEFT JOIN g ON c.series_id = g.series_id AND c.ts = g.ts
+""")
+def daily_calendar(spark, sf):
+    """Daily sums without every 4th day of the month, put back on a full calendar as gaps."""
+    d = ts.to_period_series(load(spark, sf, "events"), "event_type", "ts", "value", "day")
+    return _out(ts.complete_calendar(d.filter(F.dayofmonth("ts") % 4 != 0)).select("series_id", "ts", "value"), ["value"])
+
+
 # ---------------------------------------------------------------- per-series solvers (no SQL twin)
 from kestrel.operators import series_models as sm  # noqa: E402
 
 
 @register("monthly_partial_autocorrelation")
 def monthly_partial_autocorrelation(spark, sf):
-    """PACF for lags 0..20 per series by Durbin–Levinson over the ACF."""
-    return sm.partial_autocorrelation(monthly_log_totals(spark, sf), 20)
+    """PACF for lags 0..50 per series by Durbin–Levinson over the ACF."""
+    return sm.partial_autocorrelation(monthly_log_totals(spark, sf), 50)
 
 
 @register("monthly_augmented_dickey_fuller")
@@ -172,7 +203,7 @@ def arima_fitted_vs_actual(spark, sf):
 
 @register("arima_monthly_forecast")
 def arima_monthly_forecast(spark, sf):
-    """Twelve months ahead from ARIMA(1,1,0) on the log series, back in units."""
-    f = sm.arima_forecast(monthly_log_totals(spark, sf), 1, 1, 0, 12)
+    """Sixty months ahead from ARIMA(1,1,0) on the log series, back in units."""
+    f = sm.arima_forecast(monthly_log_totals(spark, sf), 1, 1, 0, 60)
     return f.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("ts"), "step",
                     F.exp("forecast").alias("forecast"))

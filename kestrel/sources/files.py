@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kestrel.functions.dates import parse_date
+
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",",
                    header: bool = True, encoding: str = "UTF-8") -> DataFrame:
@@ -44,9 +46,16 @@ def read_tagged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def literal_frame(spark: SparkSession, rows, schema) -> DataFrame:
+    """A frame from a few literal rows."""
     return spark.createDataFrame(rows, schema)
 
 
+def read_dated_series(spark: SparkSession, path: str, date_col: str, value_col: str, sep: str = ",") -> DataFrame:
+    """``(ts, value)`` from a delimited file whose dates are ISO text; rows without a date are dropped."""
+    raw = read_delimited(spark, path, f"{date_col} string, {value_col} double", sep=sep)
+    return raw.select(parse_date(date_col).cast("timestamp_ntz").alias("ts"), F.col(value_col).alias("value")).dropna(subset=["ts"])
+
+
 def synthetic_linear(spark: SparkSession, n: int, seed: int = 42, partitions: int | None = None) -> DataFrame:
     """``n`` rows of x1..x3 ~ U(0,1) and ``x4 = 2*x1 + 3*x2 + x3``; deterministic by seed
     and partition count (generated in parallel, nothing on the driver)."""
@@ -81,7 +90,3 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("bigint"))
 
 
-def schema_table(df: DataFrame) -> DataFrame:
-    """The schema as a table ``(position, column, dtype)`` (metadata only, no scan)."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string")

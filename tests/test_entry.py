@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import __spark_entry__ as E
 
 from tests.conftest import SF
@@ -20,3 +24,26 @@ def test_cheap_queries_run_on_smallest_scale(spark):
     for name in ("trip_text_features", "lineitem_describe", "monthly_rolling_stats", "document_tfidf",
                  "chat_pair_encoding", "contiguous_folds"):
         assert q[name](spark, SF).count() >= 0
+
+
+def test_python_workers_need_no_copy_of_the_package():
+    """The queries with Python helpers run from another folder, without PYTHONPATH."""
+    names = ["document_stem_counts", "document_lemma_counts", "monthly_partial_autocorrelation", "monthly_augmented_dickey_fuller",
+             "arima_order_search", "arima_fitted_vs_actual", "arima_monthly_forecast"]
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+import __spark_entry__ as E
+from kestrel.session import get_session
+spark = get_session("local[2]", 4)
+print("ROWS", *[E.queries()[n](spark, {SF!r}).count() for n in {names!r}])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True, text=True, timeout=600)
+    rows = run.stdout.rpartition("ROWS")[2].split()
+    assert run.returncode == 0 and len(rows) == len(names) and all(int(n) > 0 for n in rows), run.stderr[-2000:]
+
+
+def test_run_table_is_repeatable(spark):
+    a, b = ([tuple(r) for r in E.queries()["experiment_run_table"](spark, SF).collect()] for _ in range(2))
+    assert a == b and len(a) == 1

@@ -1,8 +1,9 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from kestrel.operators import features as fe
-from kestrel.operators.ordering import global_index, interpolated_quantiles_sorted
-from kestrel.operators.aggregate import quantile_table
+from kestrel.operators.ordering import global_index
+from kestrel.operators.aggregate import quantile_values, quantiles
 
 
 def test_global_index_is_a_permutation_in_order(spark):
@@ -12,13 +13,17 @@ def test_global_index_is_a_permutation_in_order(spark):
     assert all(r["i"] == r["k"] for r in idx)
 
 
-def test_sorted_quantiles_equal_exact(spark):
-    df = spark.range(0, 1001).select((F.col("id") * 37 % 1001 / 3.0).alias("v"))
-    probs = [0.1, 0.25, 0.5, 0.75, 1.0]
-    exact = {r["p"]: r["value"] for r in quantile_table(df, ["v"], probs).collect()}
-    srt = interpolated_quantiles_sorted(df, "v", probs)
-    for p in probs:
-        assert abs(exact[p] - srt[p]) < 1e-9
+def test_quantiles_equal_numpy(spark):
+    df = spark.range(0, 1001).selectExpr("(id * 37 % 1001) / 3.0 AS v", "CASE WHEN id % 5 <> 0 THEN id % 13 END AS w", "id % 3 AS g", "CAST(NULL AS DOUBLE) AS none")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    pdf = df.toPandas()
+    for by in ([], ["g"]):
+        got = {tuple(r[k] for k in [*by, "column_name"]): r["q"] for r in quantiles(df, ["v", "w", "none"], probs, by).collect()}
+        for g, part in ([((), pdf)] if not by else [((k,), p) for k, p in pdf.groupby("g")]):
+            for c in ("v", "w"):
+                assert np.allclose(got[(*g, c)], np.quantile(part[c].dropna().astype(float), probs))
+        assert not any(k[-1] == "none" for k in got)
+    assert quantile_values(df, ["none"], [0.5]) == {"none": [None]}
 
 
 def test_fold_sizes_like_ntile(spark):

@@ -77,15 +77,3 @@ def test_correlation_pairwise_complete(spark):
 def test_first_rows_ordered(spark):
     _, df = _frame(spark)
     assert [r["id"] for r in clean.first_rows(df, [F.desc("x")], 2).collect()] == [9, 8]
-
-
-def test_bracketed_quantiles_equal_buffered(spark):
-    df = spark.range(0, 5000).selectExpr("(id * 7919 % 5000) / 7.0 AS v", "id % 13 AS w")
-    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = agg.bracketed_quantiles(df, ["v", "w"], probs, accuracy=500)
-    ref = {(r["column_name"], r["p"]): r["value"] for r in agg.quantile_table(df, ["v", "w"], probs).collect()}
-    for k, v in ref.items():
-        assert abs(got[k] - v) < 1e-9
-    a = {r["column_name"]: r for r in agg.describe_numeric(df, ["v", "w"], "bracketed").collect()}
-    b = {r["column_name"]: r for r in agg.describe_numeric(df, ["v", "w"]).collect()}
-    assert all(abs(a[c][k] - b[c][k]) < 1e-9 for c in a for k in ("p25", "p50", "p75", "mean"))

@@ -86,3 +86,30 @@ def test_adf_separates_stationary_from_random_walk(spark):
     assert abs(sm.mackinnon_p(-2.86154) - 0.05) < 0.005
     lag0 = ts.dickey_fuller(stat).first()
     assert lag0["adf_stat"] < -8
+
+
+def test_arima_orders_share_one_sample_and_all_differences_fit():
+    r = np.random.default_rng(3)
+    chosen = []
+    for _ in range(25):
+        y = r.normal(size=80)
+        aic = {(p, q): sm.arima_fit(y, p, 0, q, p_max=2, q_max=2)[0] for p in range(3) for q in range(3)}
+        chosen.append(min(aic, key=aic.get))
+    assert sum(c == (0, 0) for c in chosen) >= 8          # white noise: no term needed, most often
+    y = np.cumsum(np.cumsum(r.normal(size=120)))
+    for d in range(5):
+        for p in range(3):
+            for q in range(3):
+                aic, fitted, fc = sm.arima_fit(y, p, d, q, horizon=2, p_max=2, q_max=2)
+                assert np.isfinite(aic) and np.isfinite(fc).all() and np.isfinite(fitted[-40:]).all()
+
+
+def test_fitted_levels_of_a_polynomial_are_exact():
+    y = np.arange(60.0) ** 2
+    _, fitted, fc = sm.arima_fit(y, 0, 2, 0, horizon=2)
+    assert np.allclose(fitted[2:], y[2:]) and np.allclose(fc, [3600.0, 3721.0])
+
+
+def test_order_grid_gives_an_aic_or_a_reason(spark):
+    grid = sm.arima_order_grid(_series(spark, [float(k % 7) + 0.01 * k * k for k in range(70)]), 2, 3, 2).collect()
+    assert len(grid) == 36 and all((r["aic"] is None) != (r["reason"] is None) for r in grid)

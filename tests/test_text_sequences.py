@@ -39,8 +39,8 @@ def test_term_counts_df_limit(spark):
     assert "common" not in terms and len(terms) == 5
 
 
-def test_stop_words_list_from_jar():
-    sw = tx.default_stop_words()
+def test_stop_words_are_the_published_list():
+    sw = tx.ENGLISH_STOP_WORDS
     assert len(sw) > 150 and "the" in sw
 
 
