@@ -2,7 +2,7 @@
 
 Tier 1: a minimal perfect hash (hash and displace) over the vocabulary resolves a whole
 pre-token that is itself a token.  Tier 2: any other pre-token is merged by rank with a
-heap over a linked list of its bytes; the merged pairs are looked up in the same hash.
+heap over a linked list of its bytes, with the ranks of merged pairs in a dictionary.
 The vocabulary is a fixed table of about 50,000 entries, so it is broadcast.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from kestrel.llm.common import batch_of, text_chunks
 
 MAX_VOCABULARY = 1_000_000   # entries that may be broadcast
-MEMO = 200_000               # pre-tokens whose ids a task remembers
+MEMO = 500_000               # pre-tokens whose ids a worker remembers
 MEMO_BYTES = 256             # longer pre-tokens are not remembered
 MASK = (1 << 64) - 1
 
@@ -87,56 +87,59 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def merge_bytes(piece: bytes, table: PerfectHash) -> list[int]:
-    """Ids of a piece that is no token itself: lowest rank first, of equal ranks the leftmost."""
-    n = len(piece)
-    end = list(range(1, n + 1))              # a node starts at its index and ends here; 0: merged away
-    before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        rank = table.get(piece[i:i + 2])
-        if rank >= 0:
-            heap.append((rank, i, i + 1, i + 2))
+def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a piece that is no token itself: lowest rank first, of equal ranks the leftmost.
+
+    Node i spans piece[i:after[i]]; pair[i] is the rank of joining it with its successor (-1:
+    none).  Heap entries are rank and node in one integer; one whose rank is no longer the
+    node's is out of date.
+    """
+    n, get = len(piece), ranks.get
+    after, before = list(range(1, n + 1)), list(range(-1, n))
+    pair = [get(piece[i:i + 2], -1) for i in range(n - 1)] + [-1]
+    heap = [rank << 32 | i for i, rank in enumerate(pair) if rank >= 0]
     heapify(heap)
     while heap:
-        _, i, middle, stop = heappop(heap)
-        if end[i] != middle or end[middle] != stop:   # one of the two nodes has changed since
+        entry = heappop(heap)
+        i = entry & 0xFFFFFFFF
+        if pair[i] != entry >> 32:
             continue
-        end[i], end[middle] = stop, 0
+        gone = after[i]
+        after[i] = stop = after[gone]
+        pair[gone] = -1
+        rank = -1
         if stop < n:
             before[stop] = i
-            rank = table.get(piece[i:end[stop]])
+            rank = get(piece[i:after[stop]], -1)
             if rank >= 0:
-                heappush(heap, (rank, i, stop, end[stop]))
+                heappush(heap, rank << 32 | i)
+        pair[i] = rank
         left = before[i]
         if left >= 0:
-            rank = table.get(piece[left:stop])
+            pair[left] = rank = get(piece[left:stop], -1)
             if rank >= 0:
-                heappush(heap, (rank, left, i, stop))
+                heappush(heap, rank << 32 | left)
     out, i = [], 0
     while i < n:
-        token = table.get(piece[i:end[i]])
-        if token < 0:
-            raise ValueError(f"byte {piece[i]} is not in the vocabulary")
-        out.append(token)
-        i = end[i]
+        out.append(ranks[piece[i:after[i]]])
+        i = after[i]
     return out
 
 
-def encode_piece(piece: bytes, table: PerfectHash) -> list[int]:
+def encode_piece(piece: bytes, table: PerfectHash, ranks: dict[bytes, int]) -> list[int]:
     whole = table.get(piece)
-    return [whole] if whole >= 0 else merge_bytes(piece, table)
+    return [whole] if whole >= 0 else merge_bytes(piece, ranks)
 
 
 class _Memo(dict):
     """Pre-token to its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, table: PerfectHash):
-        self.table = table
+    def __init__(self, table: PerfectHash, ranks: dict[bytes, int]):
+        self.table, self.ranks = table, ranks
 
     def __missing__(self, token: str) -> bytes:
         piece = token.encode("utf-8")
-        ids = array("I", encode_piece(piece, self.table)).tobytes()
+        ids = array("I", encode_piece(piece, self.table, self.ranks)).tobytes()
         if len(piece) <= MEMO_BYTES:
             if len(self) >= MEMO:
                 self.clear()
@@ -145,11 +148,13 @@ class _Memo(dict):
 
 
 def _codec(shared):
-    """The encoder and decoder of a task, built from the broadcast tables."""
-    state, pattern = shared.value
+    """Encoder and decoder built from the broadcast tables, once per worker: its later tasks find them there."""
+    state = shared.value
+    if "codec" in state:
+        return state["codec"]
     table = PerfectHash.__new__(PerfectHash)
-    table.__dict__.update(state)
-    split, memo = regex.compile(pattern).findall, _Memo(table)
+    table.__dict__.update(state["hash"])
+    split, memo = regex.compile(state["pattern"]).findall, _Memo(table, state["ranks"])
     tokens = dict(zip(table.values, table.keys))
 
     def encode(text: str) -> bytes:
@@ -158,7 +163,8 @@ def _codec(shared):
     def decode(ids: bytes) -> bytes:
         return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    return encode, decode
+    state["codec"] = encode, decode
+    return state["codec"]
 
 
 def _encode(batches, shared):
@@ -190,7 +196,8 @@ def _decode(batches, shared):
 
 def tokenizer(spark, ranks_path: str, pattern: str):
     """Broadcast of the perfect hash over the ranks in a file (read on the driver) and the pre-token pattern."""
-    return spark.sparkContext.broadcast((vars(PerfectHash(load_ranks(ranks_path))), pattern))
+    ranks = load_ranks(ranks_path)
+    return spark.sparkContext.broadcast({"hash": vars(PerfectHash(ranks)), "ranks": ranks, "pattern": pattern})
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
