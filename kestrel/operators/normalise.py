@@ -68,11 +68,11 @@ def lemmatise(long: DataFrame, lemmas: DataFrame, term: str = "term", out: str =
     return j.withColumn(out, F.coalesce(F.col("__lemma"), F.col(term))).drop("__lemma")
 
 
-def train_unigram_tagger(tagged: DataFrame, word: str = "word", tag: str = "tag") -> DataFrame:
-    """Most frequent tag per lower-cased word from a tagged corpus ``(word, tag)``
-    (ties → smallest tag)."""
-    c = tagged.select(F.lower(word).alias("word"), F.col(tag).alias("tag")).groupBy("word", "tag") \
-              .agg(F.count(F.lit(1)).alias("n"))
+def train_unigram_tagger(tagged: DataFrame, word: str = "word", tag: str = "tag", n: str | None = None) -> DataFrame:
+    """Most frequent tag per lower-cased word from a tagged corpus ``(word, tag)``, one row per
+    token or with counts in ``n`` (ties → smallest tag)."""
+    c = tagged.select(F.lower(word).alias("word"), F.col(tag).alias("tag"), (F.col(n) if n else F.lit(1)).alias("n")) \
+              .groupBy("word", "tag").agg(F.sum("n").alias("n"))
     return c.groupBy("word").agg(F.min_by("tag", F.struct((-F.col("n")).alias("a"), F.col("tag"))).alias("tag"))
 
 

@@ -193,17 +193,34 @@ def arima_order_search(spark, sf):
     return sm.best_orders(grid)
 
 
-@register("arima_fitted_vs_actual")
+AR1_SQL = MONTHLY_SQL + """,
+z AS (SELECT series_id, ts, value AS y, lag(value) OVER w AS y1, value - lag(value) OVER w AS z FROM m WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+p AS (SELECT *, lag(z) OVER (PARTITION BY series_id ORDER BY ts) AS z1 FROM z),
+c AS (SELECT series_id, regr_slope(z, z1) AS b, regr_intercept(z, z1) AS a FROM p WHERE z IS NOT NULL AND z1 IS NOT NULL GROUP BY 1)"""
+
+
+@register("arima_fitted_vs_actual", sql=f"""
+WITH {AR1_SQL}
+SELECT p.series_id, strftime(ts, '%Y-%m-%d') AS ts, round(exp(y), 2) AS actual, round(exp(y1 + a + b * z1), 2) AS fitted
+FROM p JOIN c ON p.series_id = c.series_id
+""")
 def arima_fitted_vs_actual(spark, sf):
     """ARIMA(1,1,0) on the log series: actual vs fitted monthly totals in units."""
     f = sm.arima_fitted(monthly_log_totals(spark, sf), 1, 1, 0)
     return f.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("ts"),
-                    F.exp("actual").alias("actual"), F.exp("fitted").alias("fitted"))
+                    F.round(F.exp("actual"), 2).alias("actual"), F.round(F.exp(F.nanvl("fitted", F.lit(None).cast("double"))), 2).alias("fitted"))
 
 
-@register("arima_monthly_forecast")
+@register("arima_monthly_forecast", sql=f"""
+WITH {AR1_SQL},
+e AS (SELECT series_id, arg_max(y, ts) AS y, arg_max(z, ts) AS z, max(ts) AS ts FROM p GROUP BY 1),
+k AS (SELECT CAST(unnest(range(1, 61)) AS INTEGER) AS step)
+SELECT e.series_id, strftime(e.ts + to_months(step), '%Y-%m-%d') AS ts, step,
+       round(exp(y + step * (a / (1 - b)) + (z - a / (1 - b)) * b * (1 - b ** step) / (1 - b)), 2) AS forecast
+FROM e JOIN c ON e.series_id = c.series_id, k
+""")
 def arima_monthly_forecast(spark, sf):
     """Sixty months ahead from ARIMA(1,1,0) on the log series, back in units."""
     f = sm.arima_forecast(monthly_log_totals(spark, sf), 1, 1, 0, 60)
     return f.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("ts"), "step",
-                    F.exp("forecast").alias("forecast"))
+                    F.round(F.exp("forecast"), 2).alias("forecast"))

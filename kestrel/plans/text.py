@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import text as tx
 from kestrel.plans.registry import register
+from kestrel.session import stage_table
 from kestrel.sources.tables import load
 
 R = 6
@@ -117,6 +118,37 @@ register("stopword_filtered_text", sql=_stopword_sql())(stopword_filtered_text)
 from kestrel.operators import normalise as nz  # noqa: E402
 
 
+# Surface rules that tag the training tokens (first match), and the tag of all others.
+TAG_RULES = (("[0-9].*", "cd"), (".*ly", "rb"), (".*ing", "vbg"), (".*ed", "vbd"), ("[A-Z].*", "nnp"))
+
+
+def _tag_sql() -> str:
+    rules = " ".join(f"WHEN regexp_full_match(word, '{p}') THEN '{t}'" for p, t in TAG_RULES)
+    names = " ".join(f"WHEN '{t}' THEN '{d.replace(chr(39), chr(39) * 2)}'" for t, d in nz.PENN_TAGS)
+    return f"""
+WITH t AS (SELECT unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS word FROM documents),
+g AS (SELECT word, CASE {rules} ELSE '{nz.DEFAULT_TAG}' END AS tag FROM t),
+c AS (SELECT lower(word) AS w, tag, count(*) AS n FROM g GROUP BY 1, 2),
+m AS (SELECT w, tag FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY n DESC, tag) AS rk FROM c) WHERE rk = 1)
+SELECT m.tag, CASE m.tag {names} END AS description, CAST(count(*) AS BIGINT) AS n FROM t JOIN m ON lower(t.word) = m.w GROUP BY 1
+"""
+
+
+@register("document_tag_counts", sql=_tag_sql())
+def document_tag_counts(spark, sf):
+    """Tokens tagged by surface rules train a most-frequent-tag tagger, which tags every token;
+    tokens per tag with the tag's description (N12, N13)."""
+    d = load(spark, sf, "documents")
+    tokens = stage_table(d.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), 0)).alias("term"))
+                         .groupBy("term").agg(F.count(F.lit(1)).alias("n")), "token-counts")
+    tag = F.lit(nz.DEFAULT_TAG)
+    for pattern, name in reversed(TAG_RULES):
+        tag = F.when(F.col("term").rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(tag)
+    model = nz.train_unigram_tagger(tokens.withColumn("tag", tag), "term", "tag", "n")
+    counts = nz.tag_tokens(tokens, model).groupBy("tag").agg(F.sum("n").alias("n"))
+    return nz.describe_tags(counts).select("tag", "description", "n")
+
+
 @register("document_stem_counts")
 def document_stem_counts(spark, sf):
     """Porter stems of every token, computed once per distinct term and joined back;
