@@ -51,10 +51,10 @@ def stem_tokens(long: DataFrame, term: str = "term", out: str = "stem") -> DataF
     return long.join(v, term, "left")
 
 
-def lemma_table_from_stems(long: DataFrame, term: str = "term") -> DataFrame:
+def lemma_table_from_stems(long: DataFrame, term: str = "term", n: str | None = None) -> DataFrame:
     """A corpus-derived lemma table: every term maps to the most frequent surface form that
-    shares its stem (ties → shortest, then smallest)."""
-    counts = long.groupBy(term).agg(F.count(F.lit(1)).alias("n"))
+    shares its stem (ties → shortest, then smallest).  ``long`` has a row per token, or counts in ``n``."""
+    counts = long.groupBy(term).agg((F.sum(n) if n else F.count(F.lit(1))).alias("n"))
     st = counts.join(stem_vocabulary(long, term), term)
     rep = st.groupBy("stem").agg(F.min_by(term, F.struct((-F.col("n")).alias("a"), F.length(term).alias("b"),
                                                          F.col(term).alias("c"))).alias("lemma"))

@@ -154,8 +154,8 @@ def document_stem_counts(spark, sf):
     """Porter stems of every token, computed once per distinct term and joined back;
     distinct terms and stems per document (N10).  Python stemmer: rows-only check."""
     d = load(spark, sf, "documents")
-    long = tx.explode_tokens(d, "doc_id", tx.terms("text", unicode=False))
-    s = nz.stem_tokens(long)
+    terms = d.select("doc_id", F.explode(F.array_distinct(tx.terms("text", unicode=False))).alias("term"))
+    s = nz.stem_tokens(terms)
     return s.groupBy("doc_id").agg(F.count_distinct("term").alias("n_terms"), F.count_distinct("stem").alias("n_stems"))
 
 
@@ -164,6 +164,7 @@ def document_lemma_counts(spark, sf):
     """Lemmatisation by lookup join against a lemma table derived from the corpus (each
     term → most frequent form of its stem class); distinct lemmas per document (N11)."""
     d = load(spark, sf, "documents")
-    long = tx.explode_tokens(d, "doc_id", tx.terms("text", unicode=False))
-    lem = nz.lemmatise(long, nz.lemma_table_from_stems(long))
-    return lem.groupBy("doc_id").agg(F.count_distinct("lemma").alias("n_lemmas"), F.count(F.lit(1)).alias("n_tokens"))
+    counts = stage_table(tx.explode_tokens(d, "doc_id", tx.terms("text", unicode=False))
+                         .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
+    lem = nz.lemmatise(counts, nz.lemma_table_from_stems(counts, n="n"))
+    return lem.groupBy("doc_id").agg(F.count_distinct("lemma").alias("n_lemmas"), F.sum("n").alias("n_tokens"))

@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_CKPT: dict[str, str] = {}
+_CKPT: dict[str, str] = {}
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -39,8 +39,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting must name a shared, reliable file system folder; where
-    it is unset, a folder is made only for a one-process master (``local``,
-    ``local[...]``), as in tests: there driver and tasks share one machine.
+    it is unset, a folder of the warehouse is used, which a cluster shares as well, or for a
+    one-process master (``local``, ``local[...]``), as in tests, a temporary one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -48,12 +48,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if sc.master != "local" and not sc.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-        d = _LOCAL_CKPT.get(sc.applicationId)
+        d = _CKPT.get(sc.applicationId)
         if d is None:
-            d = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-            _LOCAL_CKPT[sc.applicationId] = d
+            one_process = sc.master == "local" or sc.master.startswith("local[")
+            d = tempfile.mkdtemp(prefix="kestrel-ckpt-") if one_process else \
+                f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/kestrel-checkpoints"
+            _CKPT[sc.applicationId] = d
     sc.setCheckpointDir(d)
     return d
 
