@@ -1,22 +1,22 @@
 """Exact n-gram Jaccard self-join: size-banded tiles, bitmap signatures, sorted-array intersection.
 
-1. Scan: each document's distinct word shingles as sorted 64-bit hashes; only their number and
-   a 128-bit digest are staged.  Documents of one digest form a class; the smallest id stands
-   for it, so copies are never paired.
-2. Candidates.  Sizes are cut to bands.  Two sets that link differ in at most H shingles, H
+1. Scan: each document's distinct word shingles as sorted 64-bit hashes; their number, a
+   128-bit digest and a bitmap of hashed bits are staged.  Documents of one digest form a
+   class; the smallest id stands for it, so copies are never paired.
+2. Tiles.  Sizes are cut to bands.  Two sets that link differ in at most H shingles, H
    following from the band, so when the hash range is cut to more than H segments at least
-   one segment is equal in both.  Each set gives one key per segment in the scheme of its
-   band (and of the next one if it can link upwards).  Keys of one batch that meet are
-   combined in the task; the rest are shuffled, sorted, and neighbours under a key become
-   edges.  Components of those edges are clusters: no link runs between two clusters.
-3. Tiles.  Only members of clusters are read again; they grow with the input, so their ids are
-   merged with the documents, never broadcast.  A cluster is cut to blocks by size band
-   and hash, bounded in documents and shingles; a tile is a pair of blocks whose sizes can
-   link.  In a tile, bit counts of hashed bitmaps bound the overlap from above; what
-   remains and is not yet connected is decided by intersecting the sorted arrays.
-   Large clusters are first linked inside small chunks and through the chunks' medoids, and
-   documents of a cluster's main component are then not compared with each other again.
-4. Components of the links, joined back through the classes.
+   one segment is equal in both.  Each set is dealt to one tile per segment: (band, segment,
+   content), in the scheme of its band and of the next one if it can link upwards.  Only
+   tiles of several sets are kept.  What a batch knows to be a shared tile is not gathered
+   on its key, so one tile of very many sets is not one task.
+3. First round: every member of a tile meets the tile's centre, the member that shares most
+   tiles.  In a group of near copies that is the text they derive from, so the group
+   falls together without its pairs being written out.
+4. Second round: pairs inside a tile that the links so far do not connect.  Small tiles are
+   joined with themselves, large ones cut to blocks of ``BLOCK`` sets compared block by block.
+5. In both rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
+   decided by intersecting the sorted arrays of only those documents, read again.
+6. Components of the links, joined back through the classes.
 """
 
 from __future__ import annotations
@@ -34,9 +34,11 @@ from kestrel.llm.components import connected_components
 from kestrel.llm.decontaminate import WordHashes, hash_words
 from kestrel.session import stage_table
 
-BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 20     # a tile holds two blocks
-BITMAP_BITS = 1 << 14                         # widest bitmap of a set
-CHUNK_ROUNDS = 4                              # levels of chunks and medoids, each 256 times fewer rows
+SMALL_TILE = 16              # sets of a tile whose pairs a join may write out
+BLOCK = 256                  # sets of a block of a larger tile
+KNOWN = 8                    # sets of one batch that make a tile known as shared
+BITMAP_BITS = 1 << 16        # widest bitmap of a set
+BROADCAST_IDS = 1_000_000    # ids of documents to read again that are broadcast; more are merged by id
 U = np.uint64
 
 
@@ -119,42 +121,62 @@ def _digest(h: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
+def bitmap(h: np.ndarray) -> bytes:
+    """One bit per hash modulo the width, a power of two of four bits a shingle or more (up to ``BITMAP_BITS``)."""
+    width = min(BITMAP_BITS, max(64, 1 << (4 * len(h) - 1).bit_length()))
+    bits = np.zeros(width, bool)
+    bits[(h & U(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(bits: bytes, words: int) -> np.ndarray:
+    """A bitmap as 64-bit words, folded to a smaller width: a bit is set if any bit equal modulo the width is."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, U).reshape(-1, words), axis=0)
+
+
+def overlap_bound(a: bytes, b: bytes, sizes: int) -> int:
+    """Twice the overlap of two sets at most: each differing bit shows a shingle that only one holds."""
+    words = min(len(a), len(b)) // 8
+    return sizes - int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
+
+
 def _sizes(batches, width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bits", pa.binary())])
     hashes = WordHashes()
     for part, texts in text_chunks(batches):
-        n, d1, d2 = [], [], []
+        rows = []
         for text in texts:
             h = shingle_hashes(text, width, hashes)
-            a, b = _digest(h) if len(h) else (None, None)
-            n.append(len(h))
-            d1.append(a)
-            d2.append(b)
-        yield batch_of(schema, [part.column(0), n, d1, d2])
+            rows.append((len(h), *_digest(h), bitmap(h)) if len(h) else (0, None, None, None))
+        yield batch_of(schema, [part.column(0), *map(list, zip(*rows))])
 
 
 def _keys(batches, width: int, num: int, den: int):
-    """(key, node): per batch one row per key; what meets there under a key becomes a key of its own per pair."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
+    """(key, node, route): the tiles of each set.  Where ``KNOWN`` sets of a batch share a tile, their rows
+    but the first have a route of their own and need not meet: the tile is known to be shared."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("route", pa.int32())])
     hashes, scheme = WordHashes(), Scheme(num, den)
     for _, texts in text_chunks(batches):
-        keys, nodes = [], []
+        sets = {}
         for text in texts:
             h = shingle_hashes(text, width, hashes)
             if len(h):
-                keys.append(scheme.keys(h))
-                nodes.append(np.full(len(keys[-1]), _digest(h)[0], np.int64))
-        if not keys:
+                sets[_digest(h)] = h
+        keys = [scheme.keys(h) for h in sets.values()]
+        if not sum(map(len, keys)):
             continue
-        key, node = np.concatenate(keys), np.concatenate(nodes)
+        key = np.concatenate(keys).astype(np.int64)
+        node = np.repeat(np.array([d for d, _ in sets], np.int64), [len(k) for k in keys])
         order = np.argsort(key, kind="stable")
         key, node = key[order], node[order]
-        first = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
-        head = node[first][np.cumsum(first) - 1]
-        met = np.unique(np.column_stack([head, node])[node != head], axis=0)
-        pair = mixed(mixed(met[:, 0].astype(U)) + met[:, 1].astype(U))
-        yield batch_of(schema, [np.concatenate([key[first], pair, pair]).astype(np.int64),
-                                np.concatenate([node[first], met[:, 0], met[:, 1]])])
+        first = np.r_[True, key[1:] != key[:-1]]
+        start = np.flatnonzero(first)
+        count = np.diff(np.r_[start, len(key)])
+        known = (np.repeat(count, count) >= KNOWN) & ~first
+        route = np.where(known, 1 + (node & 0x3FF), 0)
+        # the first of a known tile stands for it on the shared route, and is known itself
+        again = start[count >= KNOWN]
+        yield batch_of(schema, [np.r_[key, key[again]], np.r_[node, node[again]], np.r_[route, 1 + (node[again] & 0x3FF)].astype(np.int32)])
 
 
 def _sets(batches, width: int):
@@ -166,17 +188,7 @@ def _sets(batches, width: int):
         yield batch_of(schema, [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).astype(np.int64)))])
 
 
-# Tiles ---------------------------------------------------------------------------------
-
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """One bit per hash value modulo the width, as rows of 64-bit words."""
-    longest = max(map(len, sets))
-    width = min(BITMAP_BITS, max(64, 1 << (2 * longest - 1).bit_length()))
-    bits = np.zeros((len(sets), width), bool)
-    for row, h in zip(bits, sets):
-        row[(h & U(width - 1)).astype(np.int64)] = True
-    return np.packbits(bits, axis=1).view(U)
-
+# Pairs ---------------------------------------------------------------------------------
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted arrays without repeats."""
@@ -187,134 +199,105 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Index pairs that link and span the components of one tile.
-
-    ``side`` 2 stands on both sides (a block with itself); rows of side 0 meet rows of side 1
-    only.  Pairs already connected inside the tile are not decided again.
-    """
-    sizes = np.array([len(h) for h in sets], np.int64)
-    signature, label = bitmaps(sets), np.arange(len(sets))
-    out = []
-    for i in range(len(sets)):
-        other = np.arange(i + 1, len(sets)) if side[i] == 2 else np.flatnonzero((side == 1 - side[i]) & (np.arange(len(sets)) > i))
-        a, b = sizes[i], sizes[other]
-        fits = (den * np.minimum(a, b) >= num * np.maximum(a, b)) & (label[other] != label[i])
-        other, b = other[fits], b[fits]
-        if not len(other):
-            continue
-        differ = np.bitwise_count(signature[other] ^ signature[i]).sum(axis=1, dtype=np.int64)
-        most = a + b - differ          # twice the overlap at most
-        for j in other[(num + den) * most >= 2 * num * (a + b)].tolist():
-            if label[j] != label[i]:
-                common = overlap(sets[i], sets[j])
-                if den * common >= num * (sizes[i] + sizes[j] - common):
-                    out.append((i, j))
-                    label[label == label[j]] = label[i]
-    return out
-
-
-def medoid(sets: list[np.ndarray]) -> int:
-    """Index of the set whose bitmap differs least from the others'."""
-    signature = bitmaps(sets)
-    return int(np.argmin([np.bitwise_count(signature ^ s).sum(dtype=np.int64) for s in signature]))
-
-
-def _unpack(table: pa.Table):
-    col = table.column("hashes").combine_chunks()
-    col = col.chunk(0) if isinstance(col, pa.ChunkedArray) else col
-    ends, values = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False).view(U)
-    return table.column("rep").to_numpy(), [values[x:y] for x, y in zip(ends[:-1], ends[1:])]
-
-
-def _link_tile(table: pa.Table, num: int, den: int) -> pa.Table:
-    rep, sets = _unpack(table)
-    links = tile_links(sets, table.column("side").to_numpy(), num, den)
-    a, b = (np.array([rep[x[k]] for x in links], np.int64) for k in (0, 1))
-    return pa.table({"a": a, "b": b})
-
-
-def _link_chunk(table: pa.Table, num: int, den: int) -> pa.Table:
-    """Links inside a chunk, and a row with a null end that names its medoid."""
-    rep, sets = _unpack(table)
-    links = tile_links(sets, np.full(len(sets), 2), num, den)
-    centre = rep[medoid(sets)]
-    return pa.table({"cluster": pa.array([table.column("cluster")[0].as_py()] * (len(links) + 1), pa.int64()),
-                     "a": pa.array([rep[x[0]] for x in links] + [centre], pa.int64()),
-                     "b": pa.array([rep[x[1]] for x in links] + [None], pa.int64())})
-
-
-def _blocks(count, weight, limit: int = BLOCK_DOCS):
-    return F.greatest(F.ceil(count / limit), F.ceil(weight / BLOCK_SHINGLES)).cast("int")
-
-
-def _chunk_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links of large clusters found inside chunks, then among the chunks' medoids, and so on."""
-    level, links = members.select("cluster", "rep", "n"), None
-    for _ in range(CHUNK_ROUNDS):
-        per = level.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
-        dealt = (level.join(stage_table(per.withColumn("s", _blocks(F.col("c"), F.col("w"))), "chunks"), "cluster")
-                 .select("cluster", "rep", F.pmod(F.xxhash64("rep"), F.col("s")).alias("chunk")))
-        found = stage_table(dealt.join(sets, "rep").select("cluster", "chunk", "rep", "hashes").groupBy("cluster", "chunk")
-                            .applyInArrow(lambda t: _link_chunk(t, num, den), "cluster long, a long, b long"), "chunk-links")
-        own = found.filter("b IS NOT NULL").select("a", "b")
-        links = own if links is None else links.unionByName(own)
-        centres = found.filter("b IS NULL").select("cluster", F.col("a").alias("rep"))
-        several = centres.groupBy("cluster").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("cluster")
-        level = stage_table(centres.join(several, "cluster", "left_semi").join(members.select("rep", "n"), "rep"), "medoids")
-        if level.isEmpty():
-            break
-    return links
-
-
-def _tiles(members: DataFrame, num: int, den: int) -> DataFrame:
-    """``rep, tile, side``: members of clusters dealt to the tiles they are compared in.
-
-    ``main`` marks members of the cluster's main component, which need not meet each other.
-    """
-    # a band is a hair wider than the size ratio of two sets that link, so those are neighbours at most
-    band = F.floor(F.ln(F.col("n").cast("double")) / (math.log(den / num) * (1 + 1e-9))).cast("int")
-    m = stage_table(members.withColumn("band", band), "banded")
-    per = stage_table(m.groupBy("cluster", "main", "band").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w"))
-                      .withColumn("s", _blocks(F.col("c"), F.col("w"))), "blocks")
-    whole = per.groupBy("cluster").agg((_blocks(F.sum("c"), F.sum("w")) <= 1).alias("small"),
-                                       F.map_from_entries(F.collect_list(F.struct(F.struct("main", "band").alias("k"), "s"))).alias("s"))
-    m = m.join(stage_table(whole, "cluster-blocks"), "cluster")
-    at = lambda main, band: F.coalesce(F.try_element_at("s", F.struct(main.alias("main"), band.alias("band"))), F.lit(0))
-    m = m.withColumn("block", F.pmod(F.xxhash64("rep"), at(F.col("main"), F.col("band"))).cast("int"))
-    mine = F.struct(F.col("main").alias("main"), F.col("band").alias("band"), F.col("block").alias("block"))
-
-    def blocks_of(main: bool, step: int):
-        there, band = at(F.lit(main), F.col("band") + step), F.col("band") + step
-        every = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), there - 1)),
-                            lambda b: F.struct(F.lit(main).alias("main"), band.alias("band"), b.alias("block")))
-        return F.when(there > 0, every).otherwise(F.array().cast("array<struct<main:boolean,band:int,block:int>>"))
-
-    blocks = F.flatten(F.array(*[blocks_of(main, step) for main in (False, True) for step in (-1, 0, 1)]))
-    dealt = m.select("cluster", "rep", "small", mine.alias("mine"), F.when(F.col("small"), F.array(mine)).otherwise(blocks).alias("blocks"))
-    dealt = dealt.select("cluster", "rep", "small", "mine", F.explode("blocks").alias("other")).filter("small OR NOT (mine.main AND other.main)")
-    name = lambda s: F.concat_ws(":", s["main"], s["band"], s["block"])
-    mine, other = F.col("mine"), F.col("other")
-    tile = F.concat_ws("|", F.col("cluster"), F.when(F.col("small"), F.lit("")).otherwise(
-        F.concat_ws("|", name(F.least(mine, other)), name(F.greatest(mine, other)))))
-    side = F.when(F.col("small") | (mine == other), 2).when(mine < other, 0).otherwise(1)
-    return dealt.select("rep", tile.alias("tile"), side.cast("int").alias("side"))
-
-
-def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links that span the components of every cluster: ``a, b``."""
-    totals = stage_table(members.groupBy("cluster").agg((_blocks(F.count(F.lit(1)), F.sum("n")) > 1).alias("large")), "totals")
-    large = stage_table(members.join(totals.filter("large"), "cluster", "left_semi"), "large")
-    links, flagged = None, members.withColumn("main", F.lit(False))
-    if not large.isEmpty():
-        links = stage_table(_chunk_links(large, sets, num, den), "links")
-        component = stage_table(connected_components(links).toDF("rep", "comp").join(large, "rep").select("cluster", "comp", "rep"), "linked")
-        main = component.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("cluster").agg(F.max_by("comp", "c").alias("comp"))
-        inside = stage_table(component.join(stage_table(main, "main"), ["cluster", "comp"], "left_semi").select("rep", F.lit(True).alias("main")).distinct(), "inside")
-        flagged = members.join(inside, "rep", "left").withColumn("main", F.coalesce("main", F.lit(False)))
-    dealt = _tiles(flagged, num, den).join(sets, "rep")
-    more = dealt.groupBy("tile").applyInArrow(lambda t: _link_tile(t, num, den), "a long, b long")
-    return more if links is None else more.unionByName(links)
+def _possible(batches, num: int, den: int):
+    """Of (a, b, na, nb, bits_a, bits_b) the pairs whose bitmaps leave a link possible."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for part in batches:
+        sizes = part.column(2).to_numpy() + part.column(3).to_numpy()
+        keep = [(num + den) * overlap_bound(x.as_buffer(), y.as_buffer(), n) >= 2 * num * n
+                for x, y, n in zip(part.column(4), part.column(5), sizes.tolist())]
+        yield batch_of(schema, [part.column(0).filter(pa.array(keep, pa.bool_())), part.column(1).filter(pa.array(keep, pa.bool_()))])
+
+
+def _lists(column) -> list[np.ndarray]:
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False).view(U)
+    return [values[x:y] for x, y in zip(ends[:-1], ends[1:])]
+
+
+def _linked(batches, num: int, den: int):
+    """Of (a, b, hashes_a, hashes_b) the pairs that link."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    for part in batches:
+        keep = []
+        for x, y in zip(_lists(part.column(2)), _lists(part.column(3))):
+            common = overlap(x, y)
+            keep.append(den * common >= num * (len(x) + len(y) - common))
+        yield batch_of(schema, [part.column(0).filter(pa.array(keep, pa.bool_())), part.column(1).filter(pa.array(keep, pa.bool_()))])
+
+
+def _block_pairs(table: pa.Table, num: int, den: int) -> pa.Table:
+    """Pairs of two blocks of a tile (side 0 with side 1, or a block with itself: side 2) that are in
+    different components and whose sizes and bitmaps leave a link possible."""
+    rep, comp, n, side = (table.column(c).to_numpy() for c in ("rep", "comp", "n", "side"))
+    bits = [x.as_buffer() for x in table.column("bits")]
+    words = min(map(len, bits)) // 8
+    signature = np.array([folded(x, words) for x in bits])
+    a, b, place = [], [], np.arange(len(rep))
+    for i in range(len(rep)):
+        other = np.flatnonzero((place > i) & ((side == 2) | (side == 1 - side[i])) & (comp != comp[i])
+                               & (den * np.minimum(n, n[i]) >= num * np.maximum(n, n[i])))
+        both = n[other] + n[i]
+        most = both - np.bitwise_count(signature[other] ^ signature[i]).sum(axis=1, dtype=np.int64)
+        other = other[(num + den) * most >= 2 * num * both]
+        a.append(np.full(len(other), rep[i]))
+        b.append(rep[other])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).filter("a < b").distinct()
+
+
+def _with_bitmaps(pairs: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that sizes and bitmaps leave possible."""
+    one = members.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    two = members.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    fits = F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")
+    return (pairs.join(one, "a").join(two, "b").filter(fits).select("a", "b", "na", "nb", "bits_a", "bits_b")
+            .mapInArrow(lambda it: _possible(it, num, den), "a long, b long"))
+
+
+def _decide(pairs: DataFrame, src: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs that link, from the sorted shingle arrays of their documents, which are read again."""
+    pairs = stage_table(pairs, "pairs")
+    ids = stage_table(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "pair-ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
+    sets = stage_table(src.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi")
+                       .mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>"), "sets")
+    both = (pairs.join(sets.toDF("a", "hashes_a"), "a").join(sets.toDF("b", "hashes_b"), "b")
+            .select("a", "b", "hashes_a", "hashes_b"))
+    return stage_table(both.mapInArrow(lambda it: _linked(it, num, den), "a long, b long"), "links")
+
+
+def _centre_pairs(tiles: DataFrame) -> DataFrame:
+    """Every member of a tile with the member that shares most tiles with others."""
+    counts = stage_table(tiles.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("others")), "tile-sizes")
+    scores = stage_table(tiles.join(counts, "key").groupBy("rep").agg(F.sum("others").alias("score")), "scores")
+    centres = stage_table(tiles.join(scores, "rep").groupBy("key").agg(F.max_by("rep", "score").alias("centre")), "centres")
+    return _ordered(tiles.join(centres, "key"), "rep", "centre")
+
+
+def _open_pairs(tiles: DataFrame, members: DataFrame, components: DataFrame, num: int, den: int) -> DataFrame:
+    """Possible pairs of a tile whose members the components do not connect yet."""
+    placed = stage_table(tiles.join(components, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
+    open_tiles = stage_table(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
+                             .filter("lo <> hi").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("s"), (F.col("c") <= SMALL_TILE).alias("small")),
+                             "open-tiles")
+    rows = stage_table(placed.join(open_tiles, "key").join(members.select("rep", "n"), "rep"), "open-rows")
+    x = rows.filter("small").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
+    y = rows.filter("small").select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
+    fits = F.lit(den) * F.least("nx", "ny") >= F.lit(num) * F.greatest("nx", "ny")
+    few = _with_bitmaps(_ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fits), "x", "y"), members, num, den)
+
+    mine = F.pmod(F.xxhash64("rep"), F.col("s")).cast("int")
+    dealt = (rows.filter("NOT small").withColumn("mine", mine)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp", "n",
+                     F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side")))
+    many = (dealt.join(members.select("rep", "bits"), "rep").groupBy("key", "i", "j")
+            .applyInArrow(lambda t: _block_pairs(t, num, den), "a long, b long"))
+    return few.unionByName(many).distinct()
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -325,23 +308,26 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     smallest id reachable by links.  Null, empty and blank texts have no shingles and link
     with nothing.  Rows that repeat an id are one document that links by any of its texts;
     documents with a null id link with equal sets only, and a component without any other
-    id has a null id.  Other columns are ignored; an empty
-    table gives an empty result.  Shingles are told apart by 64-bit hashes.
+    id has a null id.  Other columns are ignored; an empty table gives an empty result.
+    Shingles are told apart by 64-bit hashes.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sizes = stage_table(src.mapInArrow(lambda it: _sizes(it, width), "doc_id long, n long, d1 long, d2 long"), "set-sizes")
+    sizes = stage_table(src.mapInArrow(lambda it: _sizes(it, width), "doc_id long, n long, d1 long, d2 long, bits binary"), "set-sizes")
     classes = stage_table(sizes.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
 
-    keyed = src.mapInArrow(lambda it: _keys(it, width, num, den), "key long, node long")
-    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    edges = keyed.select(F.col("node").alias("a"), before.alias("b")).filter("a <> b")
-    clusters = connected_components(edges).toDF("d1", "cluster")
-    members = stage_table(classes.filter("rep IS NOT NULL").join(clusters, "d1").select("cluster", "rep", "n"), "members")
-
-    candidates = src.withColumnRenamed("doc_id", "rep").join(members.select("rep").hint("merge"), "rep", "left_semi")
-    sets = stage_table(candidates.mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>"), "sets")
-    links = _links(members, sets, num, den)
-    found = stage_table(connected_components(links).toDF("rep", "component_id"), "components")
+    keyed = src.mapInArrow(lambda it: _keys(it, width, num, den), "key long, node long, route int")
+    tile = Window.partitionBy("key", "route")
+    shared = (keyed.select("key", "node", "route", F.min("node").over(tile).alias("lo"), F.max("node").over(tile).alias("hi"))
+              .filter("route > 0 OR lo <> hi").select("key", F.col("node").alias("d1")).distinct())
+    shared = stage_table(shared, "shared-tiles")
+    known = stage_table(classes.filter("rep IS NOT NULL").join(shared.select("d1").distinct(), "d1", "left_semi").select("d1", "d2", "rep", "n"), "known")
+    tiles = stage_table(shared.join(known.select("d1", "rep"), "d1").select("key", "rep").distinct(), "tiles")
+    members = stage_table(known.join(sizes.select(F.col("doc_id").alias("rep"), "d1", "d2", "bits"), ["rep", "d1", "d2"])
+                          .dropDuplicates(["rep", "d1", "d2"]).select("rep", "n", "bits"), "members")
+
+    first = _decide(_with_bitmaps(_centre_pairs(tiles), members, num, den), src, width, num, den)
+    second = _decide(_open_pairs(tiles, members, connected_components(first).toDF("rep", "comp"), num, den), src, width, num, den)
+    found = stage_table(connected_components(first.unionByName(second)).toDF("rep", "component_id"), "components")
     named = stage_table(classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id")), "named")
     return sizes.join(named, ["d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

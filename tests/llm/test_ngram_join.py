@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kestrel.llm import ngram_join as nj
@@ -53,8 +54,9 @@ def corpus(seed, docs, hot):
 
 @pytest.mark.parametrize("seed,docs,hot,width,num", [(1, 400, 0, 3, 90), (2, 500, 120, 5, 80), (3, 300, 0, 1, 50)])
 def test_components_equal_brute_force(spark, monkeypatch, seed, docs, hot, width, num):
-    monkeypatch.setattr(nj, "BLOCK_DOCS", 16)
-    monkeypatch.setattr(nj._blocks, "__defaults__", (16,))
+    monkeypatch.setattr(nj, "SMALL_TILE", 4)
+    monkeypatch.setattr(nj, "BLOCK", 16)
+    monkeypatch.setattr(nj, "BROADCAST_IDS", 0 if seed == 1 else 10 ** 6)
     rows = corpus(seed, docs, hot)
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n long")
     got = sorted(tuple(r) for r in nj.linked_components(df, width=width, num=num, den=100).collect())
@@ -79,13 +81,25 @@ def test_segment_keys_lose_no_linked_pair():
 
 def test_bitmap_bound_never_below_overlap():
     r = np.random.default_rng(6)
-    for _ in range(100):
-        pool = np.unique(r.integers(0, 2 ** 63, 300).astype(np.uint64))
-        a, b = (np.sort(r.choice(pool, int(r.integers(1, 250)), replace=False)) for _ in range(2))
-        s = nj.bitmaps([a, b])
-        common = len(np.intersect1d(a, b))
-        assert nj.overlap(a, b) == common
-        assert len(a) + len(b) - int(np.bitwise_count(s[0] ^ s[1]).sum()) >= 2 * common
+    for top in (300, 5000):
+        for _ in range(60):
+            pool = np.unique(r.integers(0, 2 ** 63, top).astype(np.uint64))
+            a, b = (np.sort(r.choice(pool, int(r.integers(1, len(pool))), replace=False)) for _ in range(2))
+            common = len(np.intersect1d(a, b))
+            assert nj.overlap(a, b) == common
+            assert nj.overlap_bound(nj.bitmap(a), nj.bitmap(b), len(a) + len(b)) >= 2 * common
+
+
+def test_known_tiles_keep_every_member():
+    """A tile that many sets of a batch share leaves no member out, and one row on the shared route."""
+    texts = [" ".join(f"w{k}" for k in range(40)) + f" end{i}" for i in range(20)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(20)), "text": texts})
+    rows = [x for b in nj._keys([batch], 3, 80, 100) for x in zip(*(c.to_pylist() for c in b.columns))]
+    tiles = {}
+    for key, node, route in rows:
+        tiles.setdefault(key, []).append((node, route))
+    hot = [t for t in tiles.values() if len(t) >= nj.KNOWN]
+    assert hot and all(sum(r == 0 for _, r in t) == 1 and len({n for n, r in t if r}) == len({n for n, _ in t}) for t in hot)
 
 
 def test_components_of_chains_and_hubs(spark):
