@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRECISION = 1 << 30
+MAX_VALUES = 100             # label values at most: with the rows of each they bound the id list
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: int, max_chars: int,
@@ -19,7 +20,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: i
     with different values both rows are.
     """
     rows = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).alias("label")).dropna().distinct()
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(1000).collect()}
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().limit(MAX_VALUES + 1).collect()}
+    if len(counts) > MAX_VALUES:
+        raise ValueError(f"more than {MAX_VALUES} label values")
     share = F.lit(0)
     for value, n in sorted(counts.items()):
         share = F.when(F.col("label") == value, F.lit(int(min(1.0, 0.97 * per_value / n if n > per_value else 1.0) * PRECISION))).otherwise(share)
