@@ -96,3 +96,23 @@ def test_file_sources(spark, tmpdir_path):
     assert spark.read.option("header", True).csv(out).count() == 3
     shape = fs.profile_shape(spark.range(5)).first()
     assert (shape["n_rows"], shape["n_cols"]) == (5, 1)
+
+
+def test_dated_series_and_literal_frame(spark, tmpdir_path):
+    path = f"{tmpdir_path}/dated.csv"
+    fr = fs.literal_frame(spark, [("2020-01-05", 1.5), ("2020-02-05", 2.5), ("no date", 3.0)], "day string, level double")
+    fs.write_table(fr, path, "csv")
+    got = fs.read_dated_series(spark, path, "day", "level").orderBy("ts").collect()
+    assert [(str(r["ts"])[:10], r["value"]) for r in got] == [("2020-01-05", 1.5), ("2020-02-05", 2.5)]
+
+
+def test_naive_bayes_on_long_counts_equals_mllib(spark):
+    from pyspark.ml.feature import CountVectorizer
+    rows = [(i, t.split(), float(y)) for i, (t, y) in enumerate([("a a b", 0), ("b c", 1), ("c c d", 1), ("a d", 0), ("b b", 1), ("zz a", 0), ("", 1)])]
+    docs = spark.createDataFrame(rows, "doc_id long, words array<string>, label double")
+    train = F.col("doc_id") < 5
+    counts = docs.select("doc_id", F.explode("words").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    got = {r["doc_id"]: r["prediction"] for r in md.naive_bayes_predictions(counts, docs.select("doc_id", "label"), "doc_id", "label", train).collect()}
+    vec = CountVectorizer(inputCol="words", outputCol="features").fit(docs.filter(train))
+    want = md.classifier("naive_bayes").fit(vec.transform(docs.filter(train))).transform(vec.transform(docs))
+    assert got == {r["doc_id"]: r["prediction"] for r in want.collect()}
