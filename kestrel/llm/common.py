@@ -6,9 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Byte classes of the contracts.
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
+# The blanks of the contracts.
 SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
 
 #: Most documents and text bytes that a Python helper holds at once, besides one text of any length.
@@ -20,19 +18,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ascii_lower(c: Column) -> Column:
-    """A-Z to a-z, every other character kept."""
-    return F.translate(c, UPPER, LOWER)
-
-
 def train_fold(doc_id: Column) -> Column:
-    """True for documents whose labels may be learnt from: crc32(doc_id as text) mod 4 is not 2."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2
-
-
-def null_safe_id(doc_id: Column) -> Column:
-    """Sort key under which a null id comes before every other."""
-    return F.coalesce(doc_id, F.lit(-(2 ** 63)))
+    """True for documents whose labels may be learnt from: crc32(doc_id as text) mod 4 is not 2 (a null id: False)."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(False))
 
 
 def text_chunks(batches, text: str = "text"):
