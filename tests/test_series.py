@@ -2,7 +2,6 @@ import datetime as dt
 import math
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from kestrel.operators import series_models as sm
 from kestrel.operators import timeseries as ts
