@@ -11,12 +11,16 @@
    on its key, so one tile of very many sets is not one task.
 3. First round: every member of a tile meets the tile's centre, the member that shares most
    tiles.  In a group of near copies that is the text they derive from, so the group
-   falls together without its pairs being written out.
-4. Second round: pairs inside a tile that the links so far do not connect.  Small tiles are
-   joined with themselves, large ones cut to blocks of ``BLOCK`` sets compared block by block.
-5. In both rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
+   falls together without its pairs being written out.  From here on the tiles of one
+   centre are one hub, so two sets that share many tiles are compared once.
+4. Second round, large hubs, cut to blocks of ``BLOCK`` sets that are compared block by block
+   (blocks of a hub's main component only with those of other sets): each set outside a
+   block pair's main component meets its likeliest partners by bitmap.
+5. Third round: all pairs under a hub that the links so far do not connect.  Small hubs
+   are joined with themselves, large ones compared by blocks.
+6. In all rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
    decided by intersecting the sorted arrays of only those documents, read again.
-6. Components of the links, joined back through the classes.
+7. Components of the links, joined back through the classes.
 """
 
 from __future__ import annotations
@@ -34,8 +38,9 @@ from kestrel.llm.components import connected_components
 from kestrel.llm.decontaminate import WordHashes, hash_words
 from kestrel.session import stage_table
 
-SMALL_TILE = 16              # sets of a tile whose pairs a join may write out
-BLOCK = 256                  # sets of a block of a larger tile
+SMALL_HUB = 16               # sets under a hub whose pairs a join may write out
+BLOCK = 256                  # sets of a block of a larger hub
+BEST = 4                     # partners that a set meets per block pair in the second round (the third has no limit)
 KNOWN = 8                    # sets of one batch that make a tile known as shared
 BITMAP_BITS = 1 << 16        # widest bitmap of a set
 BROADCAST_IDS = 1_000_000    # ids of documents to read again that are broadcast; more are merged by id
@@ -225,23 +230,30 @@ def _linked(batches, num: int, den: int):
         yield batch_of(schema, [part.column(0).filter(pa.array(keep, pa.bool_())), part.column(1).filter(pa.array(keep, pa.bool_()))])
 
 
-def _block_pairs(table: pa.Table, num: int, den: int) -> pa.Table:
-    """Pairs of two blocks of a tile (side 0 with side 1, or a block with itself: side 2) that are in
-    different components and whose sizes and bitmaps leave a link possible."""
+def _block_pairs(table: pa.Table, num: int, den: int, best: bool) -> pa.Table:
+    """Pairs of two blocks of a hub (side 0 with side 1, or a block with itself: side 2) that are in
+    different components and whose sizes and bitmaps leave a link possible; with ``best`` the
+    likeliest ``BEST`` for each set that is not in the blocks' largest component."""
     rep, comp, n, side = (table.column(c).to_numpy() for c in ("rep", "comp", "n", "side"))
     bits = [x.as_buffer() for x in table.column("bits")]
     words = min(map(len, bits)) // 8
     signature = np.array([folded(x, words) for x in bits])
     a, b, place = [], [], np.arange(len(rep))
+    names, sizes = np.unique(comp, return_counts=True)
+    main = names[sizes.argmax()]
     for i in range(len(rep)):
-        other = np.flatnonzero((place > i) & ((side == 2) | (side == 1 - side[i])) & (comp != comp[i])
+        if best and comp[i] == main:
+            continue
+        other = np.flatnonzero((best | (place > i)) & ((side == 2) | (side == 1 - side[i])) & (comp != comp[i])
                                & (den * np.minimum(n, n[i]) >= num * np.maximum(n, n[i])))
         both = n[other] + n[i]
         most = both - np.bitwise_count(signature[other] ^ signature[i]).sum(axis=1, dtype=np.int64)
-        other = other[(num + den) * most >= 2 * num * both]
+        other, most = other[(num + den) * most >= 2 * num * both], most[(num + den) * most >= 2 * num * both]
+        if best and len(other):
+            other = other[np.argsort(-most / (n[other] + n[i]), kind="stable")[:BEST]]
         a.append(np.full(len(other), rep[i]))
         b.append(rep[other])
-    a, b = np.concatenate(a), np.concatenate(b)
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
@@ -258,46 +270,64 @@ def _with_bitmaps(pairs: DataFrame, members: DataFrame, num: int, den: int) -> D
             .mapInArrow(lambda it: _possible(it, num, den), "a long, b long"))
 
 
-def _decide(pairs: DataFrame, src: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs that link, from the sorted shingle arrays of their documents, which are read again."""
+def _decide(pairs: DataFrame, src: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, those that link), from the sorted shingle arrays of their documents, which are read again."""
     pairs = stage_table(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs, pairs
     ids = stage_table(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "pair-ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
     sets = stage_table(src.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi")
                        .mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>"), "sets")
     both = (pairs.join(sets.toDF("a", "hashes_a"), "a").join(sets.toDF("b", "hashes_b"), "b")
             .select("a", "b", "hashes_a", "hashes_b"))
-    return stage_table(both.mapInArrow(lambda it: _linked(it, num, den), "a long, b long"), "links")
+    return pairs, stage_table(both.mapInArrow(lambda it: _linked(it, num, den), "a long, b long"), "links")
 
 
-def _centre_pairs(tiles: DataFrame) -> DataFrame:
-    """Every member of a tile with the member that shares most tiles with others."""
+def _hubs(tiles: DataFrame) -> DataFrame:
+    """``(key, rep)``: the tiles of one centre, the member that shares most tiles with others, put together
+    under that centre.  Sets that share a tile are under one key, and a pair that shares many meets there once."""
     counts = stage_table(tiles.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("others")), "tile-sizes")
     scores = stage_table(tiles.join(counts, "key").groupBy("rep").agg(F.sum("others").alias("score")), "scores")
-    centres = stage_table(tiles.join(scores, "rep").groupBy("key").agg(F.max_by("rep", "score").alias("centre")), "centres")
-    return _ordered(tiles.join(centres, "key"), "rep", "centre")
-
-
-def _open_pairs(tiles: DataFrame, members: DataFrame, components: DataFrame, num: int, den: int) -> DataFrame:
-    """Possible pairs of a tile whose members the components do not connect yet."""
-    placed = stage_table(tiles.join(components, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
-    open_tiles = stage_table(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
-                             .filter("lo <> hi").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("s"), (F.col("c") <= SMALL_TILE).alias("small")),
-                             "open-tiles")
-    rows = stage_table(placed.join(open_tiles, "key").join(members.select("rep", "n"), "rep"), "open-rows")
+    centres = stage_table(tiles.join(scores, "rep").groupBy("key").agg(F.max_by("rep", F.col("score")).alias("centre")), "centres")
+    return stage_table(tiles.join(centres, "key").select(F.col("centre").alias("key"), "rep").distinct(), "hubs")
+
+
+def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, num: int, den: int, best: bool) -> DataFrame | None:
+    """Possible pairs under a hub, not yet decided, whose members the links do not connect; with
+    ``best`` only the likeliest ones, of large hubs.  None where there is no such hub."""
+    components = connected_components(links).toDF("rep", "comp")
+    placed = stage_table(hubs.join(components, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
+    per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    open_hubs = stage_table(
+        per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("total"), F.max("c").alias("most"), F.max_by("comp", "c").alias("main"))
+        .filter("comps > 1")
+        .select("key", "main", F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int").alias("s"), F.ceil(F.col("most") / BLOCK).cast("int").alias("s_main"),
+                (F.col("total") <= SMALL_HUB).alias("small")), "open-hubs")
+    if open_hubs.filter("NOT small" if best else "true").isEmpty():
+        return None
+    rows = stage_table(placed.join(open_hubs, "key").join(members.select("rep", "n"), "rep"), "open-rows")
+    many = _large_hubs(rows.filter("NOT small"), members, num, den, best)
+    if best:
+        return many.distinct().join(decided, ["a", "b"], "left_anti")
     x = rows.filter("small").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
     y = rows.filter("small").select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
     fits = F.lit(den) * F.least("nx", "ny") >= F.lit(num) * F.greatest("nx", "ny")
     few = _with_bitmaps(_ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fits), "x", "y"), members, num, den)
+    return few.unionByName(many).distinct().join(decided, ["a", "b"], "left_anti")
+
 
-    mine = F.pmod(F.xxhash64("rep"), F.col("s")).cast("int")
-    dealt = (rows.filter("NOT small").withColumn("mine", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+def _large_hubs(rows: DataFrame, members: DataFrame, num: int, den: int, best: bool) -> DataFrame:
+    """Pairs of large hubs, block by block.  A hub's main component has blocks of its own, numbered after
+    the others' ``s``; they meet the others' blocks only, so a hub that is one component but for a few
+    sets costs as many rows as it has members for each block of those few."""
+    mine = F.when(F.col("comp") == F.col("main"), F.col("s") + F.pmod(F.xxhash64("rep"), F.col("s_main"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("s")))
+    meets = F.when(F.col("mine") < F.col("s"), F.col("s") + F.col("s_main")).otherwise(F.col("s")) - 1
+    dealt = (rows.withColumn("mine", mine.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), meets)))
              .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp", "n",
                      F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side")))
-    many = (dealt.join(members.select("rep", "bits"), "rep").groupBy("key", "i", "j")
-            .applyInArrow(lambda t: _block_pairs(t, num, den), "a long, b long"))
-    return few.unionByName(many).distinct()
+    return (dealt.join(members.select("rep", "bits"), "rep").groupBy("key", "i", "j")
+            .applyInArrow(lambda t: _block_pairs(t, num, den, best), "a long, b long"))
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -325,9 +355,14 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     members = stage_table(known.join(sizes.select(F.col("doc_id").alias("rep"), "d1", "d2", "bits"), ["rep", "d1", "d2"])
                           .dropDuplicates(["rep", "d1", "d2"]).select("rep", "n", "bits"), "members")
 
-    first = _decide(_with_bitmaps(_centre_pairs(tiles), members, num, den), src, width, num, den)
-    second = _decide(_open_pairs(tiles, members, connected_components(first).toDF("rep", "comp"), num, den), src, width, num, den)
-    found = stage_table(connected_components(first.unionByName(second)).toDF("rep", "component_id"), "components")
+    hubs = _hubs(tiles)
+    decided, links = _decide(_with_bitmaps(_ordered(hubs, "rep", "key"), members, num, den), src, width, num, den)
+    for best in (True, False):
+        still_open = _open_pairs(hubs, members, links, decided, num, den, best)
+        if still_open is not None:
+            more, new = _decide(still_open, src, width, num, den)
+            decided, links = decided.unionByName(more), links.unionByName(new)
+    found = stage_table(connected_components(links).toDF("rep", "component_id"), "components")
     named = stage_table(classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id")), "named")
     return sizes.join(named, ["d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -54,7 +54,7 @@ def corpus(seed, docs, hot):
 
 @pytest.mark.parametrize("seed,docs,hot,width,num", [(1, 400, 0, 3, 90), (2, 500, 120, 5, 80), (3, 300, 0, 1, 50)])
 def test_components_equal_brute_force(spark, monkeypatch, seed, docs, hot, width, num):
-    monkeypatch.setattr(nj, "SMALL_TILE", 4)
+    monkeypatch.setattr(nj, "SMALL_HUB", 4)
     monkeypatch.setattr(nj, "BLOCK", 16)
     monkeypatch.setattr(nj, "BROADCAST_IDS", 0 if seed == 1 else 10 ** 6)
     rows = corpus(seed, docs, hot)
