@@ -34,6 +34,19 @@ def test_cuts_are_even_beside_a_giant():
     assert max(parts) <= 3000 + 800 and max(rest) <= 1.3 * min(rest)
 
 
+def test_heavy_items_do_not_unbalance():
+    r = random.Random(9)
+    for heavy in ([400] * 7, [3000, 900, 900, 333, 250], [100] * 35, []):
+        sizes = [r.randrange(1, 5) for _ in range(4000)] + heavy
+        r.shuffle(sizes)
+        totals = [0] * 40
+        for size, k in zip(sizes, sh.shard_of_items(sizes, 40)):
+            totals[k] += size
+        rest = [t for t in totals if t not in heavy]        # a shard of one heavy item cannot be smaller
+        assert sum(totals) == sum(sizes) and max(rest) <= 1.06 * min(rest)
+    assert sorted(sh.item_order([5, 1, 1, 9], 2)) == [0, 1, 2, 3] and sh.shard_of_items([], 3) == []
+
+
 def test_shards_are_even_whole_and_gapless(spark):
     r = random.Random(4)
     texts = [f"text {k} " * r.randrange(1, 40) for k in range(3000)] + ["hot " * 5] * 700 + [None, "", None, "é"] * 3
