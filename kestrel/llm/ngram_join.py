@@ -13,14 +13,12 @@
    tiles.  In a group of near copies that is the text they derive from, so the group
    falls together without its pairs being written out.  From here on the tiles of one
    centre are one hub, so two sets that share many tiles are compared once.
-4. Second round, large hubs, cut to blocks of ``BLOCK`` sets that are compared block by block
-   (blocks of a hub's main component only with those of other sets): each set outside a
-   block pair's main component meets its likeliest partners by bitmap.
-5. Third round: all pairs under a hub that the links so far do not connect.  Small hubs
-   are joined with themselves, large ones compared by blocks.
-6. In all rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
+4. Second round: all pairs under a hub that the links so far do not connect.  Small hubs are
+   joined with themselves, large ones cut to blocks of ``BLOCK`` sets compared block by block
+   (blocks of a hub's main component only with those of other sets).
+5. In both rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
    decided by intersecting the sorted arrays of only those documents, read again.
-7. Components of the links, joined back through the classes.
+6. Components of the links, joined back through the classes.
 """
 
 from __future__ import annotations
@@ -40,7 +38,6 @@ from kestrel.session import stage_table
 
 SMALL_HUB = 16               # sets under a hub whose pairs a join may write out
 BLOCK = 256                  # sets of a block of a larger hub
-BEST = 4                     # partners that a set meets per block pair in the second round (the third has no limit)
 KNOWN = 8                    # sets of one batch that make a tile known as shared
 BITMAP_BITS = 1 << 16        # widest bitmap of a set
 BROADCAST_IDS = 1_000_000    # ids of documents to read again that are broadcast; more are merged by id
@@ -230,27 +227,20 @@ def _linked(batches, num: int, den: int):
         yield batch_of(schema, [part.column(0).filter(pa.array(keep, pa.bool_())), part.column(1).filter(pa.array(keep, pa.bool_()))])
 
 
-def _block_pairs(table: pa.Table, num: int, den: int, best: bool) -> pa.Table:
+def _block_pairs(table: pa.Table, num: int, den: int) -> pa.Table:
     """Pairs of two blocks of a hub (side 0 with side 1, or a block with itself: side 2) that are in
-    different components and whose sizes and bitmaps leave a link possible; with ``best`` the
-    likeliest ``BEST`` for each set that is not in the blocks' largest component."""
+    different components and whose sizes and bitmaps leave a link possible."""
     rep, comp, n, side = (table.column(c).to_numpy() for c in ("rep", "comp", "n", "side"))
     bits = [x.as_buffer() for x in table.column("bits")]
     words = min(map(len, bits)) // 8
     signature = np.array([folded(x, words) for x in bits])
     a, b, place = [], [], np.arange(len(rep))
-    names, sizes = np.unique(comp, return_counts=True)
-    main = names[sizes.argmax()]
     for i in range(len(rep)):
-        if best and comp[i] == main:
-            continue
-        other = np.flatnonzero((best | (place > i)) & ((side == 2) | (side == 1 - side[i])) & (comp != comp[i])
+        other = np.flatnonzero((place > i) & ((side == 2) | (side == 1 - side[i])) & (comp != comp[i])
                                & (den * np.minimum(n, n[i]) >= num * np.maximum(n, n[i])))
         both = n[other] + n[i]
         most = both - np.bitwise_count(signature[other] ^ signature[i]).sum(axis=1, dtype=np.int64)
-        other, most = other[(num + den) * most >= 2 * num * both], most[(num + den) * most >= 2 * num * both]
-        if best and len(other):
-            other = other[np.argsort(-most / (n[other] + n[i]), kind="stable")[:BEST]]
+        other = other[(num + den) * most >= 2 * num * both]
         a.append(np.full(len(other), rep[i]))
         b.append(rep[other])
     a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
@@ -293,9 +283,9 @@ def _hubs(tiles: DataFrame) -> DataFrame:
     return stage_table(tiles.join(centres, "key").select(F.col("centre").alias("key"), "rep").distinct(), "hubs")
 
 
-def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, num: int, den: int, best: bool) -> DataFrame | None:
-    """Possible pairs under a hub, not yet decided, whose members the links do not connect; with
-    ``best`` only the likeliest ones, of large hubs.  None where there is no such hub."""
+def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, num: int, den: int) -> DataFrame | None:
+    """Possible pairs under a hub, not yet decided, whose members the links do not connect; None
+    where every hub is connected."""
     components = connected_components(links).toDF("rep", "comp")
     placed = stage_table(hubs.join(components, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
     per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -304,12 +294,10 @@ def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided:
         .filter("comps > 1")
         .select("key", "main", F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int").alias("s"), F.ceil(F.col("most") / BLOCK).cast("int").alias("s_main"),
                 (F.col("total") <= SMALL_HUB).alias("small")), "open-hubs")
-    if open_hubs.filter("NOT small" if best else "true").isEmpty():
+    if open_hubs.isEmpty():
         return None
     rows = stage_table(placed.join(open_hubs, "key").join(members.select("rep", "n"), "rep"), "open-rows")
-    many = _large_hubs(rows.filter("NOT small"), members, num, den, best)
-    if best:
-        return many.distinct().join(decided, ["a", "b"], "left_anti")
+    many = _large_hubs(rows.filter("NOT small"), members, num, den)
     x = rows.filter("small").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
     y = rows.filter("small").select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
     fits = F.lit(den) * F.least("nx", "ny") >= F.lit(num) * F.greatest("nx", "ny")
@@ -317,7 +305,7 @@ def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided:
     return few.unionByName(many).distinct().join(decided, ["a", "b"], "left_anti")
 
 
-def _large_hubs(rows: DataFrame, members: DataFrame, num: int, den: int, best: bool) -> DataFrame:
+def _large_hubs(rows: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of large hubs, block by block.  A hub's main component has blocks of its own, numbered after
     the others' ``s``; they meet the others' blocks only, so a hub that is one component but for a few
     sets costs as many rows as it has members for each block of those few."""
@@ -327,7 +315,7 @@ def _large_hubs(rows: DataFrame, members: DataFrame, num: int, den: int, best: b
              .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp", "n",
                      F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side")))
     return (dealt.join(members.select("rep", "bits"), "rep").groupBy("key", "i", "j")
-            .applyInArrow(lambda t: _block_pairs(t, num, den, best), "a long, b long"))
+            .applyInArrow(lambda t: _block_pairs(t, num, den), "a long, b long"))
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -357,11 +345,9 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     hubs = _hubs(tiles)
     decided, links = _decide(_with_bitmaps(_ordered(hubs, "rep", "key"), members, num, den), src, width, num, den)
-    for best in (True, False):
-        still_open = _open_pairs(hubs, members, links, decided, num, den, best)
-        if still_open is not None:
-            more, new = _decide(still_open, src, width, num, den)
-            decided, links = decided.unionByName(more), links.unionByName(new)
+    still_open = _open_pairs(hubs, members, links, decided, num, den)
+    if still_open is not None:
+        links = links.unionByName(_decide(still_open, src, width, num, den)[1])
     found = stage_table(connected_components(links).toDF("rep", "component_id"), "components")
     named = stage_table(classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id")), "named")
     return sizes.join(named, ["d1", "d2"], "left").select(
