@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.llm.common import batch_of, text_chunks
+from kestrel.session import stage_table
 
 WINDOW = 13
 MAX_WINDOWS = 200_000      # windows broadcast at once: about 100 bytes each
+CHAINED = 4                # blocks a task scans for at once; rows are staged in between
 MIN_SHARE = 20             # contaminated: 20 * n_hit >= n_words
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")   # bytes of [^\x00-\x2F\x3A-\x60\x7B-\x7F] after lower-casing
 # A-Z to a-z, word bytes kept, every other byte to a blank.
@@ -203,29 +205,67 @@ def verdicts(scanned: DataFrame) -> DataFrame:
                     ((F.col("n_hit") > 0) & (MIN_SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated")))
 
 
-def remove_spans(text: bytes, mask: np.ndarray) -> bytes:
-    """The text without the runs of masked words and what stands between those words."""
+def _marks(batches, block, text_col: str, first: bool):
+    """Per slice its own columns, its texts, and per text the number of words, the spans and the items of
+    this block and of those before it (the last two columns, unless it is the ``first``)."""
+    block, hashes = block.value, WordHashes()
+    table = np.unpackbits(block["table"]).astype(bool)
+    for part, texts in text_chunks(batches, text_col):
+        own = part if first else part.select(list(range(part.num_columns - 2)))
+        before = [[()] * len(texts)] * 2 if first else [c.to_pylist() for c in part.columns[-2:]]
+        marks = []
+        for (count, mask, found), spans, items in zip(_scan_texts(texts, block, hashes, table), *before):
+            for s in spans:
+                mask[s["start"]:s["end"]] = True
+            marks.append((count, runs(mask) if spans or found is not None else [], sorted({*items, *(found or ())})))
+        yield own, texts, marks
+
+
+def _carry(marked, names: list[str]):
+    """The slices' own columns, untouched, with spans and items behind them."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for own, _, marks in marked:
+        spans = [[{"start": a, "end": b} for a, b in m[1]] for m in marks]
+        found = [pa.array(spans, span), pa.array([m[2] for m in marks], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays([*own.columns, *found], names=names)
+
+
+def _chain(src: DataFrame, text_col: str, finish, schema: T.StructType, benchmark: DataFrame, max_windows: int, columns: dict) -> DataFrame:
+    """``finish`` over the rows of ``src`` and their marks of all blocks.
+
+    Every block scans the same rows with their untouched texts; the marks grow in two more
+    columns.  Rows are staged after every ``CHAINED`` blocks, as each block is a Python worker of the task.
+    """
+    free = "_" * (1 + max(map(len, src.columns)))  # longer than any column's name, so it is none of them
+    carried = T.StructType([*src.schema.fields, *(T.StructField(free + f.name, f.dataType) for f in SCAN.fields[2:])])
+    out = src
+    for k, (blocks, block) in enumerate(broadcast_blocks(benchmark, max_windows, **columns), 1):
+        if k == blocks:
+            return out.mapInArrow(lambda it: finish(_marks(it, block, text_col, blocks == 1)), schema)
+        out = out.mapInArrow(lambda it, block=block, first=k == 1: _carry(_marks(it, block, text_col, first), carried.names), carried)
+        if k % CHAINED == 0:
+            out = stage_table(out, "marked")
+
+
+def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the words of the spans and what stands between those words."""
     places = [m.span() for m in WORD.finditer(text)]
     out, at = [], 0
-    for a, b in runs(mask):
+    for a, b in spans:
         out.append(text[at:places[a][0]])
         at = places[b - 1][1]
     return b"".join([*out, text[at:]])
 
 
-def _clean(batches, block, text_col: str, mode: str):
-    block, hashes = block.value, WordHashes()
-    table = np.unpackbits(block["table"]).astype(bool)
-    for part, texts in text_chunks(batches, text_col):
-        results = _scan_texts(texts, block, hashes, table)
-        hits = [int(mask.sum()) if found is not None else 0 for _, mask, found in results]
-        bad = [h > 0 and MIN_SHARE * h >= r[0] for h, r in zip(hits, results)]
+def _clean(marked, text_col: str, mode: str):
+    for part, texts, marks in marked:
         if mode == "documents":
-            yield part.filter(pa.array([not x for x in bad]))
-        elif any(hits):
+            hits = [sum(b - a for a, b in spans) for _, spans, _ in marks]
+            yield part.filter(pa.array([not (h > 0 and MIN_SHARE * h >= m[0]) for h, m in zip(hits, marks)]))
+        elif any(m[1] for m in marks):
             at = part.schema.get_field_index(text_col)
             old = part.column(at)
-            new = [remove_spans(t, r[1]).decode("utf-8", "replace") if h else o.as_py() for t, r, h, o in zip(texts, results, hits, old)]
+            new = [remove_spans(t, m[1]).decode("utf-8", "replace") if m[1] else o.as_py() for t, m, o in zip(texts, marks, old)]
             yield part.set_column(at, part.schema.field(at), pa.array(new, old.type))
         else:
             yield part
@@ -237,17 +277,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
 
     All columns stay.  One pass and no shuffle while the benchmark fits one block.  Beyond
     that, documents are judged over all blocks and the contaminated ids joined away; spans
-    are removed block by block.
+    of all blocks are found in the untouched texts and their union removed once.
     """
     if mode not in ("documents", "spans"):
         raise ValueError(mode)
-    out = docs
-    for n, block in broadcast_blocks(benchmark, max_windows, id_col=item_col, text_col=item_text_col, length=length):
-        if n > 1 and mode == "documents":
-            found = verdicts(scan(docs, benchmark, id_col, text_col, item_col, item_text_col, length, max_windows))
-            return docs.join(found.filter("contaminated").select(F.col("doc_id").alias(id_col)), id_col, "left_anti")
-        out = out.mapInArrow(lambda it, block=block: _clean(it, block, text_col, mode), docs.schema)
-    return out
+    columns = dict(id_col=item_col, text_col=item_text_col, length=length)
+    if mode == "documents" and next(broadcast_blocks(benchmark, max_windows, **columns))[0] > 1:
+        found = verdicts(scan(docs, benchmark, id_col, text_col, item_col, item_text_col, length, max_windows))
+        return docs.join(found.filter("contaminated").select(F.col("doc_id").alias(id_col)), id_col, "left_anti")
+    return _chain(docs, text_col, lambda marked: _clean(marked, text_col, mode), docs.schema, benchmark, max_windows, columns)
 
 
 SQL = r"""

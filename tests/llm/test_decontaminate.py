@@ -85,3 +85,27 @@ def test_empty_tables_and_modes(spark):
     assert dc.scan(d.limit(0), b).count() == 0 and dc.decontaminate(d, b).count() == 1
     with pytest.raises(ValueError):
         dc.decontaminate(d, b, mode="other")
+
+
+def hit_words(text, windows):
+    w = words(text)
+    return {p for size in {len(x) for x in windows} for k in range(len(w) - size + 1) if tuple(w[k:k + size]) in windows for p in range(k, k + size)}
+
+
+@pytest.mark.parametrize("max_windows", [200_000, 100, 20])  # one block, a few, and more than are chained without staging
+def test_removed_spans_are_the_same_in_one_block_and_in_several(spark, max_windows):
+    docs, bench = data(5)
+    bench = [x for x in bench if len(words(x[1])) >= 12]
+    windows = {tuple(w[k:k + 13]) for w in (words(t) for _, t in bench) for k in range(max(1, len(w) - 12))}
+    assert len(windows) > 20 * dc.CHAINED
+    rows = [(i, t, [f"{i}"]) for i, t in docs]
+    d = spark.createDataFrame(rows, "doc_id long, text string, spans array<string>")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    kept = dc.decontaminate(d, b, mode="spans", max_windows=max_windows)
+    assert kept.schema == d.schema
+    got = {r.doc_id: (r.text, r.spans) for r in kept.collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        hit = hit_words(text, windows)
+        assert words(got[i][0]) == [w for k, w in enumerate(words(text)) if k not in hit] and got[i][1] == [f"{i}"]
+        assert hit or got[i][0] == text
