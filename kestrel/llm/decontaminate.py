@@ -2,8 +2,8 @@
 
 The benchmark's distinct windows (``WINDOW`` consecutive words; a shorter item is one
 window) are counted first.  Up to ``max_windows`` of them form one broadcast block; a
-larger benchmark is cut to several blocks by window hash, each scanned in turn, and the
-hits are merged per document.  A scan rolls a 64-bit hash over the word hashes, looks it
+larger benchmark is cut to several blocks by window hash, scanned for in turn over the same
+rows, which carry the hits of the blocks before.  A scan rolls a 64-bit hash over the word hashes, looks it
 up in a bit table, and verifies what remains by comparing the words themselves.
 """
 
@@ -132,37 +132,10 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-def _scan(batches, block):
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))])
-    block, hashes = block.value, WordHashes()
-    table = np.unpackbits(block["table"]).astype(bool)
-    for part, texts in text_chunks(batches):
-        n, spans, items = [], [], []
-        for count, mask, found in _scan_texts(texts, block, hashes, table):
-            n.append(count)
-            spans.append([{"start": a, "end": b} for a, b in (runs(mask) if found is not None else ())])
-            items.append(sorted(found or ()))
-        yield batch_of(schema, [part.column(0), n, spans, items])
-
-
-def _merge(batches):
-    """Spans of several blocks united, items sorted."""
-    for b in batches:
-        rows = b.to_pylist()
-        for r in rows:
-            mask = np.zeros(r["n_words"], bool)
-            for s in r["spans"]:
-                mask[s["start"]:s["end"]] = True
-            r["spans"] = [{"start": x, "end": y} for x, y in runs(mask)]
-            r["items"] = sorted(set(r["items"]))
-        yield pa.RecordBatch.from_pylist(rows, schema=b.schema)
-
-
 def broadcast_blocks(benchmark: DataFrame, max_windows: int = MAX_WINDOWS, **columns):
     """Yield broadcasts of the benchmark's windows, each of ``max_windows`` on average at most.
 
-    One is built and sent at a time: neither the driver nor a task holds more than one block.
+    One is built and sent at a time; a task holds ``CHAINED`` of them at most.
     """
     spark = benchmark.sparkSession
     windows = benchmark_windows(benchmark, **columns)
@@ -172,39 +145,6 @@ def broadcast_blocks(benchmark: DataFrame, max_windows: int = MAX_WINDOWS, **col
         yield blocks, spark.sparkContext.broadcast(_block(rows))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_col: str = "item_id", item_text_col: str = "text", length: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Per document ``doc_id, n_words, spans, items``: runs of words inside occurrences of benchmark windows.
-
-    Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased; null and
-    empty texts have none.  Items without words match nothing; an item with a null id marks
-    words but is not listed; equal items are all listed.  With an empty benchmark nothing is
-    hit; an empty document table gives an empty result; other columns are ignored.  Rows that
-    repeat an id are separate rows, but when the benchmark needs several blocks they are
-    told apart by their number of words only.
-    """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = [(n, src.mapInArrow(lambda it, block=block: _scan(it, block), SCAN))
-             for n, block in broadcast_blocks(benchmark, max_windows, id_col=item_col, text_col=item_text_col, length=length)]
-    if len(parts) == 1:
-        return parts[0][1]
-    every = parts[0][1]
-    for _, p in parts[1:]:
-        every = every.unionByName(p.filter(F.size("items") + F.size("spans") > 0))
-    return (every.groupBy("doc_id", "n_words")
-            .agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-            .mapInArrow(_merge, SCAN))
-
-
-def verdicts(scanned: DataFrame) -> DataFrame:
-    """Counts, item digest and the contamination rule on the rows of ``scan``."""
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return (scanned.withColumn("n_hit", n_hit)
-            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                    ((F.col("n_hit") > 0) & (MIN_SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated")))
-
-
 def _marks(batches, block, text_col: str, first: bool):
     """Per slice its own columns, its texts, and per text the number of words, the spans and the items of
     this block and of those before it (the last two columns, unless it is the ``first``)."""
@@ -221,13 +161,17 @@ def _marks(batches, block, text_col: str, first: bool):
         yield own, texts, marks
 
 
+def _columns(marks) -> list[pa.Array]:
+    """Spans and items of one slice."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    spans = [[{"start": a, "end": b} for a, b in m[1]] for m in marks]
+    return [pa.array(spans, span), pa.array([m[2] for m in marks], pa.list_(pa.string()))]
+
+
 def _carry(marked, names: list[str]):
     """The slices' own columns, untouched, with spans and items behind them."""
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for own, _, marks in marked:
-        spans = [[{"start": a, "end": b} for a, b in m[1]] for m in marks]
-        found = [pa.array(spans, span), pa.array([m[2] for m in marks], pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays([*own.columns, *found], names=names)
+        yield pa.RecordBatch.from_arrays([*own.columns, *_columns(marks)], names=names)
 
 
 def _chain(src: DataFrame, text_col: str, finish, schema: T.StructType, benchmark: DataFrame, max_windows: int, columns: dict) -> DataFrame:
@@ -247,6 +191,34 @@ def _chain(src: DataFrame, text_col: str, finish, schema: T.StructType, benchmar
             out = stage_table(out, "marked")
 
 
+def _scan(marked):
+    for own, _, marks in marked:
+        yield pa.RecordBatch.from_arrays([own.column(0), pa.array([m[0] for m in marks], pa.int64()), *_columns(marks)], names=SCAN.names)
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         item_col: str = "item_id", item_text_col: str = "text", length: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+    """Per document ``doc_id, n_words, spans, items``: runs of words inside occurrences of benchmark windows.
+
+    Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased; null and
+    empty texts have none.  Items without words match nothing; an item with a null id marks
+    words but is not listed; equal items are all listed.  With an empty benchmark nothing is
+    hit; an empty document table gives an empty result; other columns are ignored.  Rows that
+    repeat an id and rows with a null id are separate rows, in one block and in several.
+    """
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _chain(src, "text", _scan, SCAN, benchmark, max_windows, dict(id_col=item_col, text_col=item_text_col, length=length))
+
+
+def verdicts(scanned: DataFrame) -> DataFrame:
+    """Counts, item digest and the contamination rule on the rows of ``scan``."""
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return (scanned.withColumn("n_hit", n_hit)
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                    ((F.col("n_hit") > 0) & (MIN_SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated")))
+
+
 def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The text without the words of the spans and what stands between those words."""
     places = [m.span() for m in WORD.finditer(text)]
@@ -276,16 +248,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     """``docs`` without contaminated documents (``mode="documents"``) or without hit spans (``"spans"``).
 
     All columns stay.  One pass and no shuffle while the benchmark fits one block.  Beyond
-    that, documents are judged over all blocks and the contaminated ids joined away; spans
-    of all blocks are found in the untouched texts and their union removed once.
+    that, every block scans the same rows with their untouched texts; each row is judged, or
+    the union of its spans removed, once at the end, whatever its id.
     """
     if mode not in ("documents", "spans"):
         raise ValueError(mode)
-    columns = dict(id_col=item_col, text_col=item_text_col, length=length)
-    if mode == "documents" and next(broadcast_blocks(benchmark, max_windows, **columns))[0] > 1:
-        found = verdicts(scan(docs, benchmark, id_col, text_col, item_col, item_text_col, length, max_windows))
-        return docs.join(found.filter("contaminated").select(F.col("doc_id").alias(id_col)), id_col, "left_anti")
-    return _chain(docs, text_col, lambda marked: _clean(marked, text_col, mode), docs.schema, benchmark, max_windows, columns)
+    return _chain(docs, text_col, lambda marked: _clean(marked, text_col, mode), docs.schema, benchmark, max_windows,
+                  dict(id_col=item_col, text_col=item_text_col, length=length))
 
 
 SQL = r"""

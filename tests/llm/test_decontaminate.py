@@ -109,3 +109,15 @@ def test_removed_spans_are_the_same_in_one_block_and_in_several(spark, max_windo
         hit = hit_words(text, windows)
         assert words(got[i][0]) == [w for k, w in enumerate(words(text)) if k not in hit] and got[i][1] == [f"{i}"]
         assert hit or got[i][0] == text
+
+
+@pytest.mark.parametrize("max_windows", [200_000, 3])
+def test_rows_are_judged_one_by_one_whatever_their_id(spark, max_windows):
+    item = " ".join(f"b{k}" for k in range(20))
+    bad, clean = f"x {item} y", " ".join(f"c{k}" for k in range(22))
+    rows = [(None, bad, 1), (None, clean, 2), (7, bad, 3), (7, clean, 4), (None, clean, 5), (8, bad, 6), (8, bad, 7), (9, None, 8)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = [tuple(r) for r in dc.verdicts(dc.scan(d, b, max_windows=max_windows)).collect()]
+    assert sorted(got, key=str) == sorted((want([r[:2]], [(1, item)])[0] for r in rows), key=str)
+    assert sorted(r.row for r in dc.decontaminate(d, b, max_windows=max_windows).collect()) == [2, 4, 5, 8]
