@@ -23,6 +23,11 @@ TRACKED = 65536         # counters of the sketch: a digest above rows / TRACKED
 HEAVY_ROWS = 64         # a verified digest below this is left to the ordinary shuffle
 
 
+def _digest(text_col: str, normalise):
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.sha2(normalise(text) if normalise else text, 256)
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=None,
                      max_heavy: int = MAX_HEAVY, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
@@ -33,9 +38,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     group, and all rows with the staying id are kept.  An empty table gives an empty
     result; columns besides the two named are ignored, whatever their names.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    text = normalise(text) if normalise else text
-    rows = stage_table(docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("text_sha256")), "digests")
+    rows = stage_table(docs.select(F.col(id_col).alias("doc_id"), _digest(text_col, normalise).alias("text_sha256")), "digests")
 
     candidates = (rows.agg(F.expr(f"approx_top_k(text_sha256, {max_heavy}, {tracked})").alias("top"))
                   .select(F.explode("top.item").alias("text_sha256")))
@@ -52,14 +55,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return heavy.select(*out).unionByName(rest.select(*out))
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=None, **how) -> DataFrame:
     """``docs`` without the rows that lose to an equal text; all columns stay as they are.
 
-    The ids to drop grow with the input, so they are merged with the documents by id, never
-    broadcast.  Of rows with a null id, each is kept: they cannot be told apart.
+    A row is named by its id and digest, as rows that repeat an id may hold other texts.  The
+    rows to drop grow with the input, so they are merged with the documents, never
+    broadcast.  Rows with a null id are all kept.
     """
-    lost = exact_duplicates(docs, id_col, text_col, **how).filter("NOT kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(lost.hint("merge"), id_col, "left_anti")
+    sha = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name, so it is none of them
+    lost = (exact_duplicates(docs, id_col, text_col, normalise, **how).filter("NOT kept")
+            .select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias(sha)))
+    return docs.withColumn(sha, _digest(text_col, normalise)).join(lost.hint("merge"), [id_col, sha], "left_anti").drop(sha)
 
 
 # Query ---------------------------------------------------------------------------------

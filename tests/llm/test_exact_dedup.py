@@ -36,3 +36,13 @@ def test_empty_and_normalised(spark):
     from pyspark.sql import functions as F
     assert {r.group_size for r in ed.exact_duplicates(df, normalise=F.lower).collect()} == {2}
     assert ed.exact_duplicates(df.limit(0)).count() == 0 and ed.drop_exact_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_lost_text_takes_no_other_text_of_its_id(spark):
+    df = spark.createDataFrame([(5, "A", "x"), (5, "B", "y"), (9, "A", "z"), (5, None, "n"), (None, "B", "w")], "doc_id long, text string, text_sha256 string")
+    left = ed.drop_exact_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(r.text_sha256 for r in left.collect()) == ["n", "w", "y", "z"]
+    from pyspark.sql import functions as F
+    lower = spark.createDataFrame([(5, "A"), (5, "B"), (9, "a")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in ed.drop_exact_duplicates(lower, normalise=F.lower).collect()) == [(5, "B"), (9, "a")]
