@@ -7,7 +7,7 @@
 3. All other hashes are range-partitioned with a secondary sort by document (largest first)
    and position; one streaming pass per partition marks every line after the first
    document's once the hash is seen in enough documents.
-4. Marks are gathered per document to a compressed bitmap of lines to keep.
+4. Marks are gathered per document and text to a compressed bitmap of lines to keep.
 5. Only documents that lose a line are read again, to join their other lines.
 """
 
@@ -67,13 +67,14 @@ def _hash_lines(batches, min_chars: int):
 
 
 def _stream_marks(batches, min_docs: int):
-    """(doc_id, pos) of every line to drop, from rows sorted by hash, document (descending) and position.
+    """(doc_id, pos) of every line to drop, from rows sorted by hash, document (descending) and position;
+    a fifth column, the row of the document, is handed on.
 
     Holds one Arrow batch, and of the last hash in it only the rows seen before it is known
     to be frequent: those of fewer than ``min_docs`` documents.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("pos", pa.int32())])
-    held = np.empty((0, 4), dtype=np.int64)
+    fields = [pa.field("doc_id", pa.int64()), pa.field("pos", pa.int32()), pa.field("row", pa.int64())]
+    held = None
     frequent = None  # (h1, h2, first document) of an unfinished hash already known to be frequent
 
     def marks(rows: np.ndarray):
@@ -85,24 +86,27 @@ def _stream_marks(batches, min_docs: int):
         docs = np.maximum.reduceat(rank, start) + 1
         return rank, docs[group], start
 
+    def dropped(rows: np.ndarray):
+        return batch_of(pa.schema(fields[:rows.shape[1] - 2]), [c.astype(np.int32) if i == 1 else c for i, c in enumerate(rows[:, 2:].T)])
+
     for b in batches:
-        rows = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)])
+        rows = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])
         if frequent is not None:
             same = (rows[:, 0] == frequent[0]) & (rows[:, 1] == frequent[1])
             drop = rows[same & (rows[:, 2] != frequent[2])]
             if len(drop):
-                yield batch_of(schema, [drop[:, 2], drop[:, 3].astype(np.int32)])
+                yield dropped(drop)
             rows = rows[~same]
             if len(rows):
                 frequent = None
-        rows = np.concatenate([held, rows])
+        rows = rows if held is None else np.concatenate([held, rows])
         held = rows[:0]
         if not len(rows):
             continue
         rank, docs, start = marks(rows)
         drop = rows[(rank > 0) & (docs >= min_docs)]
         if len(drop):
-            yield batch_of(schema, [drop[:, 2], drop[:, 3].astype(np.int32)])
+            yield dropped(drop)
         if docs[-1] >= min_docs:
             frequent = tuple(rows[start[-1], :3])
         else:
@@ -122,27 +126,29 @@ def unpack_bitmap(bitmap: bytes, n_lines: int) -> np.ndarray:
 
 
 def _pack(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("keep_bitmap", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("keep_bitmap", pa.binary())])
     for b in batches:
-        ids, counts, drops = (b.column(i).to_pylist() for i in range(3))
-        yield batch_of(schema, [ids, counts, [len(d) for d in drops], [pack_bitmap(d, n) for d, n in zip(drops, counts)]])
+        ids, shas, counts, drops = (b.column(i).to_pylist() for i in range(4))
+        yield batch_of(schema, [ids, shas, counts, [len(d) for d in drops], [pack_bitmap(d, n) for d, n in zip(drops, counts)]])
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
                  min_docs: int = MIN_DOCS, max_heavy: int = MAX_HEAVY, tracked: int = TRACKED):
     """``(lines, bitmaps)``: per document ``doc_id, n_lines, sha`` and long-line hashes; and for
-    documents that lose lines ``doc_id, n_lines, n_dropped, keep_bitmap``.
+    each text of a document that loses lines ``doc_id, sha, n_lines, n_dropped, keep_bitmap``.
 
     Lines are split at ``\\n``; null or empty text is one empty line.  A line whose key (ends
     stripped of ASCII blanks, A-Z lower-cased) has ``min_chars`` code points and occurs in
     ``min_docs`` documents is kept only in the largest id that holds it, there wherever it
     stands.  Rows that repeat an id are one document: its lines are those of all the rows,
-    and each row gets its own result.  Rows with a null id count as one document that loses to every other and their
+    and each row gets its own result (texts of one id are told apart by 64 bits of their digest's
+    hash).  Rows with a null id count as one document that loses to every other and their
     lines are never dropped, as no result could name them.  An empty table gives empty results.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lines = stage_table(src.mapInArrow(lambda it: _hash_lines(it, min_chars), LINES), "lines")
-    long = lines.select(F.coalesce("doc_id", F.lit(-(2 ** 63))).alias("doc"), F.inline("lines"))
+    row = F.xxhash64("sha").alias("row")
+    long = lines.select(F.coalesce("doc_id", F.lit(-(2 ** 63))).alias("doc"), row, F.inline("lines"))
 
     top = lines.select(F.explode("lines.h1").alias("h1")).agg(F.expr(f"approx_top_k(h1, {max_heavy}, {tracked})").alias("top"))
     candidates = top.select(F.explode("top").alias("t")).filter(F.col("t.count") >= HEAVY_ROWS).select(F.col("t.item").alias("h1"))
@@ -152,30 +158,30 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .groupBy("h1", "h2").agg(F.max("doc").alias("winner"), F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs).orderBy(F.desc("n_docs"), "h1", "h2").limit(max_heavy), "heavy-lines")
     heavy_marks = (long.join(F.broadcast(heavy), ["h1", "h2"]).filter(F.col("doc") != F.col("winner"))
-                   .select(F.col("doc").alias("doc_id"), "pos"))
-    light = long.join(F.broadcast(heavy.select("h1", "h2")), ["h1", "h2"], "left_anti").select("h1", "h2", "doc", "pos")
+                   .select(F.col("doc").alias("doc_id"), "pos", "row"))
+    light = long.join(F.broadcast(heavy.select("h1", "h2")), ["h1", "h2"], "left_anti").select("h1", "h2", "doc", "pos", "row")
     ordered = (light.repartitionByRange(F.col("h1"), F.col("h2"))
                .sortWithinPartitions("h1", "h2", F.desc("doc"), "pos"))
-    light_marks = ordered.mapInArrow(lambda it: _stream_marks(it, min_docs), "doc_id long, pos int")
+    light_marks = ordered.mapInArrow(lambda it: _stream_marks(it, min_docs), "doc_id long, pos int, row long")
 
     marks = (heavy_marks.unionByName(light_marks).filter(F.col("doc_id") != -(2 ** 63))
-             .groupBy("doc_id").agg(F.collect_set("pos").alias("dropped")))  # one document's lines
-    sizes = lines.groupBy("doc_id").agg(F.max("n_lines").alias("n_lines"))
-    bitmaps = sizes.join(marks, "doc_id").select("doc_id", "n_lines", F.sort_array("dropped").alias("dropped")).mapInArrow(
-        _pack, "doc_id long, n_lines long, n_dropped long, keep_bitmap binary")
+             .groupBy("doc_id", "row").agg(F.collect_set("pos").alias("dropped")))  # one text's lines
+    sizes = lines.groupBy("doc_id", row).agg(F.max("sha").alias("sha"), F.max("n_lines").alias("n_lines"))
+    bitmaps = sizes.join(marks, ["doc_id", "row"]).select("doc_id", "sha", "n_lines", F.sort_array("dropped").alias("dropped")).mapInArrow(
+        _pack, "doc_id long, sha string, n_lines long, n_dropped long, keep_bitmap binary")
     return lines, stage_table(bitmaps, "keep-bitmaps")
 
 
 def _apply(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("kept_text", pa.string()), ("kept_sha256", pa.string())])
     for part, texts in text_chunks(batches):
-        bitmaps = part.column(2)
+        bitmaps = part.column(3)
         out = []
         for text, bitmap in zip(texts, bitmaps):
             lines = text.split(b"\n")
             keep = unpack_bitmap(bitmap.as_py(), len(lines))
             out.append(b"\n".join(x for x, k in zip(lines, keep) if k))
-        yield batch_of(schema, [part.column(0), [hashlib.sha256(x).hexdigest() for x in texts],
+        yield batch_of(schema, [part.column(0), part.column(1),
                                 [x.decode("utf-8") for x in out], [hashlib.sha256(x).hexdigest() for x in out]])
 
 
@@ -183,10 +189,11 @@ def kept_texts(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     """``doc_id, sha, kept_text, kept_sha256`` of the documents that lose lines (``sha``: of the whole text).
 
     The documents that lose a line grow with the input, so the bitmaps are never broadcast:
-    texts and bitmaps are sorted and merged by id at every size.
+    texts and bitmaps are sorted and merged by id and digest at every size.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return (src.join(bitmaps.select("doc_id", "keep_bitmap").hint("merge"), "doc_id")
+    src = src.withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return (src.join(bitmaps.select("doc_id", "sha", "keep_bitmap").hint("merge"), ["doc_id", "sha"])
             .mapInArrow(_apply, "doc_id long, sha string, kept_text string, kept_sha256 string"))
 
 
@@ -195,7 +202,7 @@ def line_dedup_digest(docs: DataFrame) -> DataFrame:
     lines, bitmaps = keep_bitmaps(docs)
     changed = kept_texts(docs, bitmaps).select("doc_id", "sha", "kept_sha256").distinct()
     return (lines.select("doc_id", "n_lines", "sha")
-            .join(bitmaps.select("doc_id", "n_dropped"), "doc_id", "left").join(changed, ["doc_id", "sha"], "left")
+            .join(bitmaps.select("doc_id", "sha", "n_dropped"), ["doc_id", "sha"], "left").join(changed, ["doc_id", "sha"], "left")
             .select("doc_id", "n_lines", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
                     F.coalesce("kept_sha256", "sha").alias("kept_sha256")))
 

@@ -64,3 +64,13 @@ def test_stream_marks_do_not_depend_on_batches():
         return sorted(x for b in ld._stream_marks(batches, 3) for x in zip(*(c.to_pylist() for c in b.columns)))
 
     assert run(1) == run(7) == run(400) and len(run(400)) > 100
+
+
+@pytest.mark.parametrize("heavy", [2, 10 ** 6])
+def test_rows_of_one_id_keep_their_own_lines(spark, monkeypatch, heavy):
+    monkeypatch.setattr(ld, "HEAVY_ROWS", heavy)
+    common, other = "a line that many documents hold", "another line that many documents hold"
+    rows = [(1, f"own first line of a text\n{common}"), (1, "short\nunique line of the second text\nx"), (1, f"{other}\n{common}\n{common}"), (1, None)]
+    rows += [(k, f"{common}\n{other}") for k in (2, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in ld.line_dedup_digest(df).collect()) == want(rows)
