@@ -87,7 +87,7 @@ FAMILIES = (
     ("cecill", r"cecill (?:1 0|1 1|2 0|2 1|b|c)", r"cecill (?:free software )?licen[sc]e", "cecill"),
     ("mulanpsl", r"mulanpsl (?:1|2) 0", r"mulan permissive software licen[sc]e", "mulanpsl mulan"),
     ("upl", r"upl 1 0", r"universal permissive licen[sc]e", "upl universal"),
-    ("llama", r"llama ?[234](?: [1-3])?", r"llama (?:[234](?: [1-3])? )?community licen[sc]e", "llama"),
+    ("llama", r"llama ?[234](?: [1-3])?", r"llama (?:[234](?: [1-3])? )?community licen[sc]e", "llama llama2 llama3 llama4"),
     ("openrail", r"(?:creativeml |bigscience |bigcode )?openrail(?: m| s)?", r"(?:creativeml |bigscience |bigcode )?open ?rail(?: m)? licen[sc]e", "openrail rail"),
     ("proprietary", r"licenseref proprietary", r"proprietary and confidential|all rights reserved", "proprietary rights"),
     ("public-domain", r"licenseref public domain", r"dedicated to the public domain|released into the public domain|in the public domain", "domain"),

@@ -1,4 +1,5 @@
 import random
+import re
 
 from kestrel.llm import license_scan as ls
 from kestrel.llm.decontaminate import words_of
@@ -53,3 +54,33 @@ def test_crossing_detections_keep_the_higher_priority():
     a, b = ls.Detection(0, 9, "a", 2, 0.5), ls.Detection(5, 12, "b", 8, 0.5)
     assert ls.resolve([a, b]) == [b]
     assert ls.contained_out([ls.Detection(0, 9, "a", 2, 0.5), ls.Detection(0, 9, "b", 3, 0.5), ls.Detection(2, 9, "c", 9, 0.5)]) == [ls.Detection(0, 9, "b", 3, 0.5)]
+
+
+def spellings(pattern):
+    """Every string that a signature matches (its repeats are bounded)."""
+    def of(items):
+        out = [""]
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                one = [chr(arg)]
+            elif name == "IN":
+                one = [chr(c) for o, a in arg for c in (range(a[0], a[1] + 1) if str(o) == "RANGE" else [a])]
+            elif name == "MAX_REPEAT":
+                one = [x * n for n in range(arg[0], int(arg[1]) + 1) for x in of(arg[2])]
+            elif name == "SUBPATTERN":
+                one = of(arg[-1])
+            else:
+                assert name == "BRANCH", name
+                one = [x for branch in arg[1] for x in of(branch)]
+            out = [a + b for a in out for b in one]
+        return out
+    return set(of(re._parser.parse(pattern)))
+
+
+def test_every_spelling_of_every_family_passes_its_gate():
+    for label, spdx, name, keywords in ls.FAMILIES:
+        for text in spellings(spdx) | spellings(name):
+            assert set(text.split()) & set(keywords.split()), (label, text)
+    assert found("the llama3 license") == [("llama", 1, 3)]
+    assert found("SPDX-License-Identifier: llama3") == [("llama", 0, 4)]
