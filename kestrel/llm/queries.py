@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from kestrel.llm import bpe, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, quality, sharding, toxicity
+from kestrel.llm import (bpe, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, quality, sharding,
+                         token_alignment, toxicity)
 from kestrel.llm.common import read_table
 
 
@@ -59,6 +60,12 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.held_out_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    """Tokens of ``documents`` by a byte-level and a sentence-piece vocabulary, aligned, with corpus-wide counts of linked ids."""
+    shared = token_alignment.tokenizers(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_alignment.link_statistics(read_table(spark, sf_dir, "documents"), shared)
+
+
 LLM_REGISTRY = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.SQL),
     "op2_ngram_jaccard_join": (op2_ngram_jaccard_join, ngram_join.SQL),
@@ -70,4 +77,5 @@ LLM_REGISTRY = {
     "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, line_dedup.SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_tokenizer_alignment": (op11_tokenizer_alignment, None),
 }
