@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from kestrel.llm import (bpe, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, quality, sharding,
-                         token_alignment, toxicity)
+from kestrel.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, prefix_trie,
+                         quality, sharding, token_alignment, toxicity)
 from kestrel.llm.common import read_table
 
 
@@ -66,6 +67,24 @@ def op11_tokenizer_alignment(spark, sf_dir):
     return token_alignment.link_statistics(read_table(spark, sf_dir, "documents"), shared)
 
 
+def op12_conversation_trie(spark, sf_dir):
+    """Prefix trie of the rebuilt ``conversations`` with totals over every subtree."""
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+# Fixed value: the turns of conversation -7, whose texts hold control strings.
+PROBE = "array(struct(-7L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text), struct(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]'))"
+
+
+def op13_chat_formatting(spark, sf_dir):
+    """``conversations`` and one that holds control strings, formatted to token ids and loss masks and read back."""
+    shared = bpe.tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    template = chat_format.Template(first_id=max(shared.value["ranks"].values()) + 1)
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
+        spark.range(1).select(F.expr(f"inline({PROBE})")))
+    return chat_format.read_back(chat_format.format_conversations(rows, shared, template), shared, template)
+
+
 LLM_REGISTRY = {
     "op1_exact_dedup": (op1_exact_dedup, exact_dedup.SQL),
     "op2_ngram_jaccard_join": (op2_ngram_jaccard_join, ngram_join.SQL),
@@ -78,4 +97,6 @@ LLM_REGISTRY = {
     "op9_line_dedup": (op9_line_dedup, line_dedup.SQL),
     "op10_toxicity": (op10_toxicity, None),
     "op11_tokenizer_alignment": (op11_tokenizer_alignment, None),
+    "op12_conversation_trie": (op12_conversation_trie, prefix_trie.SQL),
+    "op13_chat_formatting": (op13_chat_formatting, chat_format.SQL),
 }
