@@ -17,6 +17,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,18 @@ from kestrel.llm.common import batch_of, text_chunks
 from kestrel.session import stage_table
 
 FREQUENT = 1 << 18           # pairs that may be broadcast (a long and two values each)
-SLICE_CHARS = 1 << 16        # texts are encoded in slices of about so many characters, cut where no token can cross
-LONG_SLICE = 200_000         # a slice above it has no such place: the slower library encodes it
+CHUNK_BYTES = 1 << 20        # text whose tokens and links are held at once, besides one text of any length
+MEMO, MEMO_CHARS = 400_000, 64   # words whose ids a worker remembers, and their longest
+LONG_WORD = 200_000          # above it the slower library encodes a word
 WIDE_GROUP = 64              # links of a group above which equal ids are counted instead of written out
 
 # Fixed value: the pre-token pattern of byte-level vocabularies of this file format.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# A single blank between two words: byte-level tokens never hold a blank but in front, nor does
+# any piece of a vocabulary without blanks inside.  So the ids of a text are those of its words.
+BETWEEN_WORDS = re.compile(r"(?<=[\w!-~]) (?=\S)")
+
 
 # Tokenizers ----------------------------------------------------------------------------
 
@@ -44,22 +51,6 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def _slices(text: str, chars: int):
-    """``text`` cut at blanks between a letter or digit and another word: no token of either tokenizer holds such a blank inside.
-
-    The blank of a cut belongs to the next slice and is left out, as both encoders put one
-    in front of what they are given.
-    """
-    at = 0
-    while len(text) - at > chars:
-        cut = re.compile(r"(?<=[^\W_]) (?=\S)").search(text, at + chars)
-        if not cut:
-            break
-        yield text[at:cut.start()]
-        at = cut.end()
-    yield text[at:]
-
-
 class ByteLevel:
     """Byte-level BPE from a vocabulary in JSON; ids of blank + text."""
 
@@ -83,14 +74,10 @@ class ByteLevel:
             ranks = {self.bytes[i]: i for entry, i in vocab.items() if entry not in special}
             self.fast = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, text: str, chars: int = SLICE_CHARS) -> np.ndarray:
-        ids = []
-        for s in _slices(text, chars):
-            if self.fast and len(s) <= LONG_SLICE:
-                ids += self.fast.encode_ordinary(" " + s)
-            else:
-                ids += self.whole.encode(" " + s, add_special_tokens=False).ids
-        return np.array(ids, np.int64)
+    def encode(self, words: list[str]) -> list[list[int]]:
+        if not self.fast:
+            return [e.ids for e in self.whole.encode_batch([" " + w for w in words], add_special_tokens=False)]
+        return [self.fast.encode_ordinary(" " + w) if len(w) <= LONG_WORD else self.whole.encode(" " + w, add_special_tokens=False).ids for w in words]
 
 
 class Pieces:
@@ -107,9 +94,46 @@ class Pieces:
                       else name.replace("▁", " ").encode() for i, name in enumerate(names)]
         self.inner_blank = any("▁" in name.lstrip("▁") for name in names)
 
-    def encode(self, text: str, chars: int = SLICE_CHARS) -> np.ndarray:
-        parts = [text] if self.inner_blank else list(_slices(text, chars))  # a piece across a cut: no cuts
-        return np.array([i for ids in self.model.encode(parts, num_threads=1) for i in ids], np.int64)
+    def encode(self, words: list[str]) -> list[list[int]]:
+        return self.model.encode(words, num_threads=1)
+
+
+class Encoder:
+    """Both tokenizers; the ids of words met before are remembered.  A blank goes in front of every text."""
+
+    def __init__(self, byte_level: bytes, pieces: bytes):
+        self.sides = ByteLevel(byte_level), Pieces(pieces)
+        self.sizes = [np.array([len(x) for x in side.bytes], np.int64) for side in self.sides]
+        marks = (",", "|"), (",", ";")
+        self.said = [f"{i}{mark}" for side, ends in zip(self.sides, marks) for mark in ends for i in range(len(side.bytes))]
+        self.split = (lambda text: [text]) if self.sides[1].inner_blank else BETWEEN_WORDS.split
+        self.memo: tuple[dict, dict] = ({}, {})
+        self.unlike: set[str] = set()  # words whose tokens' bytes are not blank + word
+
+    def bytes_of(self, side: int, ids) -> bytes:
+        return b"".join(map(self.sides[side].bytes.__getitem__, ids))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of each text by both, None where the tokens' bytes are not blank + text."""
+        if len(self.memo[0]) > MEMO:
+            self.memo[0].clear(), self.memo[1].clear(), self.unlike.clear()
+        split = [self.split(t) for t in texts]
+        new = list(set().union(*split).difference(self.memo[0]))
+        for side in (0, 1):
+            found = self.sides[side].encode(new)
+            self.memo[side].update(zip(new, (array("i", ids).tobytes() for ids in found)))
+            if self.bytes_of(side, chain.from_iterable(found)) != b"".join(b" " + w.encode() for w in new):
+                self.unlike.update(w for w, ids in zip(new, found) if self.bytes_of(side, ids) != b" " + w.encode())
+        out = []
+        for text, words in zip(texts, split):
+            a, b = (np.frombuffer(b"".join(map(m.__getitem__, words)), np.int32).astype(np.int64) for m in self.memo)
+            same = self.unlike.isdisjoint(words) or all(self.bytes_of(k, x.tolist()) == b" " + text.encode() for k, x in ((0, a), (1, b)))
+            out.append((a, b) if same else None)
+        for w in new:
+            if len(w) > MEMO_CHARS:
+                del self.memo[0][w], self.memo[1][w]
+                self.unlike.discard(w)
+        return out
 
 
 def tokenizers(spark: SparkSession, byte_level: str, pieces: str):
@@ -118,15 +142,12 @@ def tokenizers(spark: SparkSession, byte_level: str, pieces: str):
         return spark.sparkContext.broadcast({"a": a.read(), "b": b.read()})
 
 
-def _codecs(shared):
-    """Both tokenizers, their byte lengths and the decimal strings of their ids, built once per worker."""
+def _encoder(shared) -> Encoder:
+    """The encoder, built once per worker."""
     state = shared.value
-    if "codecs" not in state:
-        a, b = ByteLevel(state["a"]), Pieces(state["b"])
-        sizes = [np.array([len(x) for x in t.bytes], np.int64) for t in (a, b)]
-        words = [f"{i}{mark}" for n, marks in ((len(a.bytes), ",|"), (len(b.bytes), ",;")) for mark in marks for i in range(n)]
-        state["codecs"] = a, b, *sizes, words
-    return state["codecs"]
+    if "encoder" not in state:
+        state["encoder"] = Encoder(state["a"], state["b"])
+    return state["encoder"]
 
 
 # Alignment -----------------------------------------------------------------------------
@@ -139,10 +160,9 @@ def _near_middle(a_ends, b_ends, lo, hi):
     """
     at_a, at_b = np.full(len(lo), -1), np.full(len(lo), -1)
     middle, left = (lo + hi - 2) // 2, np.arange(len(lo))
-    start, width = 0, 1
+    start, width, away = 0, 1, np.zeros(1, np.int64)
     while len(left):
-        away = np.arange(start, start + width)
-        probe = (middle[left, None, None] + away[None, :, None] * np.array([1, -1])).reshape(len(left), -1)
+        probe = middle[left, None] + away
         inside = (probe >= lo[left, None]) & (probe <= hi[left, None] - 2)
         row, col = np.nonzero(inside)
         ends = probe[row, col]
@@ -151,7 +171,8 @@ def _near_middle(a_ends, b_ends, lo, hi):
         row, ends, place = row[common], ends[common], place[common]
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else row
         at_a[left[row[first]]], at_b[left[row[first]]] = ends[first], place[first]
-        start, width = start + width, max(1, start + width)
+        start, width = start + width, start + width
+        away = (np.arange(start, start + width)[:, None] * np.array([1, -1])).ravel()
         more = inside.any(axis=1)
         more[row[first]] = False
         left = left[more]
@@ -177,8 +198,8 @@ def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, a_stops: np.ndarray, b_s
         at_a, at_b = at_a[cut] + 1, at_b[cut] + 1
         stops_a.append(at_a)
         stops_b.append(at_b)
-        lo_a, hi_a = np.r_[lo_a[cut], at_a], np.r_[at_a, hi_a[cut]]
-        lo_b, hi_b = np.r_[lo_b[cut], at_b], np.r_[at_b, hi_b[cut]]
+        lo_a, hi_a = np.column_stack([lo_a[cut], at_a]).ravel(), np.column_stack([at_a, hi_a[cut]]).ravel()  # halves in order
+        lo_b, hi_b = np.column_stack([lo_b[cut], at_b]).ravel(), np.column_stack([at_b, hi_b[cut]]).ravel()
     return np.sort(np.concatenate(stops_a)), np.sort(np.concatenate(stops_b))
 
 
@@ -210,24 +231,14 @@ def _links(a, b, text_of, a_from, a_n, b_from, b_n, n_a: int, n_b: int):
     return keys[first], np.add.reduceat(times, first) if len(keys) else times
 
 
-def align_texts(texts: list[bytes], codecs) -> dict[str, list | np.ndarray]:
+def align_texts(texts: list[bytes], encoder: Encoder) -> dict[str, list | np.ndarray]:
     """Per text the counts, the digest of its groups, and its distinct links (``a``, ``b``, ``times`` with ``ends``)."""
-    first, second, size_a, size_b, words = codecs
+    size_a, size_b = encoder.sizes
     n = len(texts)
-    ids_a, ids_b, used = [], [], []
-    for i, raw in enumerate(texts):
-        if not raw:
-            continue
-        text, want = raw.decode("utf-8"), b" " + raw
-        a = first.encode(text)
-        if b"".join(map(first.bytes.__getitem__, a.tolist())) != want:
-            continue
-        b = second.encode(text)
-        if b"".join(map(second.bytes.__getitem__, b.tolist())) != want:
-            continue
-        ids_a.append(a)
-        ids_b.append(b)
-        used.append(i)
+    used = [i for i, raw in enumerate(texts) if raw]
+    both = encoder.encode([texts[i].decode("utf-8") for i in used])
+    used = [i for i, x in zip(used, both) if x]
+    ids_a, ids_b = zip(*filter(None, both)) if used else ((), ())
     out = {k: np.zeros(n, np.int64) for k in ("n_a", "n_b", "n_groups", "n_links")} | {"sha": [""] * n}
     if not used:
         return out | {k: np.zeros(0, np.int64) for k in ("a", "b", "times")} | {"ends": np.zeros(n + 1, np.int64)}
@@ -249,7 +260,7 @@ def align_texts(texts: list[bytes], codecs) -> dict[str, list | np.ndarray]:
     at = 0
     for k, i in enumerate(used):
         upto = stops_a[k] + stops_b[k]
-        out["sha"][i] = hashlib.sha256("".join(map(words.__getitem__, order[at:upto].tolist()))[:-1].encode()).hexdigest()
+        out["sha"][i] = hashlib.sha256("".join(map(encoder.said.__getitem__, order[at:upto].tolist()))[:-1].encode()).hexdigest()
         at = upto
 
     out["n_a"][used], out["n_b"][used] = len_a, len_b
@@ -269,9 +280,9 @@ FIELDS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_s
 def _align(batches, shared):
     schema = pa.schema([("doc_id", pa.int64()), *((k, pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")), ("groups_sha256", pa.string()),
                         ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("times", pa.list_(pa.int64()))])
-    codecs = _codecs(shared)
-    for part, texts in text_chunks(batches):
-        x = align_texts(texts, codecs)
+    encoder = _encoder(shared)
+    for part, texts in text_chunks(batches, max_bytes=CHUNK_BYTES):
+        x = align_texts(texts, encoder)
         ends = pa.array(x["ends"], pa.int32())
         yield batch_of(schema, [part.column(0), x["n_a"], x["n_b"], x["n_groups"], x["n_links"], x["sha"],
                                 *(pa.ListArray.from_arrays(ends, pa.array(x[k].astype(t))) for k, t in (("a", np.int32), ("b", np.int32), ("times", np.int64)))])

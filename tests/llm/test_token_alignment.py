@@ -20,7 +20,8 @@ A = Tokenizer.from_file(PATHS[0])
 A.encode_special_tokens = True
 B = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
 with open(PATHS[0], "rb") as a, open(PATHS[1], "rb") as b:
-    FIRST, SECOND = ta.ByteLevel(a.read()), ta.Pieces(b.read())
+    ENCODER = ta.Encoder(a.read(), b.read())
+FIRST, SECOND = ENCODER.sides
 TEXTS = st.text(max_size=80) | st.text(alphabet="ab 1.é▁\n\t한<>s/", max_size=60)
 
 
@@ -68,12 +69,22 @@ def shared(spark):
     return ta.tokenizers(spark, *PATHS)
 
 
-@settings(max_examples=200, deadline=None)
-@given(TEXTS, st.integers(1, 20))
-def test_ids_equal_the_libraries_for_every_slice_size(text, chars):
-    if text:
-        a, b = library_ids(text)
-        assert FIRST.encode(text, chars).tolist() == a and SECOND.encode(text, chars).tolist() == b
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXTS.filter(len), max_size=4))
+def test_ids_equal_the_libraries(texts):
+    for text, ids in zip(texts, ENCODER.encode(texts)):
+        want = library_ids(text)
+        same = all(ENCODER.bytes_of(k, x) == (" " + text).encode() for k, x in enumerate(want))
+        assert [x.tolist() for x in ids] == list(want) if same else ids is None
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(ta, "MEMO", 2)
+    texts = ["one two three four", "one two ▁ three", "w" * 500 + " two one", "▁" * 500]
+    first = ENCODER.encode(texts)
+    again = ENCODER.encode(texts)
+    assert [x and [y.tolist() for y in x] for x in first] == [x and [y.tolist() for y in x] for x in again]
+    assert first[1] is None and first[3] is None and len(ENCODER.memo[0]) < 8 and not any(len(w) > 64 for w in ENCODER.unlike | set(ENCODER.memo[1]))
 
 
 def test_every_character_has_the_same_ids_in_both_libraries():
@@ -119,12 +130,10 @@ def test_documents_against_plain_loops(spark, shared, frequent):
 
 
 def test_wide_groups_count_equal_ids(monkeypatch):
-    codecs = FIRST, SECOND, *(np.array([len(x) for x in t.bytes], np.int64) for t in (FIRST, SECOND)), \
-        [f"{i}{mark}" for n, marks in ((len(FIRST.bytes), ",|"), (len(SECOND.bytes), ",;")) for mark in marks for i in range(n)]
     texts = [(t or "").encode() for t in ROWS]
-    whole = ta.align_texts(texts, codecs)
+    whole = ta.align_texts(texts, ENCODER)
     monkeypatch.setattr(ta, "WIDE_GROUP", 0)
-    counted = ta.align_texts(texts, codecs)
+    counted = ta.align_texts(texts, ENCODER)
     assert all(np.array_equal(whole[k], counted[k]) for k in whole)
     assert whole["n_links"].sum() == whole["times"].sum()
 
