@@ -3,12 +3,14 @@
 Moments, counts and correlations are one aggregation pass (map-side partial
 aggregation, one small shuffle), then a reshape of the result row into a long
 table.  Quantiles are exact (linear interpolation, equal to pandas / DuckDB
-``quantile_cont``) and come from counts per distinct value: combined map-side,
-range-sorted, with running counts per partition, so no task holds a column.
+``quantile_cont``) and come from radix selection: counts of leading bits, combined
+map-side, so no values are sorted and no task holds a column.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from kestrel.session import stage_table
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
+DIGIT_BITS = 16              # key bits that one pass of a quantile tells apart
 
 
 def _c(c) -> Column:
@@ -30,40 +33,85 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def ordered_key(value: Column) -> Column:
+    """Order-preserving 64-bit integer of a double: equal doubles share a key, smaller ones have smaller keys.
+
+    Sign times exponent and mantissa, taken apart by exact arithmetic (powers of two only);
+    both zeros are 0, NaN is above infinity, NULL stays NULL.
+    """
+    size = F.abs(value)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022))
+    ratio = size / F.pow(F.lit(2.0), guess)   # the logarithm may be off by one next to a power of two
+    step = F.when(ratio >= 2.0, 1).when(ratio < 1.0, -1).otherwise(0)
+    mantissa = F.when(ratio >= 2.0, ratio / 2.0).when(ratio < 1.0, ratio * 2.0).otherwise(ratio)
+    normal = (guess + step + 1023) * F.lit(1 << 52) + ((mantissa - 1.0) * float(1 << 52)).cast("long")
+    key = (F.when(F.isnan(value), F.lit((2047 << 52) + 1)).when(size == float("inf"), F.lit(2047 << 52))
+           .when(size < 2.0 ** -1022, (size * 2.0 ** 1022 * float(1 << 52)).cast("long")).otherwise(normal))
+    return F.when(value.isNotNull(), F.when(value < 0, -key).otherwise(key))
+
+
+def _hits(counts: DataFrame, keys: list[str], within: list[str], slots: Column) -> DataFrame:
+    """Wanted ranks with the bucket each falls in: one row per slot, from buckets with ``n, lo, hi``.
+
+    ``slots`` is the bucket row's array of ``(slot, rank)`` in its part (``within``), a slot being
+    resolved when its bucket's smallest or largest value must be it.
+    """
+    part = Window.partitionBy(*within)
+    run = counts.withColumns({"upto": F.sum("n").over(part.orderBy("bucket")), "total": F.coalesce("total", F.sum("n").over(part))})
+    run = run.withColumn("before", F.col("upto") - F.col("n")).withColumn("slots", slots)
+    hit = run.select(*keys, "bucket", "before", "upto", "lo", "hi", "total", F.explode(F.filter(
+        "slots", lambda s: (s["rank"] >= F.col("before")) & (s["rank"] < F.col("upto")))).alias("s"))
+    rank = F.col("s.rank") - F.col("before")
+    return hit.select(*keys, "bucket", "total", F.col("s.slot").alias("slot"), rank.alias("rank"),
+                      F.when((rank == 0) | F.col("lo").eqNullSafe(F.col("hi")), F.col("lo"))
+                       .when(F.col("s.rank") == F.col("upto") - 1, F.col("hi")).alias("value"))
+
+
 def quantiles(df: DataFrame, cols: list[str], probs, by: list[str] | None = None) -> DataFrame:
     """``(by…, column_name, q)``: the exact quantiles of every column per group as an array.
 
-    All columns go through one job: unpivot, count per distinct value with map-side combine,
-    range sort, running counts inside each sorted partition plus the totals of the earlier
-    ones, and the two order statistics around each probability.  NULLs are left out; a
-    column (or group) without values has no row.
+    Radix selection on order-preserving keys, all columns, groups and probabilities at once:
+    rows are counted by the leading ``DIGIT_BITS`` of their keys, and only buckets that hold a
+    wanted rank are counted again by the next bits, until each wanted bucket's smallest or
+    largest value is the answer.  At most four passes over ``df``; counts are combined
+    map-side to at most 2 ** DIGIT_BITS rows per bucket, values are never sorted or kept.
+    NULLs are left out; NaN is the largest value; a column (or group) without values has no row.
     """
-    by = by or []
-    probs = [float(p) for p in probs]
+    by, probs = by or [], [float(p) for p in probs]
     keys = [*by, "column_name"]
     entry = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in cols])
     long = df.select(*by, F.explode(entry).alias("e")).select(*by, "e.column_name", "e.value").filter("value IS NOT NULL")
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    runs = stage_table(counts.orderBy(*keys, "value").withColumn("part", F.spark_partition_id()), "distinct-values")
-    per = runs.groupBy(*keys, "part").agg(F.sum("n").alias("m"))
-    group = Window.partitionBy(*keys)
-    per = stage_table(per.select(*keys, "part", F.sum("m").over(group).alias("total"),
-                                 (F.sum("m").over(group.orderBy("part")) - F.col("m")).alias("before")), "partition-counts")
-    same = [runs[k].eqNullSafe(per[k]) for k in [*keys, "part"]]
-    at = runs.join(per, same).select(*[runs[k] for k in keys], "value", "n", "before", "total", runs["part"])
-    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("value"))
-    at = at.withColumn("upto", upto)
-
-    def statistic(index: Column) -> Column:
-        return F.max(F.when((F.col("upto") > index) & (F.col("upto") - F.col("n") <= index), F.col("value")))
+    long = long.withColumn("key", ordered_key(F.col("value")))
+    last = F.col("total") - 1
+    slots = F.array(*[F.struct(F.lit(2 * i + side).alias("slot"), end(F.lit(p) * last).cast("long").alias("rank"))
+                      for i, p in enumerate(probs) for side, end in ((0, F.floor), (1, F.ceil))])
+    found, level = [], 64 - DIGIT_BITS
+    counts = (long.groupBy(*keys, F.shiftright("key", level).alias("bucket"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+              .withColumn("total", F.lit(None).cast("long")))
+    hits = stage_table(_hits(counts, keys, keys, slots), "rank-buckets")
+    while True:
+        found.append(hits.filter("value IS NOT NULL"))
+        open_ = hits.filter("value IS NULL").select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], F.col("bucket").alias("parent"),
+                                                    "total", "slot", "rank")
+        if open_.isEmpty():
+            break
+        wanted = open_.groupBy(*[c for c in open_.columns if c not in ("slot", "rank")]).agg(F.collect_list(F.struct("slot", "rank")).alias("slots"))
+        same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)] + [F.col("parent") == F.col("above")]
+        inside = long.withColumn("above", F.shiftright("key", level)).join(wanted, same, "left_semi")
+        level -= DIGIT_BITS
+        counts = inside.groupBy(*keys, "above", F.shiftright("key", level).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        counts = counts.join(wanted, same).select(*keys, "above", "bucket", "n", "lo", "hi", "total", "slots")
+        hits = stage_table(_hits(counts, keys, [*keys, "above"], F.col("slots")), "rank-buckets")
 
     stats, out = [], []
     for i, p in enumerate(probs):
-        place = F.lit(p) * (F.col("total") - 1)
-        stats += [statistic(F.floor(place)).alias(f"lo{i}"), statistic(F.ceil(place)).alias(f"hi{i}"),
+        place = F.lit(p) * last
+        stats += [*(F.max(F.when(F.col("slot") == 2 * i + side, F.col("value"))).alias(f"{end}{i}") for side, end in enumerate(("lo", "hi"))),
                   F.max(place - F.floor(place)).alias(f"f{i}")]
         out.append(F.col(f"lo{i}") + F.col(f"f{i}") * (F.col(f"hi{i}") - F.col(f"lo{i}")))
-    return at.groupBy(*keys).agg(*stats).select(*keys, F.array(*out).alias("q"))
+    return reduce(DataFrame.unionByName, found).groupBy(*keys).agg(*stats).select(*keys, F.array(*out).alias("q"))
 
 
 def quantile_values(df: DataFrame, cols: list[str], probs) -> dict[str, list[float | None]]:

@@ -141,16 +141,26 @@ def assign_folds(df: DataFrame, key: str | list[str], k: int, fold_col: str = "f
     ``ntile(k)`` for unique keys — the first ``n mod k`` folds hold one row more.  Only the
     keys are sorted; the k − 1 keys that start a fold are then applied as literals (rows of
     equal key share a fold)."""
+    return assign_folds_for(df, key, {fold_col: k})
+
+
+def assign_folds_for(df: DataFrame, key: str | list[str], sizes: dict[str, int]) -> DataFrame:
+    """``assign_folds`` for several numbers of folds (fold column to number): the keys are sorted once."""
     keys = [key] if isinstance(key, str) else list(key)
     idx = global_index(df.select(*keys), [F.col(c).asc() for c in keys], "__pos")
     n = idx.count()
-    q, r = divmod(n, k)
-    starts = [min(f, r) * (q + 1) + max(f - r, 0) * q for f in range(1, k)]
-    first = {x["__pos"]: x for x in idx.filter(F.col("__pos").isin([s for s in starts if s < n])).collect()}
-    row = F.struct(*[F.col(c) for c in keys])
-    fold = F.lit(0)
-    for s in starts:
-        if s in first:
+
+    def starts(k: int) -> list[int]:
+        q, r = divmod(n, k)
+        return [s for s in (min(f, r) * (q + 1) + max(f - r, 0) * q for f in range(1, k)) if s < n]
+
+    wanted = sorted({s for k in sizes.values() for s in starts(k)})
+    first = {x["__pos"]: x for x in idx.filter(F.col("__pos").isin(wanted)).collect()}
+    row, folds = F.struct(*[F.col(c) for c in keys]), {}
+    for column, k in sizes.items():
+        fold = F.lit(0)
+        for s in starts(k):
             bound = F.struct(*[F.lit(first[s][c]).cast(df.schema[c].dataType).alias(c) for c in keys])
             fold = fold + (row >= bound).cast("int")
-    return df.withColumn(fold_col, fold.cast("int"))
+        folds[column] = fold.cast("int")
+    return df.withColumns(folds)

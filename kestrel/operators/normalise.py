@@ -2,8 +2,7 @@
 
 Stemming runs once per DISTINCT token (a pandas UDF over the vocabulary) and is
 joined back, so the Python helper's cost grows with the vocabulary, not with the
-corpus.  Lemmas and tags are lookup tables joined on the token (AQE picks a
-broadcast when the measured table is small).
+corpus.  Stems and lemmas are lookup tables joined on the token, frequent tokens split off.
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from kestrel.functions.porter import porter_stem
+from kestrel.operators.lookup import lookup_join
+from kestrel.session import stage_table
 
 DEFAULT_TAG = "nn"
 
@@ -48,7 +49,7 @@ def stem_vocabulary(long: DataFrame, term: str = "term") -> DataFrame:
 def stem_tokens(long: DataFrame, term: str = "term", out: str = "stem") -> DataFrame:
     """Add the Porter stem of every token occurrence via the vocabulary table."""
     v = stem_vocabulary(long, term).withColumnRenamed("stem", out)
-    return long.join(v, term, "left")
+    return lookup_join(long, v, term, "left")
 
 
 def lemma_table_from_stems(long: DataFrame, term: str = "term", n: str | None = None) -> DataFrame:
@@ -61,10 +62,52 @@ def lemma_table_from_stems(long: DataFrame, term: str = "term", n: str | None =
     return st.join(rep, "stem").select(term, "lemma")
 
 
+# Suffix and what replaces it, by part of speech, in the order they are tried.
+DETACHMENTS = (
+    ("noun", "s", ""), ("noun", "ses", "s"), ("noun", "xes", "x"), ("noun", "zes", "z"), ("noun", "ches", "ch"), ("noun", "shes", "sh"),
+    ("noun", "men", "man"), ("noun", "ies", "y"),
+    ("verb", "s", ""), ("verb", "ies", "y"), ("verb", "es", "e"), ("verb", "es", ""), ("verb", "ed", "e"), ("verb", "ed", ""),
+    ("verb", "ing", "e"), ("verb", "ing", ""),
+    ("adjective", "er", ""), ("adjective", "est", ""), ("adjective", "er", "e"), ("adjective", "est", "e"),
+)
+# Irregular forms and their base forms.
+IRREGULAR = (
+    ("am", "be"), ("are", "be"), ("is", "be"), ("was", "be"), ("were", "be"), ("been", "be"), ("has", "have"), ("had", "have"), ("did", "do"), ("does", "do"),
+    ("done", "do"), ("went", "go"), ("gone", "go"), ("goes", "go"), ("said", "say"), ("made", "make"), ("took", "take"), ("taken", "take"), ("came", "come"),
+    ("saw", "see"), ("seen", "see"), ("knew", "know"), ("known", "know"), ("got", "get"), ("gave", "give"), ("given", "give"), ("found", "find"), ("told", "tell"),
+    ("felt", "feel"), ("left", "leave"), ("kept", "keep"), ("held", "hold"), ("brought", "bring"), ("began", "begin"), ("begun", "begin"), ("wrote", "write"),
+    ("written", "write"), ("stood", "stand"), ("heard", "hear"), ("ran", "run"), ("met", "meet"), ("paid", "pay"), ("sat", "sit"), ("spoke", "speak"),
+    ("spoken", "speak"), ("grew", "grow"), ("grown", "grow"), ("lost", "lose"), ("fell", "fall"), ("fallen", "fall"), ("sent", "send"), ("built", "build"),
+    ("understood", "understand"), ("drew", "draw"), ("drawn", "draw"), ("broke", "break"), ("broken", "break"), ("spent", "spend"), ("rose", "rise"),
+    ("risen", "rise"), ("drove", "drive"), ("driven", "drive"), ("bought", "buy"), ("wore", "wear"), ("worn", "wear"), ("chose", "choose"), ("chosen", "choose"),
+    ("men", "man"), ("women", "woman"), ("children", "child"), ("feet", "foot"), ("teeth", "tooth"), ("mice", "mouse"), ("geese", "goose"), ("people", "person"),
+    ("better", "good"), ("best", "good"), ("worse", "bad"), ("worst", "bad"),
+)
+
+
+def dictionary_lemmas(terms: DataFrame, words: DataFrame, term: str = "term", word: str = "word", exceptions=IRREGULAR, rules=DETACHMENTS) -> DataFrame:
+    """``(term, lemma)`` for the distinct lower-cased ``terms``: the base form that the word list ``words`` has.
+
+    In order of preference: the exception list's form; the term itself if it is a word; the form
+    of the first rule of ``rules`` (suffix detachment) that gives a word; the term itself.
+    Candidates are kept only if the list holds them (semi join), so the list may have any size.
+    """
+    distinct = stage_table(terms.select(F.lower(term).alias("term")).dropna().distinct(), "terms")
+    forms = [F.struct(F.lit(0).alias("rank"), F.col("term").alias("form"))]
+    for rank, (_, suffix, base) in enumerate(rules, 1):
+        cut = F.concat(F.substr("term", F.lit(1), F.length("term") - len(suffix)), F.lit(base))
+        forms.append(F.when(F.col("term").endswith(suffix) & (F.length("term") > len(suffix)), F.struct(F.lit(rank).alias("rank"), cut.alias("form"))))
+    candidates = distinct.select("term", F.inline(F.filter(F.array(*forms), lambda f: f.isNotNull())))
+    held = candidates.join(words.select(F.lower(word).alias("form")).distinct(), "form", "left_semi")
+    found = held.groupBy("term").agg(F.min_by("form", "rank").alias("held"))
+    listed = F.broadcast(terms.sparkSession.createDataFrame(list(exceptions) or [("", "")], "term string, listed string").filter("term <> ''"))  # a fixed list
+    return (distinct.join(found, "term", "left").join(listed, "term", "left")
+            .select("term", F.coalesce("listed", "held", "term").alias("lemma")))
+
+
 def lemmatise(long: DataFrame, lemmas: DataFrame, term: str = "term", out: str = "lemma") -> DataFrame:
     """Dictionary base form by lookup join; unknown tokens keep their own form."""
-    j = long.join(lemmas.select(F.col(lemmas.columns[0]).alias(term), F.col(lemmas.columns[1]).alias("__lemma")),
-                  term, "left")
+    j = lookup_join(long, lemmas.select(F.col(lemmas.columns[0]).alias(term), F.col(lemmas.columns[1]).alias("__lemma")), term, "left")
     return j.withColumn(out, F.coalesce(F.col("__lemma"), F.col(term))).drop("__lemma")
 
 

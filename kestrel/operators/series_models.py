@@ -1,5 +1,5 @@
-"""Per-series solvers: partial autocorrelation, augmented Dickey–Fuller with lag
-selection, ARIMA fitting, order grid search and forecasting.
+"""Per-series solvers: augmented Dickey–Fuller with lag selection, ARIMA fitting, order
+grid search and forecasting.
 
 Each series is a group of period rows (bounded by the calendar); the solvers run
 in ``applyInPandas`` with numpy on one series (or one (series, order) pair) at a
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.timeseries import S, T, V, autocorrelation
+from kestrel.operators.timeseries import S, T, V
 
 # MacKinnon (1994) p-value approximation for the Dickey–Fuller statistic,
 # regression with a constant, one variable (tau bounds, small- and large-p polynomials).
@@ -41,39 +41,6 @@ def mackinnon_p(tau: float) -> float:
     return _norm_cdf(sum(c * tau ** i for i, c in enumerate(coef)))
 
 
-# ---------------------------------------------------------------- PACF
-def durbin_levinson(r: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations 1..K from autocorrelations r_0..r_K."""
-    k_max = len(r) - 1
-    out = np.full(k_max + 1, np.nan)
-    out[0] = 1.0
-    phi_prev = np.zeros(0)
-    for k in range(1, k_max + 1):
-        if k == 1:
-            pk = r[1]
-        else:
-            den = 1.0 - np.dot(phi_prev, r[1:k])
-            pk = (r[k] - np.dot(phi_prev, r[k - 1:0:-1])) / den if den != 0 else np.nan
-        phi = np.empty(k)
-        phi[:k - 1] = phi_prev - pk * phi_prev[::-1]
-        phi[k - 1] = pk
-        phi_prev = phi
-        out[k] = pk
-    return out
-
-
-def partial_autocorrelation(df: DataFrame, max_lag: int = 50, series: str = S, ts: str = T, value: str = V) -> DataFrame:
-    """PACF by the Durbin–Levinson recursion over the ACF (one group of K+1 rows per series)."""
-    acf = autocorrelation(df, max_lag, series, ts, value)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        return pd.DataFrame({series: pdf[series].iloc[0], "lag": pdf["lag"].astype("int32"), "pacf": durbin_levinson(r)})
-
-    return acf.groupBy(series).applyInPandas(solve, f"{series} string, lag int, pacf double")
-
-
 # ---------------------------------------------------------------- ADF with lag selection
 def _ols(y: np.ndarray, x: np.ndarray):
     beta, *_ = np.linalg.lstsq(x, y, rcond=None)

@@ -148,6 +148,33 @@ def autocorrelation(df: DataFrame, max_lag: int = 50, series: str = S, ts: str =
 DF_CRITICAL_CONSTANT = (-3.43035, -2.86154, -2.56677)
 
 
+def durbin_levinson(r: Column) -> Column:
+    """Partial autocorrelations 0..K (ARRAY) from the autocorrelations r_0..r_K, by the Durbin–Levinson
+    recursion as a fold over the lags; NaN from the lag on at which the recursion breaks down."""
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    def step(state: Column, k: Column) -> Column:
+        phi, seen = state["phi"], F.slice(r, F.lit(2), k - 1)              # phi_1..phi_{k-1}, r_1..r_{k-1}
+        left = 1.0 - dot(phi, seen)
+        last = F.when(left != 0, (F.get(r, k) - dot(phi, F.reverse(seen))) / left).otherwise(F.lit(float("nan")))
+        # one-element array: the new coefficient is computed once
+        return F.get(F.transform(F.array(last), lambda p: F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - p * y), F.array(p)).alias("phi"),
+            F.concat(state["out"], F.array(p)).alias("out"))), 0)
+
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("out"))
+    lags = F.when(F.size(r) > 1, F.sequence(F.lit(1), F.size(r) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(lags, start, step, lambda s: s["out"])
+
+
+def partial_autocorrelation(df: DataFrame, max_lag: int = 50, series: str = S, ts: str = T, value: str = V) -> DataFrame:
+    """``(series, lag, pacf)`` for lags 0..``max_lag`` by ``durbin_levinson`` over the autocorrelations of each series."""
+    acf = autocorrelation(df, max_lag, series, ts, value)
+    r = F.transform(F.sort_array(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"])  # max_lag + 1 values at most
+    return acf.groupBy(series).agg(r.alias("r")).select(series, F.posexplode(durbin_levinson(F.col("r"))).alias("lag", "pacf"))
+
+
 def dickey_fuller(df: DataFrame, series: str = S, ts: str = T, value: str = V) -> DataFrame:
     """Dickey–Fuller test without augmentation: Δy_t = α + β·y_{t−1} + e; returns the
     t-statistic of β per series from closed-form regression aggregates (one pass)."""

@@ -103,8 +103,7 @@ def seasonal_decomposition(spark, sf):
                 ["value", "trend", "seasonal", "resid"])
 
 
-@register("monthly_autocorrelation", sql=f"""
-WITH {MONTHLY_SQL},
+ACF_SQL = MONTHLY_SQL + """,
 p AS (SELECT series_id, value, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS pos FROM m),
 s AS (SELECT series_id, avg(value) AS mu, count(*) AS n FROM p GROUP BY 1),
 c AS (SELECT p.series_id, pos, value - mu AS d, n FROM p JOIN s ON p.series_id = s.series_id),
@@ -112,8 +111,13 @@ den AS (SELECT series_id, sum(d * d) AS ss FROM c GROUP BY 1),
 lags AS (SELECT CAST(unnest(range(0, 51)) AS INTEGER) AS lag),
 num AS (SELECT a.series_id, lag, sum(a.d * b.d) AS num
         FROM c a CROSS JOIN lags LEFT JOIN c b ON a.series_id = b.series_id AND b.pos = a.pos - lag
-        WHERE lag < a.n GROUP BY 1, 2)
-SELECT num.series_id, lag, round(coalesce(num, 0) / ss, 6) AS acf FROM num JOIN den ON num.series_id = den.series_id
+        WHERE lag < a.n GROUP BY 1, 2),
+acf AS (SELECT num.series_id, lag, coalesce(num, 0) / ss AS acf FROM num JOIN den ON num.series_id = den.series_id)"""
+
+
+@register("monthly_autocorrelation", sql=f"""
+WITH {ACF_SQL}
+SELECT series_id, lag, round(acf, 6) AS acf FROM acf
 """)
 def monthly_autocorrelation(spark, sf):
     """Autocorrelation for lags 0..50 per series."""
@@ -173,10 +177,20 @@ def daily_calendar(spark, sf):
 from kestrel.operators import series_models as sm  # noqa: E402
 
 
-@register("monthly_partial_autocorrelation")
+@register("monthly_partial_autocorrelation", sql=f"""
+WITH RECURSIVE {ACF_SQL},
+r AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM acf GROUP BY 1),
+d AS (SELECT series_id, 0 AS lag, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS pacf, r FROM r
+      UNION ALL
+      SELECT series_id, lag + 1, list_concat(list_transform(phi, lambda x, j: x - p * phi[len(phi) + 1 - j]), [p]), p, r
+      FROM (SELECT *, (r[lag + 2] - coalesce(list_sum(list_transform(phi, lambda x, j: x * r[lag + 2 - j])), 0))
+                      / (1 - coalesce(list_sum(list_transform(phi, lambda x, j: x * r[j + 1])), 0)) AS p
+            FROM d WHERE lag + 1 < len(r)))
+SELECT series_id, lag, round(pacf, 6) AS pacf FROM d
+""")
 def monthly_partial_autocorrelation(spark, sf):
     """PACF for lags 0..50 per series by Durbin–Levinson over the ACF."""
-    return sm.partial_autocorrelation(monthly_log_totals(spark, sf), 50)
+    return ts.partial_autocorrelation(monthly_log_totals(spark, sf), 50).withColumn("pacf", F.round("pacf", R))
 
 
 @register("monthly_augmented_dickey_fuller")

@@ -6,7 +6,9 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from kestrel.operators import sentences as st
 from kestrel.operators import text as tx
+from kestrel.operators import features as fe
 from kestrel.plans.registry import register
 from kestrel.session import stage_table
 from kestrel.sources.tables import load
@@ -30,6 +32,73 @@ def document_sentences(spark, sf):
                     F.array_max(F.transform("ss", lambda s: F.length(s))).alias("longest"))
 
 
+# Statistics and decisions of the learnt splitter, from the same counts.
+LEARNT_SQL = r"""
+WITH toks AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \n\t\r]+'), lambda t: t <> '') AS t FROM documents),
+pairs AS (SELECT unnest(t) AS token, unnest(list_append(t[2:], NULL)) AS following FROM toks WHERE len(t) > 0),
+counts AS (SELECT regexp_replace(lower(token), '\.$', '') AS type, sum((suffix(token, '.'))::INTEGER) AS k, count(*) AS n FROM pairs GROUP BY 1),
+total AS (SELECT sum(k) / sum(n) AS p FROM counts),
+abbr AS (SELECT type, k, n, 2 * ((CASE WHEN k > 0 THEN k * ln(0.99) ELSE 0 END + CASE WHEN n > k THEN (n - k) * ln(1 - 0.99) ELSE 0 END)
+                                 - (CASE WHEN k > 0 THEN k * ln(p) ELSE 0 END + CASE WHEN n > k THEN (n - k) * ln(1 - p) ELSE 0 END))
+              * exp(-length(replace(type, '.', ''))) * (length(type) - length(replace(type, '.', '')) + 1)
+              * pow(length(replace(type, '.', '')), k - n) AS score
+         FROM counts, total WHERE k > 0 AND regexp_matches(type, '\pL')),
+kept AS (SELECT type, k, n, score FROM abbr WHERE score >= 0.3 ORDER BY score DESC, type LIMIT 5000),
+clear AS (SELECT regexp_replace(lower(following), '^[^\pL]+|[^\pL]+$', '', 'g') AS word,
+                 regexp_matches(token, '[!?]$') OR (suffix(token, '.') AND regexp_replace(lower(token), '\.$', '') NOT IN (SELECT type FROM kept)
+                                                    AND NOT regexp_matches(token, '^\pL\.$')) AS c FROM pairs WHERE following IS NOT NULL),
+words AS (SELECT word, sum(c::INTEGER) AS k, count(*) AS n FROM clear GROUP BY 1),
+ends AS (SELECT sum(k) AS m, sum(n) AS a FROM words),
+gain AS (SELECT word, k, n, k / m AS p1, (n - k) / (a - m) AS p2, 2 * (
+    k * ln(k / m) + CASE WHEN m > k THEN (m - k) * ln(1 - k / m) ELSE 0 END
+    + CASE WHEN n > k THEN (n - k) * ln((n - k) / (a - m)) ELSE 0 END + CASE WHEN a - m > n - k THEN (a - m - n + k) * ln(1 - (n - k) / (a - m)) ELSE 0 END
+    - k * ln(n / a) - CASE WHEN m > k THEN (m - k) * ln(1 - n / a) ELSE 0 END
+    - CASE WHEN n > k THEN (n - k) * ln(n / a) ELSE 0 END - CASE WHEN a - m > n - k THEN (a - m - n + k) * ln(1 - n / a) ELSE 0 END) AS score
+    FROM words, ends WHERE k > 0 AND word <> ''),
+starters AS (SELECT word, score FROM gain WHERE p1 > p2 AND score >= 30 ORDER BY score DESC, word LIMIT 5000)
+"""
+
+
+def _stand_in_abbreviations(d):
+    """The given texts with an abbreviation after every word ``the``, ``der`` or ``le`` (they hold none of their own)."""
+    text = F.col("text")
+    for word in ("the", "der", "le"):
+        text = F.replace(text, F.lit(f" {word} "), F.lit(f" {word} abb. "))
+    return d.select("doc_id", text.alias("text"))
+
+
+STAND_IN_SQL = """documents AS (SELECT doc_id,
+    replace(replace(replace(text, ' the ', ' the abb. '), ' der ', ' der abb. '), ' le ', ' le abb. ') AS text FROM main.documents),"""
+
+
+@register("sentence_abbreviations", sql=LEARNT_SQL.replace("WITH toks", "WITH " + STAND_IN_SQL + " toks") + """
+SELECT type, CAST(k AS BIGINT) AS with_period, CAST(n - k AS BIGINT) AS without, round(score, 6) AS score FROM kept
+""")
+def sentence_abbreviations(spark, sf):
+    """Abbreviations learnt from the texts, with their counts and scores."""
+    pairs = st.token_pairs(_stand_in_abbreviations(load(spark, sf, "documents")), "text")
+    scores = st.abbreviation_scores(pairs).filter(F.col("score") >= st.ABBREVIATION_SCORE).orderBy(F.desc("score"), "type").limit(st.MODEL_ENTRIES)
+    return scores.withColumn("score", F.round("score", R))
+
+
+@register("document_learnt_sentences", sql=LEARNT_SQL.replace("WITH toks", "WITH " + STAND_IN_SQL + " toks") + r""",
+pieces AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?][ \n\t\r]+)', '\1' || chr(1), 'g'), chr(1)) AS ps FROM documents),
+each AS (SELECT doc_id, len(ps) AS total, unnest(range(1, len(ps) + 1)) AS i, unnest(ps) AS piece, unnest(list_append(ps[2:], NULL)) AS nxt FROM pieces),
+seen AS (SELECT *, regexp_extract(regexp_replace(piece, '[ \n\t\r]+$', ''), '([^ \n\t\r]+)$', 1) AS last, regexp_extract(nxt, '^[ \n\t\r]*([^ \n\t\r]+)', 1) AS word FROM each),
+judged AS (SELECT doc_id, i, piece, CASE WHEN nxt IS NULL THEN '' WHEN suffix(last, '.')
+        AND (regexp_replace(lower(last), '\.$', '') IN (SELECT type FROM kept) OR regexp_matches(last, '^\pL\.$'))
+        AND NOT (regexp_matches(word, '^[^\pL]*\p{Lu}') AND regexp_replace(lower(word), '^[^\pL]+|[^\pL]+$', '', 'g') IN (SELECT word FROM starters)) THEN '' ELSE chr(1) END AS mark FROM seen),
+joined AS (SELECT doc_id, string_split(string_agg(piece || mark, '' ORDER BY i), chr(1)) AS ss FROM judged GROUP BY 1),
+clean AS (SELECT doc_id, list_transform(ss, lambda s: regexp_replace(s, '[ \n\t\r]+$', '')) AS ss FROM joined)
+SELECT doc_id, CAST(len(ss) AS INTEGER) AS n_sentences, CAST(list_max(list_transform(ss, lambda x: length(x))) AS INTEGER) AS longest FROM clean
+""")
+def document_learnt_sentences(spark, sf):
+    """Sentences per document where abbreviations and sentence starters learnt from all texts decide."""
+    d = _stand_in_abbreviations(load(spark, sf, "documents"))
+    ss = st.sentences("text", st.learn_sentences(d))
+    return d.select("doc_id", ss.alias("ss")).select("doc_id", F.size("ss").alias("n_sentences"), F.array_max(F.transform("ss", lambda s: F.length(s))).alias("longest"))
+
+
 @register("document_word_tokens", sql="""
 WITH t AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\\s]') AS tok FROM documents)
 SELECT doc_id, CAST(len(tok) AS INTEGER) AS n_tokens, CAST(len(list_distinct(tok)) AS INTEGER) AS n_distinct,
@@ -168,3 +237,55 @@ def document_lemma_counts(spark, sf):
                          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     lem = nz.lemmatise(counts, nz.lemma_table_from_stems(counts, n="n"))
     return lem.groupBy("doc_id").agg(F.count_distinct("lemma").alias("n_lemmas"), F.sum("n").alias("n_tokens"))
+
+
+# ---------------------------------------------------------------- tagger with context, dictionary lemmas
+from kestrel.operators import tagger as tg  # noqa: E402
+
+
+def _tagged_tokens(spark, sf):
+    """Stand-in for a tagged corpus: the words of each document's sentences, tagged by surface rules in their original case."""
+    d = load(spark, sf, "documents").select("doc_id", F.posexplode(tx.sentences("text")).alias("sentence", "s"))
+    tag = F.lit(nz.DEFAULT_TAG)
+    for pattern, name in reversed(TAG_RULES):
+        tag = F.when(F.col("word").rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(tag)
+    words = F.regexp_extract_all("s", F.lit("[A-Za-z0-9]+"), 0)
+    return d.select("doc_id", "sentence", F.posexplode(words).alias("pos", "word")).withColumn("tag", tag)
+
+
+@register("document_context_tags")
+def document_context_tags(spark, sf):
+    """Words (case folded) of held-out documents tagged by the hidden Markov model that the other
+    documents trained, and by the most frequent tag of each word: tokens and right ones per tag (N12)."""
+    every = stage_table(fe.split_by_hash(_tagged_tokens(spark, sf), "doc_id", 0.25, seed=21), "tagged")
+    train, test, sentence = every.filter("NOT is_test"), every.filter("is_test").drop("is_test"), ["doc_id", "sentence"]
+    found = tg.tag_sentences(test, sentence, tg.train_tagger(train, sentence)).withColumnRenamed("tag", "context_tag").drop("word")
+    plain = nz.tag_tokens(test, nz.train_unigram_tagger(train), "word").withColumnRenamed("tag", "plain_tag").drop("word")
+    both = test.withColumnRenamed("tag", "true_tag").join(found, [*sentence, "pos"]).join(plain.select(*sentence, "pos", "plain_tag"), [*sentence, "pos"])
+    return both.groupBy(F.col("true_tag").alias("tag")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("context_tag") == F.col("true_tag")).cast("long")).alias("right_by_context"),
+        F.sum((F.col("plain_tag") == F.col("true_tag")).cast("long")).alias("right_by_word"))
+
+
+def _lemma_sql() -> str:
+    forms = ", ".join(f"({rank}, '{suffix}', '{base}')" for rank, (_, suffix, base) in enumerate(nz.DETACHMENTS, 1))
+    listed = ", ".join(f"('{a}', '{b}')" for a, b in nz.IRREGULAR)
+    return f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]{{2,}}')) AS term FROM documents),
+df AS (SELECT term, count(DISTINCT doc_id) AS df FROM t GROUP BY 1),
+words AS (SELECT term AS form FROM df WHERE df >= 3),
+rules(rank, suffix, base) AS (VALUES {forms}),
+listed(term, lemma) AS (VALUES {listed}),
+c AS (SELECT term, 0 AS rank, term AS form FROM df UNION ALL
+      SELECT term, rank, substr(term, 1, length(term) - length(suffix)) || base FROM df, rules WHERE suffix(term, suffix) AND length(term) > length(suffix)),
+held AS (SELECT term, arg_min(form, rank) AS form FROM c WHERE form IN (SELECT form FROM words) GROUP BY 1)
+SELECT df.term, coalesce(l.lemma, h.form, df.term) AS lemma FROM df LEFT JOIN held h ON h.term = df.term LEFT JOIN listed l ON l.term = df.term
+""".replace("suffix(term, suffix)", "ends_with(term, suffix)")
+
+
+@register("document_dictionary_lemmas", sql=_lemma_sql())
+def document_dictionary_lemmas(spark, sf):
+    """Base form of every term by exceptions and suffix rules; the word list is the terms of three documents or more."""
+    long = load(spark, sf, "documents").select("doc_id", F.explode(F.array_distinct(tx.terms("text", unicode=False))).alias("term"))
+    words = long.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df >= 3").select(F.col("term").alias("word"))
+    return nz.dictionary_lemmas(long, words)

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CKPT: dict[str, str] = {}
+_STAGED: list[str] = []      # paths of the tables staged by this process
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -38,9 +40,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must name a shared, reliable file system folder; where
-    it is unset, a folder of the warehouse is used, which a cluster shares as well, or for a
-    one-process master (``local``, ``local[...]``), as in tests, a temporary one.
+    On a cluster this setting must name a folder that the driver and all executors share;
+    without it there is an error.  Only for a one-process master (``local``, ``local[...]``),
+    as in tests, a temporary folder is made where it is unset.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -48,12 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = _CKPT.get(sc.applicationId)
-        if d is None:
-            one_process = sc.master == "local" or sc.master.startswith("local[")
-            d = tempfile.mkdtemp(prefix="kestrel-ckpt-") if one_process else \
-                f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/kestrel-checkpoints"
-            _CKPT[sc.applicationId] = d
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = _CKPT.get(sc.applicationId) or tempfile.mkdtemp(prefix="kestrel-ckpt-")
+        _CKPT[sc.applicationId] = d
     sc.setCheckpointDir(d)
     return d
 
@@ -71,5 +71,23 @@ def stage_table(df, name: str):
     prune columns, push filters, and know the table's size for join planning.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/kestrel-{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_run(spark: SparkSession):
+    """Remove, at the end, the tables that were staged inside the ``with`` block.
+
+    Frames that are still to be read must have been written or collected by then.
+    """
+    first = len(_STAGED)
+    try:
+        yield
+    finally:
+        paths, _STAGED[first:] = _STAGED[first:], []
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)

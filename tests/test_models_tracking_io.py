@@ -52,7 +52,7 @@ def test_adaboost_beats_mean(spark):
 
 def test_kfold_scores_shape(spark):
     df = _linear(spark, 200)
-    s = md.kfold_scores(df, "id", 3, ["x1", "x2", "x3"], "x4", {"ols": md.regressor("ols", label="x4")})
+    s = md.kfold_scores(df, "id", [3], ["x1", "x2", "x3"], "x4", {"ols": md.regressor("ols", label="x4")})
     rows = s.collect()
     assert len(rows) == 3 and all(r["test_r2"] > 0.99 for r in rows)
     assert md.mean_over_folds(s).count() == 1

@@ -59,7 +59,7 @@ def test_acf_pacf_of_ar1(spark):
     y = np.array(_ar1(400, 0.7))
     d = y - y.mean()
     assert abs(acf[2] - (d[2:] @ d[:-2]) / (d @ d)) < 1e-12
-    pacf = {r["lag"]: r["pacf"] for r in sm.partial_autocorrelation(df, 5).collect()}
+    pacf = {r["lag"]: r["pacf"] for r in ts.partial_autocorrelation(df, 5).collect()}
     assert abs(pacf[1] - acf[1]) < 1e-12 and abs(pacf[2]) < 0.15
 
 
