@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.stopwords import ENGLISH_STOP_WORDS
+from kestrel.operators.lookup import lookup_join
 from kestrel.session import stage_table
 
 # Token patterns.
@@ -98,7 +99,7 @@ def tfidf_long(long: DataFrame, doc: str, n_docs: int, term: str = "term", smoot
     else:
         idf = F.ln(F.lit(float(n_docs)) / F.col("df")) + F.lit(1.0)
     tf = (F.ln(F.col("n")) + 1) if sublinear else F.col("n").cast("double")
-    w = dt.join(df_.select(term, idf.alias("idf")), term).select(doc, term, (tf * F.col("idf")).alias("w"))
+    w = lookup_join(dt, df_.select(term, idf.alias("idf")), term).select(doc, term, (tf * F.col("idf")).alias("w"))
     if not normalise:
         return w.withColumnRenamed("w", "weight")
     # the norm is a window over one document's terms (bounded by its length): one shuffle

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import lookup as lk
 from kestrel.operators import normalise as nz
+from kestrel.operators import retrieval as rt
 from kestrel.operators import sentences as st
 from kestrel.operators import sequences as sq
 from kestrel.operators import tagger as tg
@@ -162,3 +163,37 @@ def test_smoothed_probabilities_add_up_to_one(spark):
     for x in best:
         if x["rank"] <= 2:
             assert top[x["context"], x["rank"]] == (x["next"], x["p"])
+
+
+@pytest.mark.parametrize("others_only", [True, False])
+def test_nearest_equals_comparing_all(spark, others_only):
+    r = random.Random(12)
+    vocab, rows = [f"w{k}" for k in range(60)], []
+    for i in range(150):
+        words = r.choices(vocab, weights=[1 / (k + 1) for k in range(60)], k=r.randint(1, 12))
+        if i % 10 == 9:
+            words = texts[-1]  # an equal text
+        texts = rows and [x[1] for x in rows] or []
+        texts.append(words)
+        rows.append((i, words))
+    rows.append((500, ["alone"]))
+
+    def unit(words):
+        n = {w: words.count(w) * (1 + vocab.index(w) if w in vocab else 1) for w in words}
+        size = math.sqrt(sum(x * x for x in n.values()))
+        return {w: x / size for w, x in n.items()}
+
+    vectors = {i: unit(w) for i, w in rows}
+    long = spark.createDataFrame([(i, t, w) for i, v in vectors.items() for t, w in v.items()], "id long, term string, weight double")
+    asked = long.filter("id % 3 = 0 OR id = 500")
+    got = {x["id"]: (x["nearest_id"], x["score"], x["n_scored"]) for x in rt.nearest(asked, long, "id", "id", others_only=others_only).collect()}
+    want, pairs = {}, 0
+    for i, v in vectors.items():
+        if i % 3 and i != 500:
+            continue
+        scored = [(-round(sum(x * vectors[j].get(t, 0) for t, x in v.items()), 9), j) for j in vectors if not (others_only and i == j) and set(v) & set(vectors[j])]
+        pairs += len(scored)
+        if scored:
+            want[i] = min(scored)
+    assert set(got) == set(want) and all(got[i][0] == j and abs(got[i][1] + s) < 2e-9 for i, (s, j) in want.items())
+    assert sum(n for _, _, n in got.values()) < pairs / 2
