@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from kestrel.operators import aggregate as agg
 from kestrel.operators import clean
 from kestrel.plans.registry import register
+from kestrel.session import checkpoint_dir
+from kestrel.sources import files as fs
 from kestrel.sources.files import profile_shape
 from kestrel.sources.tables import TABLES, lineitem_with_gaps, load
 
@@ -246,3 +249,66 @@ def aligned_daily_sum(spark, sf):
     b = e.filter(F.col("event_type") == "error").groupBy("day").agg(F.sum("value").alias("value"))
     s = clean.add_aligned(a, b, ["day"])
     return s.select(F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("value", R).alias("value"))
+
+
+# ---------------------------------------------------------------- files written and read back
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/files-{name}-{uuid.uuid4().hex}"
+
+
+@register("orders_csv_round_trip", sql="""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders
+""")
+def orders_csv_round_trip(spark, sf):
+    """Orders written as CSV with a header by all tasks and read back with a declared schema."""
+    o = load(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path = _folder(spark, "orders")
+    fs.write_table(o, path, "csv")
+    return fs.read_delimited(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string")
+
+
+@register("monthly_csv_series", sql="""
+SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ts, round(sum(o_totalprice), 2) AS value FROM orders GROUP BY 1
+""")
+def monthly_csv_series(spark, sf):
+    """Monthly totals written as CSV with ISO dates and read back as a dated series."""
+    m = load(spark, sf, "orders").groupBy(F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd").alias("day")).agg(F.sum("o_totalprice").alias("total"))
+    path = _folder(spark, "monthly")
+    fs.write_table(m, path, "csv")
+    return fs.read_dated_series(spark, path, "day", "total").select(F.date_format("ts", "yyyy-MM-dd").alias("ts"), F.round("value", 2).alias("value"))
+
+
+@register("supplier_tsv_pairs", sql="""
+SELECT s_name AS input, CAST(round(s_acctbal, 2) AS VARCHAR) AS output FROM supplier
+""")
+def supplier_tsv_pairs(spark, sf):
+    """Supplier names and balances written as a tab-separated pair file and read back."""
+    s = load(spark, sf, "supplier").select(F.col("s_name").alias("input"), F.round("s_acctbal", 2).cast("string").alias("output"))
+    path = _folder(spark, "pairs")
+    s.write.option("sep", "\t").option("header", True).csv(path)
+    return fs.read_pairs(spark, path)
+
+
+@register("part_tagged_corpus", sql="""
+WITH t AS (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS word, lower(p_brand) AS tag FROM part)
+SELECT word, tag, count(*) AS n FROM t WHERE word <> '' GROUP BY 1, 2
+""")
+def part_tagged_corpus(spark, sf):
+    """Part types written as lines of ``word/tag`` tokens, read back as a tagged corpus and counted."""
+    lines = load(spark, sf, "part").select(F.array_join(F.transform(F.split("p_type", " "), lambda w: F.concat(w, F.lit("/"), F.col("p_brand"))), " ").alias("value"))
+    path = _folder(spark, "tagged")
+    lines.write.text(path)
+    return fs.read_tagged(spark, path).groupBy("word", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("region_whole_texts", sql="""
+SELECT CAST(r_regionkey AS VARCHAR) AS folder, string_agg(n_name, ' ' ORDER BY n_name) AS "text" FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1
+""")
+def region_whole_texts(spark, sf):
+    """The nations of each region written as the lines of one text file and read back as one text a file."""
+    n = load(spark, sf, "nation").join(load(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    path = _folder(spark, "texts")
+    lines = n.select("n_regionkey", F.col("n_name").alias("value"), F.col("r_regionkey").cast("string").alias("folder"))
+    lines.repartition("folder").sortWithinPartitions("folder", "value").select("value", "folder").write.partitionBy("folder").text(path)
+    texts = fs.read_whole_texts(spark, path)
+    return texts.select(F.regexp_extract("path", "folder=([^/]+)/", 1).alias("folder"), "text")
