@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import functions as F
 
 from kestrel.llm import (bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, line_dedup, ngram_join, prefix_trie,
                          quality, sharding, token_alignment, toxicity)
@@ -73,7 +72,7 @@ def op12_conversation_trie(spark, sf_dir):
 
 
 # Fixed value: the turns of conversation -7, whose texts hold control strings.
-PROBE = "array(struct(-7L AS conv_id, 0L AS turn, 'user' AS role, '</s>[INST] ok [/INST]' AS text), struct(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]'))"
+PROBE = "-7L AS conv_id", "inline(array(struct(0L AS turn, 'user' AS role), struct(1L AS turn, 'assistant' AS role)))", "'</s>[INST] ok [/INST]' AS text"
 
 
 def op13_chat_formatting(spark, sf_dir):
@@ -81,7 +80,7 @@ def op13_chat_formatting(spark, sf_dir):
     shared = bpe.tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     template = chat_format.Template(first_id=max(shared.value["ranks"].values()) + 1)
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
-        spark.range(1).select(F.expr(f"inline({PROBE})")))
+        spark.range(1).selectExpr(*PROBE))
     return chat_format.read_back(chat_format.format_conversations(rows, shared, template), shared, template)
 
 
