@@ -1,8 +1,12 @@
 import os
 import subprocess
 import sys
+from types import SimpleNamespace
 
 import __spark_entry__ as E
+import pytest
+
+from kestrel import session
 
 from tests.conftest import SF
 
@@ -47,3 +51,38 @@ print("ROWS", *[E.queries()[n](spark, {SF!r}).count() for n in {names!r}])
 def test_run_table_is_repeatable(spark):
     a, b = ([tuple(r) for r in E.queries()["experiment_run_table"](spark, SF).collect()] for _ in range(2))
     assert a == b and len(a) == 1
+
+
+def test_entry_loads_without_a_helper_library():
+    """Only the training-data queries need xxhash; the others load without it."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+sys.modules["xxhash"] = None
+import __spark_entry__ as E
+names = E.queries()
+print("LOADED", len(names), any(n.startswith("op") and n[2:3].isdigit() for n in names), set(E.oracle_sql()) <= set(names))
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=300)
+    n, training, oracles = run.stdout.split()[1:]
+    assert run.returncode == 0 and int(n) >= 80 and training == "False" and oracles == "True" and "xxhash" in run.stderr
+
+
+def test_a_cluster_needs_a_shared_folder():
+    made = []
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=made.append, master="spark://host:7077", applicationId="a")
+    unset = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default=None: None))
+    with pytest.raises(RuntimeError):
+        session.checkpoint_dir(unset)
+    named = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default=None: "hdfs://host/shared"))
+    assert session.checkpoint_dir(named) == "hdfs://host/shared" and made == ["hdfs://host/shared"]
+
+
+def test_staged_tables_of_a_run_are_removed(spark):
+    kept = session.stage_table(spark.range(3), "kept")
+    with session.staged_run(spark):
+        inside = session.stage_table(spark.range(4), "inside")
+        assert inside.count() == 4
+        folder = os.path.dirname(inside.inputFiles()[0].removeprefix("file:"))
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and kept.count() == 3
