@@ -73,7 +73,21 @@ def stage_table(df, name: str):
     path = f"{checkpoint_dir(df.sparkSession)}/kestrel-{name}-{uuid.uuid4().hex}"
     _STAGED.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def drop_staged(table) -> None:
+    """Remove the files of a frame that ``stage_table`` returned; what was derived from it must be staged or written by then."""
+    path = table._staged_path
+    _STAGED.remove(path)
+    _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @contextmanager
@@ -87,7 +101,5 @@ def staged_run(spark: SparkSession):
         yield
     finally:
         paths, _STAGED[first:] = _STAGED[first:], []
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+            _delete(spark, path)

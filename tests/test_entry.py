@@ -86,3 +86,7 @@ def test_staged_tables_of_a_run_are_removed(spark):
         folder = os.path.dirname(inside.inputFiles()[0].removeprefix("file:"))
         assert os.path.isdir(folder)
     assert not os.path.exists(folder) and kept.count() == 3
+    dropped = session.stage_table(spark.range(2), "dropped")
+    folder = os.path.dirname(dropped.inputFiles()[0].removeprefix("file:"))
+    session.drop_staged(dropped)
+    assert not os.path.exists(folder)
