@@ -110,5 +110,8 @@ def sentences(text: str | Column, model: SentenceModel) -> Column:
         starts = word.rlike(r"^[^\p{L}]*\p{Lu}") & _starter(word).isin(list(model.starters))
         return F.when(unsure & ~starts, F.lit("")).otherwise(F.lit(MARK))
 
-    marked = F.transform(pieces, lambda p, i: F.concat(p, F.when(i + 1 < F.size(pieces), ended(p, F.get(pieces, i + 1))).otherwise(F.lit(""))))
+    # each piece beside the next one: the pieces are not looked up again for every piece
+    after = F.concat(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    marked = F.transform(F.arrays_zip(pieces.alias("p"), after.alias("f")),
+                         lambda x: F.concat(x["p"], F.when(x["f"].isNull(), F.lit("")).otherwise(ended(x["p"], x["f"]))))
     return F.transform(F.split(F.array_join(marked, ""), MARK), lambda s: F.regexp_replace(s, BLANK_RUN + "$", ""))
