@@ -1,8 +1,8 @@
 """Exact n-gram Jaccard self-join: size-banded tiles, bitmap signatures, sorted-array intersection.
 
 1. Scan: each document's distinct word shingles as sorted 64-bit hashes; their number, a
-   128-bit digest and a bitmap of hashed bits are staged.  Documents of one digest form a
-   class; the smallest id stands for it, so copies are never paired.
+   128-bit digest, a bitmap of hashed bits and the tiles of step 2 are staged from one pass.
+   Documents of one digest form a class, so copies are never paired.
 2. Tiles.  Sizes are cut to bands.  Two sets that link differ in at most H shingles, H
    following from the band, so when the hash range is cut to more than H segments at least
    one segment is equal in both.  Each set is dealt to one tile per segment: (band, segment,
@@ -14,8 +14,11 @@
    falls together without its pairs being written out.  From here on the tiles of one
    centre are one hub, so two sets that share many tiles are compared once.
 4. Second round: all pairs under a hub that the links so far do not connect.  Small hubs are
-   joined with themselves, large ones cut to blocks of ``BLOCK`` sets compared block by block
-   (blocks of a hub's main component only with those of other sets).
+   joined with themselves, larger ones cut to blocks of ``BLOCK`` sets compared block by block
+   (blocks of a hub's main component only with those of other sets).  The members of hubs
+   above ``LARGE_HUB`` are grouped anew under their rarest shingles first (a prefix filter, which
+   loses no link): a member is thus written for a bounded number of blocks, or once for each of
+   its rarest shingles, and sets that share only what many share do not meet.
 5. In both rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
    decided by intersecting the sorted arrays of only those documents, read again.
 6. Components of the links, joined back through the classes.
@@ -24,6 +27,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import batch_of, text_chunks
+from kestrel.llm.common import batch_of, having_ids, text_chunks
 from kestrel.llm.components import connected_components
 from kestrel.llm.decontaminate import WordHashes, hash_words
-from kestrel.session import stage_table
+from kestrel.operators.lookup import lookup_join
+from kestrel.session import drop_staged, stage_table
 
-SMALL_HUB = 16               # sets under a hub whose pairs a join may write out
-BLOCK = 256                  # sets of a block of a larger hub
+SMALL_HUB = 16               # sets of a group whose pairs a join may write out
+BLOCK = 256                  # sets of a block of a larger group
+LARGE_HUB = 1 << 14          # sets of a hub above which its members meet under their rarest shingles only
 KNOWN = 8                    # sets of one batch that make a tile known as shared
 BITMAP_BITS = 1 << 16        # widest bitmap of a set
-BROADCAST_IDS = 1_000_000    # ids of documents to read again that are broadcast; more are merged by id
 U = np.uint64
 
 
@@ -124,8 +129,8 @@ def _digest(h: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(h: np.ndarray) -> bytes:
-    """One bit per hash modulo the width, a power of two of four bits a shingle or more (up to ``BITMAP_BITS``)."""
-    width = min(BITMAP_BITS, max(64, 1 << (4 * len(h) - 1).bit_length()))
+    """One bit per hash modulo the width, a power of two of two bits a shingle or more (up to ``BITMAP_BITS``)."""
+    width = min(BITMAP_BITS, max(64, 1 << (2 * len(h) - 1).bit_length()))
     bits = np.zeros(width, bool)
     bits[(h & U(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -142,52 +147,56 @@ def overlap_bound(a: bytes, b: bytes, sizes: int) -> int:
     return sizes - int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
 
 
-def _sizes(batches, width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bits", pa.binary())])
-    hashes = WordHashes()
-    for part, texts in text_chunks(batches):
-        rows = []
-        for text in texts:
-            h = shingle_hashes(text, width, hashes)
-            rows.append((len(h), *_digest(h), bitmap(h)) if len(h) else (0, None, None, None))
-        yield batch_of(schema, [part.column(0), *map(list, zip(*rows))])
-
+def _scan(batches, width: int, num: int, den: int):
+    """Size, digest and bitmap of each set and its tiles ``(key, route)``, all from one shingling.
 
-def _keys(batches, width: int, num: int, den: int):
-    """(key, node, route): the tiles of each set.  Where ``KNOWN`` sets of a batch share a tile, their rows
-    but the first have a route of their own and need not meet: the tile is known to be shared."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("route", pa.int32())])
+    Of equal sets of a chunk only the first has tiles.  Where ``KNOWN`` sets of a chunk share a
+    tile, their rows but the first have a route of their own and need not meet: the tile is
+    known to be shared.
+    """
+    entry = pa.struct([("key", pa.int64()), ("route", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bits", pa.binary()),
+                        ("tiles", pa.list_(entry))])
     hashes, scheme = WordHashes(), Scheme(num, den)
-    for _, texts in text_chunks(batches):
-        sets = {}
+    for part, texts in text_chunks(batches):
+        rows, keys, seen = [], [], set()
         for text in texts:
             h = shingle_hashes(text, width, hashes)
-            if len(h):
-                sets[_digest(h)] = h
-        keys = [scheme.keys(h) for h in sets.values()]
-        if not sum(map(len, keys)):
-            continue
+            if not len(h):
+                rows.append((0, None, None, None))
+                keys.append(h)
+                continue
+            digest = _digest(h)
+            rows.append((len(h), *digest, bitmap(h)))
+            keys.append(h[:0] if digest in seen else scheme.keys(h))
+            seen.add(digest)
         key = np.concatenate(keys).astype(np.int64)
-        node = np.repeat(np.array([d for d, _ in sets], np.int64), [len(k) for k in keys])
+        doc = np.repeat(np.arange(len(texts)), [len(k) for k in keys])
         order = np.argsort(key, kind="stable")
-        key, node = key[order], node[order]
-        first = np.r_[True, key[1:] != key[:-1]]
+        key, doc = key[order], doc[order]
+        first = np.ones(len(key), bool)
+        first[1:] = key[1:] != key[:-1]
         start = np.flatnonzero(first)
         count = np.diff(np.r_[start, len(key)])
+        node = np.array([d1 or 0 for _, d1, _, _ in rows], np.int64)
         known = (np.repeat(count, count) >= KNOWN) & ~first
-        route = np.where(known, 1 + (node & 0x3FF), 0)
+        route = np.where(known, 1 + (node[doc] & 0x3FF), 0)
         # the first of a known tile stands for it on the shared route, and is known itself
         again = start[count >= KNOWN]
-        yield batch_of(schema, [np.r_[key, key[again]], np.r_[node, node[again]], np.r_[route, 1 + (node[again] & 0x3FF)].astype(np.int32)])
+        key, route, doc = np.r_[key, key[again]], np.r_[route, 1 + (node[doc[again]] & 0x3FF)], np.r_[doc, doc[again]]
+        order = np.argsort(doc, kind="stable")
+        ends = np.searchsorted(doc[order], np.arange(len(texts) + 1))
+        tiles = pa.StructArray.from_arrays([pa.array(key[order]), pa.array(route[order].astype(np.int32))], fields=list(entry))
+        yield batch_of(schema, [part.column(0), part.column(2), *map(list, zip(*rows)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tiles)])
 
 
 def _sets(batches, width: int):
     schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64()))])
     hashes = WordHashes()
-    for part, texts in text_chunks(batches):
-        sets = [shingle_hashes(t, width, hashes) for t in texts]
+    for _, texts in text_chunks(batches):
+        sets = [h for h in (shingle_hashes(t, width, hashes) for t in texts) if len(h)]
         ends = np.cumsum([0, *map(len, sets)])
-        yield batch_of(schema, [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).astype(np.int64)))])
+        yield batch_of(schema, [[_digest(h)[0] for h in sets], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, U), *sets]).astype(np.int64)))])
 
 
 # Pairs ---------------------------------------------------------------------------------
@@ -260,18 +269,20 @@ def _with_bitmaps(pairs: DataFrame, members: DataFrame, num: int, den: int) -> D
             .mapInArrow(lambda it: _possible(it, num, den), "a long, b long"))
 
 
-def _decide(pairs: DataFrame, src: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, those that link), from the sorted shingle arrays of their documents, which are read again."""
+def _decide(pairs: DataFrame, src: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, those that link), from the sorted shingle arrays of their classes' documents (``rep, doc``), which are read again."""
     pairs = stage_table(pairs, "pairs")
     if pairs.isEmpty():
         return pairs, pairs
-    ids = stage_table(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "pair-ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge")
-    sets = stage_table(src.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi")
-                       .mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>"), "sets")
+    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    ids = stage_table(docs.join(reps, "rep").select(F.col("doc").alias("doc_id")).distinct(), "pair-ids")
+    sets = stage_table(having_ids(src, ids, "doc_id").mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>")
+                       .join(reps, "rep", "left_semi"), "sets")
     both = (pairs.join(sets.toDF("a", "hashes_a"), "a").join(sets.toDF("b", "hashes_b"), "b")
             .select("a", "b", "hashes_a", "hashes_b"))
-    return pairs, stage_table(both.mapInArrow(lambda it: _linked(it, num, den), "a long, b long"), "links")
+    links = stage_table(both.mapInArrow(lambda it: _linked(it, num, den), "a long, b long"), "links")
+    drop_staged(sets)
+    return pairs, links
 
 
 def _hubs(tiles: DataFrame) -> DataFrame:
@@ -283,31 +294,67 @@ def _hubs(tiles: DataFrame) -> DataFrame:
     return stage_table(tiles.join(centres, "key").select(F.col("centre").alias("key"), "rep").distinct(), "hubs")
 
 
-def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, num: int, den: int) -> DataFrame | None:
-    """Possible pairs under a hub, not yet decided, whose members the links do not connect; None
-    where every hub is connected."""
-    components = connected_components(links).toDF("rep", "comp")
-    placed = stage_table(hubs.join(components, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
+def _open_groups(placed: DataFrame, members: DataFrame) -> DataFrame | None:
+    """Members ``key, rep, comp, n`` of the groups whose members are in several components, with how each group is cut to blocks; None: no such group."""
     per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    open_hubs = stage_table(
+    groups = stage_table(
         per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("total"), F.max("c").alias("most"), F.max_by("comp", "c").alias("main"))
         .filter("comps > 1")
         .select("key", "main", F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int").alias("s"), F.ceil(F.col("most") / BLOCK).cast("int").alias("s_main"),
-                (F.col("total") <= SMALL_HUB).alias("small")), "open-hubs")
-    if open_hubs.isEmpty():
+                (F.col("total") <= SMALL_HUB).alias("small"), (F.col("total") > LARGE_HUB).alias("large")), "open-groups")
+    if groups.isEmpty():
         return None
-    rows = stage_table(placed.join(open_hubs, "key").join(members.select("rep", "n"), "rep"), "open-rows")
-    many = _large_hubs(rows.filter("NOT small"), members, num, den)
+    return stage_table(placed.join(groups, "key").join(members.select("rep", "n"), "rep"), "open-rows")
+
+
+def _small_groups(rows: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Possible pairs of groups small enough to write their pairs out."""
     x = rows.filter("small").select("key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
     y = rows.filter("small").select("key", F.col("rep").alias("y"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
     fits = F.lit(den) * F.least("nx", "ny") >= F.lit(num) * F.greatest("nx", "ny")
-    few = _with_bitmaps(_ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fits), "x", "y"), members, num, den)
-    return few.unionByName(many).distinct().join(decided, ["a", "b"], "left_anti")
+    return _with_bitmaps(_ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fits), "x", "y"), members, num, den)
+
+
+def _by_rare_shingles(rows: DataFrame, src: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """``key, rep, comp``: the members of large hubs under each of their rarest shingles.
+
+    Shingles are ordered by how many of these members hold them.  Linked sets hold so much in
+    common that both have a common shingle among their first n - ceil(n num / den) + 1, so no
+    link is lost; sets that share only what many share are not brought together.
+    """
+    mine = stage_table(rows.select("rep", "comp").distinct(), "hub-members")
+    ids = docs.join(mine.select("rep"), "rep", "left_semi").select(F.col("doc").alias("doc_id")).distinct()
+    sets = (having_ids(src, stage_table(ids, "hub-ids"), "doc_id").mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>")
+            .dropDuplicates(["rep"]).join(mine, "rep"))
+    long = stage_table(sets.select("rep", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("key")), "hub-shingles")
+    held = lookup_join(long, long.groupBy("key").agg(F.count(F.lit(1)).alias("df")), "key")
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("df", "key"))   # one set's shingles
+    rare = stage_table(held.withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1)
+                       .select("key", "rep", "comp"), "rare-shingles")
+    drop_staged(long)
+    return rare
+
+
+def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, src: DataFrame, docs: DataFrame,
+                width: int, num: int, den: int) -> DataFrame | None:
+    """Possible pairs under a hub, not yet decided, whose members the links do not connect; None
+    where every hub is connected."""
+    components = connected_components(links).toDF("rep", "comp")
+    placed = stage_table(hubs.join(components, "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")), "placed")
+    rows = _open_groups(placed, members)
+    if rows is None:
+        return None
+    pairs = [_small_groups(rows, members, num, den), _block_groups(rows.filter("NOT small AND NOT large"), members, num, den)]
+    large = rows.filter("large")
+    rare = None if large.isEmpty() else _open_groups(_by_rare_shingles(large, src, docs, width, num, den), members)
+    if rare is not None:
+        pairs += [_small_groups(rare, members, num, den), _block_groups(rare.filter("NOT small"), members, num, den)]
+    return reduce(DataFrame.unionByName, pairs).distinct().join(decided, ["a", "b"], "left_anti")
 
 
-def _large_hubs(rows: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of large hubs, block by block.  A hub's main component has blocks of its own, numbered after
-    the others' ``s``; they meet the others' blocks only, so a hub that is one component but for a few
+def _block_groups(rows: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of groups, block by block.  A group's main component has blocks of its own, numbered after
+    the others' ``s``; they meet the others' blocks only, so a group that is one component but for a few
     sets costs as many rows as it has members for each block of those few."""
     mine = F.when(F.col("comp") == F.col("main"), F.col("s") + F.pmod(F.xxhash64("rep"), F.col("s_main"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("s")))
     meets = F.when(F.col("mine") < F.col("s"), F.col("s") + F.col("s_main")).otherwise(F.col("s")) - 1
@@ -318,6 +365,42 @@ def _large_hubs(rows: DataFrame, members: DataFrame, num: int, den: int) -> Data
             .applyInArrow(lambda t: _block_pairs(t, num, den), "a long, b long"))
 
 
+def _sets_and_links(src: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, classes, links): per row its set, per distinct set its smallest id, and the pairs of distinct sets that link.
+
+    A distinct set is named by 64 bits of its digest (``d1``, in pairs ``rep``).
+    """
+    sets = stage_table(src.mapInArrow(lambda it: _scan(it, width, num, den),
+                                      "doc_id long, mark long, n long, d1 long, d2 long, bits binary, tiles array<struct<key:long,route:int>>"), "sets")
+    classes = stage_table(sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n")), "classes")
+
+    tile = Window.partitionBy("key", "route")
+    shared = (sets.select("d1", F.inline("tiles"))
+              .select("key", "d1", "route", F.min("d1").over(tile).alias("lo"), F.max("d1").over(tile).alias("hi"))
+              .filter("route > 0 OR lo <> hi").select("key", "d1").distinct())
+    shared = stage_table(shared, "shared-tiles")
+    known = stage_table(classes.filter("doc IS NOT NULL").join(shared.select("d1").distinct(), "d1", "left_semi")
+                        .select("d2", F.col("d1").alias("rep"), "doc", "n"), "known")
+    tiles = stage_table(shared.withColumnRenamed("d1", "rep").join(known.select("rep"), "rep", "left_semi").select("key", "rep"), "tiles")
+    members = stage_table(known.join(sets.select(F.col("d1").alias("rep"), "d2", F.col("doc_id").alias("doc"), "bits"), ["rep", "d2", "doc"])
+                          .dropDuplicates(["rep"]).select("rep", "n", "bits"), "members")
+    docs = known.select("rep", "doc")
+    rows = stage_table(sets.select("doc_id", "mark", "n", "d1", "d2"), "set-rows")
+    drop_staged(sets)  # bitmaps and tiles of sets that share none are not needed any more
+    drop_staged(shared)
+
+    hubs = _hubs(tiles)
+    decided, links = _decide(_with_bitmaps(_ordered(hubs, "rep", "key"), members, num, den), src, docs, width, num, den)
+    still_open = _open_pairs(hubs, members, links, decided, src, docs, width, num, den)
+    if still_open is not None:
+        links = links.unionByName(_decide(still_open, src, docs, width, num, den)[1])
+    return rows, classes, links
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(text_col).alias("mark"))
+
+
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
 
@@ -327,37 +410,39 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     with nothing.  Rows that repeat an id are one document that links by any of its texts;
     documents with a null id link with equal sets only, and a component without any other
     id has a null id.  Other columns are ignored; an empty table gives an empty result.
-    Shingles are told apart by 64-bit hashes.
+    Shingles and sets are told apart by 64-bit hashes.
     """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sizes = stage_table(src.mapInArrow(lambda it: _sizes(it, width), "doc_id long, n long, d1 long, d2 long, bits binary"), "set-sizes")
-    classes = stage_table(sizes.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
-
-    keyed = src.mapInArrow(lambda it: _keys(it, width, num, den), "key long, node long, route int")
-    tile = Window.partitionBy("key", "route")
-    shared = (keyed.select("key", "node", "route", F.min("node").over(tile).alias("lo"), F.max("node").over(tile).alias("hi"))
-              .filter("route > 0 OR lo <> hi").select("key", F.col("node").alias("d1")).distinct())
-    shared = stage_table(shared, "shared-tiles")
-    known = stage_table(classes.filter("rep IS NOT NULL").join(shared.select("d1").distinct(), "d1", "left_semi").select("d1", "d2", "rep", "n"), "known")
-    tiles = stage_table(shared.join(known.select("d1", "rep"), "d1").select("key", "rep").distinct(), "tiles")
-    members = stage_table(known.join(sizes.select(F.col("doc_id").alias("rep"), "d1", "d2", "bits"), ["rep", "d1", "d2"])
-                          .dropDuplicates(["rep", "d1", "d2"]).select("rep", "n", "bits"), "members")
-
-    hubs = _hubs(tiles)
-    decided, links = _decide(_with_bitmaps(_ordered(hubs, "rep", "key"), members, num, den), src, width, num, den)
-    still_open = _open_pairs(hubs, members, links, decided, num, den)
-    if still_open is not None:
-        links = links.unionByName(_decide(still_open, src, width, num, den)[1])
-    found = stage_table(connected_components(links).toDF("rep", "component_id"), "components")
-    named = stage_table(classes.join(found, "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("component_id")), "named")
-    return sizes.join(named, ["d1", "d2"], "left").select(
+    sets, classes, links = _sets_and_links(_source(docs, id_col, text_col), width, num, den)
+    # The sets of one id are one document.
+    several = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).filter("lo <> hi")
+    same_id = sets.select("doc_id", "d1").join(several, "doc_id").filter("d1 <> lo").select(F.col("lo").alias("a"), F.col("d1").alias("b"))
+    found = stage_table(connected_components(links.unionByName(same_id)).toDF("d1", "component"), "components")
+    linked = classes.join(found, "d1").select("d1", "component", "doc")
+    smallest = linked.groupBy("component").agg(F.min("doc").alias("component_id"))
+    named = linked.join(smallest, "component").select("d1", "component_id")
+    named = stage_table(classes.join(named, "d1", "left").select("d1", "d2", F.coalesce("component_id", "doc").alias("component_id")), "named")
+    return sets.join(named, ["d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each component, the one of the smallest id; all columns stay."""
-    lost = linked_components(docs, id_col, text_col, **how).filter("component_id <> doc_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(lost.hint("merge"), id_col, "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component, the one of the smallest id (null last); all columns stay.
+
+    Rows are judged by their texts: rows that repeat an id are documents of their own, named
+    by id and a hash of the text, so a text stays unless another one that it is linked with
+    does.  Rows equal in id and text stay or go together; texts without words all stay.
+    """
+    sets, classes, links = _sets_and_links(_source(docs, id_col, text_col), width, num, den)
+    found = stage_table(connected_components(links).toDF("d1", "component"), "components")
+    named = classes.select("d1", "d2").join(found, "d1", "left").select("d1", "d2", F.coalesce("component", "d1").alias("component"))
+    rows = stage_table(sets.filter("n > 0").select("doc_id", "mark", "d1", "d2").join(named, ["d1", "d2"])
+                       .select("component", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark").alias("row")), "named-rows")
+    stays = rows.groupBy("component").agg(F.min("row").alias("kept"))
+    lost = rows.join(stays, "component").filter(~F.col("row").eqNullSafe(F.col("kept"))).select("row.doc_id", "row.mark").distinct()
+    free = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name, so it is none of them
+    lost = lost.toDF(free + "id", free + "mark")
+    same = docs[id_col].cast("long").eqNullSafe(lost[free + "id"]) & (F.xxhash64(docs[text_col]) == lost[free + "mark"])
+    return docs.join(lost.hint("merge"), same, "left_anti")
 
 
 SQL = r"""

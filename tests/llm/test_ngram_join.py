@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from kestrel.llm import common
 from kestrel.llm import ngram_join as nj
 from kestrel.llm.components import connected_components
 
@@ -52,11 +53,12 @@ def corpus(seed, docs, hot):
     return list(zip(ids, texts))
 
 
-@pytest.mark.parametrize("seed,docs,hot,width,num", [(1, 400, 0, 3, 90), (2, 500, 120, 5, 80), (3, 300, 0, 1, 50)])
-def test_components_equal_brute_force(spark, monkeypatch, seed, docs, hot, width, num):
+@pytest.mark.parametrize("seed,docs,hot,width,num,large", [(1, 400, 0, 3, 90, 4), (2, 500, 120, 5, 80, 1 << 14), (2, 500, 120, 5, 80, 8), (3, 300, 0, 1, 50, 40)])
+def test_components_equal_brute_force(spark, monkeypatch, seed, docs, hot, width, num, large):
     monkeypatch.setattr(nj, "SMALL_HUB", 4)
     monkeypatch.setattr(nj, "BLOCK", 16)
-    monkeypatch.setattr(nj, "BROADCAST_IDS", 0 if seed == 1 else 10 ** 6)
+    monkeypatch.setattr(common, "KEY_BUCKETS", 3 if seed == 1 else 1 << 20)
+    monkeypatch.setattr(nj, "LARGE_HUB", large)
     rows = corpus(seed, docs, hot)
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n long")
     got = sorted(tuple(r) for r in nj.linked_components(df, width=width, num=num, den=100).collect())
@@ -93,11 +95,12 @@ def test_bitmap_bound_never_below_overlap():
 def test_known_tiles_keep_every_member():
     """A tile that many sets of a batch share leaves no member out, and one row on the shared route."""
     texts = [" ".join(f"w{k}" for k in range(40)) + f" end{i}" for i in range(20)]
-    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(20)), "text": texts})
-    rows = [x for b in nj._keys([batch], 3, 80, 100) for x in zip(*(c.to_pylist() for c in b.columns))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(20)), "text": texts, "mark": [0] * 20})
     tiles = {}
-    for key, node, route in rows:
-        tiles.setdefault(key, []).append((node, route))
+    for b in nj._scan([batch], 3, 80, 100):
+        for r in b.to_pylist():
+            for t in r["tiles"]:
+                tiles.setdefault(t["key"], []).append((r["d1"], t["route"]))
     hot = [t for t in tiles.values() if len(t) >= nj.KNOWN]
     assert hot and all(sum(r == 0 for _, r in t) == 1 and len({n for n, r in t if r}) == len({n for n, _ in t}) for t in hot)
 
@@ -116,4 +119,36 @@ def test_empty_null_and_repeated_rows(spark):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in nj.linked_components(df).collect())
     assert got == [(0, 0, None), (0, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3)]
     assert nj.linked_components(df.limit(0)).count() == 0
-    assert sorted(r.doc_id or 0 for r in nj.keep_one(df).collect()) == [0, 0, 1, 1, 3]
+    assert sorted(r.doc_id or 0 for r in nj.keep_one(df).collect()) == [0, 1, 1, 3]
+
+
+A, B, C = ("one two three four five six seven", "a quite different text of eight words altogether", "third text that has nothing in common with them")
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    rows = [(5, A), (5, B), (3, B), (8, C), (5, "x y"), (9, "x  y"), (7, None), (7, C)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in nj.linked_components(df).collect())
+    assert got == sorted([(5, 3, 3), (5, 4, 3), (3, 4, 3), (8, 5, 7), (5, 1, 3), (9, 1, 3), (7, 0, 7), (7, 5, 7)])
+
+
+def test_a_text_stays_unless_one_linked_with_it_does(spark):
+    """Rows that repeat an id are judged by their texts: against brute force over all subsets of such rows."""
+    near = C + " words"
+    rows = [(5, A), (5, B), (3, B), (8, C), (8, near), (8, A + "\t"), (9, None), (9, ""), (None, B), (None, "only one without id"), (2, near), (2, near)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, mark long")
+    kept = [(r.doc_id, r.text) for r in nj.keep_one(df).collect()]
+    place = {t: comp for _, t, comp in ((i, t, c) for (i, t), (_, _, c) in zip(enumerate({t: 0 for _, t in rows}), _text_components(list({t: 0 for _, t in rows}))))}
+    want = []
+    for i, t in rows:
+        mates = [(j is None, j or 0, u) for j, u in rows if place[u] == place[t] and (u or "").split()]
+        if not (t or "").split() or (i is None, i or 0) == min(m[:2] for m in mates) and sum(1 for m in {m for m in mates if m[:2] == (i is None, i or 0)}) == 1:
+            want.append((i, t))
+    assert sorted(kept, key=str) == sorted(want, key=str)
+    # near texts under one id: exactly one of them stays
+    twice = spark.createDataFrame([(1, C), (1, near), (4, C)], "doc_id long, text string")
+    assert [r.doc_id for r in nj.keep_one(twice).collect()] == [1]
+
+
+def _text_components(texts):
+    return brute(list(enumerate(texts)), 5, 80, 100)
