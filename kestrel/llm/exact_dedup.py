@@ -2,13 +2,13 @@
 
 1. Scan: one digest row ``(doc_id, sha)`` per document, staged in the shared folder; texts
    are read once.
-2. A Misra-Gries type frequent-items sketch over the digests (``approx_top_k``, merged from
-   per-task sketches) names at most ``max_heavy`` candidates.
+2. Misra-Gries type frequent-items sketches over the digests' hashes (``approx_top_k``, one for
+   each of a few hundred hash buckets, merged by as many tasks) name a bounded number of
+   candidates (``lookup.frequent_hashes``).
 3. Candidates are verified exactly (counted, winner found) with map-side combining, and
-   those with at least ``heavy_rows`` rows become the winners table: ``max_heavy`` rows at
-   most, so it is broadcast.
+   those with at least ``heavy_rows`` rows become the winners table, which is broadcast.
 4. Documents of a winner get their row that stays map-side, without a shuffle.  The other
-   digests are shuffled; the sketch bounds how many rows one of them can hold.
+   digests are shuffled; the sketches bound how many rows one of them can hold.
 """
 
 from __future__ import annotations
@@ -16,10 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.lookup import frequent_hashes
 from kestrel.session import stage_table
 
-MAX_HEAVY = 1024        # winners broadcast at most (about 100 bytes each)
-TRACKED = 65536         # counters of the sketch: a digest above rows / TRACKED * 1.4 cannot be missed
 HEAVY_ROWS = 64         # a verified digest below this is left to the ordinary shuffle
 
 
@@ -29,21 +28,22 @@ def _digest(text_col: str, normalise):
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=None,
-                     max_heavy: int = MAX_HEAVY, tracked: int = TRACKED, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                     heavy_rows: int = HEAVY_ROWS, **sketch) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when their digests (SHA-256 of the UTF-8 text after ``normalise``, by
     default unchanged) are equal.  Null text counts as empty.  The largest id of a group
     stays; a null id loses to any other.  Rows that repeat an id are separate rows of the
     group, and all rows with the staying id are kept.  An empty table gives an empty
-    result; columns besides the two named are ignored, whatever their names.
+    result; columns besides the two named are ignored, whatever their names.  ``sketch``:
+    ``lookup.frequent_hashes``' sizes; they bound the winners, 16,384 by default.
     """
     rows = stage_table(docs.select(F.col(id_col).alias("doc_id"), _digest(text_col, normalise).alias("text_sha256")), "digests")
 
-    candidates = (rows.agg(F.expr(f"approx_top_k(text_sha256, {max_heavy}, {tracked})").alias("top"))
-                  .select(F.explode("top.item").alias("text_sha256")))
+    hashed = rows.withColumn("h", F.xxhash64("text_sha256"))
+    candidates = frequent_hashes(hashed, "h", heavy_rows, **sketch)
     winners = stage_table(
-        rows.join(F.broadcast(candidates), "text_sha256", "left_semi")
+        hashed.join(F.broadcast(candidates), "h", "left_semi")
         .groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .filter(F.col("group_size") >= heavy_rows), "winners")
 

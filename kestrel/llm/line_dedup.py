@@ -2,13 +2,16 @@
 
 1. Scan: per document its line count, the digest of its whole text, and for each long line
    a 128-bit key hash with its position; staged as one row per document, without text.
-2. A frequent-items sketch over the hashes names very frequent lines; these are counted
-   exactly with map-side combining and their winners (a bounded table) are broadcast.
+2. Frequent-items sketches over the hashes, one for each of a few hundred hash buckets, name very
+   frequent lines; these are counted exactly with map-side combining and their winners (a
+   bounded table) are broadcast.
 3. All other hashes are range-partitioned with a secondary sort by document (largest first)
    and position; one streaming pass per partition marks every line after the first
    document's once the hash is seen in enough documents.
 4. Marks are gathered per document and text to a compressed bitmap of lines to keep.
-5. Only documents that lose a line are read again, to join their other lines.
+5. Texts that lose a line are found again by merging with the bitmaps, by id and digest; other
+   texts are thinned out before, map-side, by the bounded set of hash buckets that the
+   bitmaps fall into.
 """
 
 from __future__ import annotations
@@ -23,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import SPACE_BYTES, batch_of, text_chunks
+from kestrel.llm.common import SPACE_BYTES, batch_of, in_buckets, text_chunks
+from kestrel.operators.lookup import frequent_hashes
 from kestrel.session import stage_table
 
 MIN_CHARS, MIN_DOCS = 20, 3
-MAX_HEAVY, TRACKED = 1024, 65536
-HEAVY_ROWS = 256
+HEAVY_ROWS = 256             # a line that the sketches count below this is left to the ordinary sort
 
 LINES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_lines", T.LongType()), T.StructField("sha", T.StringType()),
@@ -133,7 +136,7 @@ def _pack(batches):
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS,
-                 min_docs: int = MIN_DOCS, max_heavy: int = MAX_HEAVY, tracked: int = TRACKED):
+                 min_docs: int = MIN_DOCS):
     """``(lines, bitmaps)``: per document ``doc_id, n_lines, sha`` and long-line hashes; and for
     each text of a document that loses lines ``doc_id, sha, n_lines, n_dropped, keep_bitmap``.
 
@@ -150,13 +153,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     row = F.xxhash64("sha").alias("row")
     long = lines.select(F.coalesce("doc_id", F.lit(-(2 ** 63))).alias("doc"), row, F.inline("lines"))
 
-    top = lines.select(F.explode("lines.h1").alias("h1")).agg(F.expr(f"approx_top_k(h1, {max_heavy}, {tracked})").alias("top"))
-    candidates = top.select(F.explode("top").alias("t")).filter(F.col("t.count") >= HEAVY_ROWS).select(F.col("t.item").alias("h1"))
+    candidates = frequent_hashes(lines.select(F.explode("lines.h1").alias("h1")), "h1", HEAVY_ROWS)
     heavy = stage_table(
         long.join(F.broadcast(candidates), "h1", "left_semi")
         .groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.max("doc").alias("winner"), F.count(F.lit(1)).alias("n_docs"))
-        .filter(F.col("n_docs") >= min_docs).orderBy(F.desc("n_docs"), "h1", "h2").limit(max_heavy), "heavy-lines")
+        .filter(F.col("n_docs") >= min_docs), "heavy-lines")
     heavy_marks = (long.join(F.broadcast(heavy), ["h1", "h2"]).filter(F.col("doc") != F.col("winner"))
                    .select(F.col("doc").alias("doc_id"), "pos", "row"))
     light = long.join(F.broadcast(heavy.select("h1", "h2")), ["h1", "h2"], "left_anti").select("h1", "h2", "doc", "pos", "row")
@@ -189,11 +191,13 @@ def kept_texts(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     """``doc_id, sha, kept_text, kept_sha256`` of the documents that lose lines (``sha``: of the whole text).
 
     The documents that lose a line grow with the input, so the bitmaps are never broadcast:
-    texts and bitmaps are sorted and merged by id and digest at every size.
+    texts and bitmaps are sorted and merged by id and digest at every size, texts in none of
+    the bitmaps' hash buckets before that left out.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     src = src.withColumn("sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    return (src.join(bitmaps.select("doc_id", "sha", "keep_bitmap").hint("merge"), ["doc_id", "sha"])
+    near = in_buckets(src, bitmaps.select("doc_id", "sha"), ["doc_id", "sha"])
+    return (near.join(bitmaps.select("doc_id", "sha", "keep_bitmap").hint("merge"), ["doc_id", "sha"])
             .mapInArrow(_apply, "doc_id long, sha string, kept_text string, kept_sha256 string"))
 
 

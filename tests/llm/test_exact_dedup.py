@@ -25,9 +25,9 @@ def test_equal_brute_force_on_both_paths(spark, heavy_rows):
     rows = list(zip(r.sample(range(10 ** 6), len(texts)), texts)) + [(None, "hot"), (None, "alone")]
     rows += [rows[0], rows[-3]]                       # repeated rows
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, group_size int")
-    got = ed.exact_duplicates(df, max_heavy=8, tracked=64, heavy_rows=heavy_rows)
+    got = ed.exact_duplicates(df, buckets=4, per_bucket=2, tracked=16, heavy_rows=heavy_rows)
     assert sorted((tuple(x) for x in got.collect()), key=str) == want(rows)
-    left = ed.drop_exact_duplicates(df, max_heavy=8, tracked=64, heavy_rows=heavy_rows).collect()
+    left = ed.drop_exact_duplicates(df, buckets=4, per_bucket=2, tracked=16, heavy_rows=heavy_rows).collect()
     assert {x.text or "" for x in left} == {t or "" for _, t in rows} and left[0].group_size == 1
 
 
