@@ -1,17 +1,20 @@
 """License scan by ordered signature rules.
 
 A rule is a regular expression over the normalised text (lower-cased words joined by single
-blanks) with a label, a priority and keywords.  Rules are compiled from hand-written
-signatures and forms.  A document is matched only against the rules whose keyword occurs
-among its words.  Detections are then resolved: one contained in a longer or equal
-detection of the same or a higher priority is dropped, and of crossing ones the higher
-priority, then the longer, then the earlier stays.
+blanks) with a label, a priority and keywords.  There are two kinds, both hand-written:
+``PASSAGES`` are sentences of license texts and header notices; names and identifiers of
+``FAMILIES`` are found in the wordings of ``FORMS``.  A document is matched only against the
+rules of which a keyword occurs among its words.  Detections are then resolved: one inside a
+longer one goes whatever the priorities, of equal intervals the higher priority stays, and of
+crossing ones the higher priority, then the longer, then the earlier.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -107,6 +110,119 @@ FORMS = (
 )
 
 
+# Fixed values, hand-written: label, keyword, words of a sentence of the license's text or of its usual header.
+# ``~`` stands for up to twelve words (names, years).  A passage outranks every form.
+PASSAGE_PRIORITY, PASSAGE_WEIGHT = 10, 0.98
+PASSAGES = (
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this (?:software|library|program)(?: and associated documentation files?)?(?: the software)?(?: to deal in the software without restriction)?"),
+    ("mit", "substantial", r"the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software"),
+    ("mit", "noninfringement", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit", "holders", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("x11", "consortium", r"except as contained in this notice the name of the x consortium shall not be used in advertising"),
+    ("ncsa", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files? the software to deal with the software without restriction"),
+    ("ncsa", "illinois", r"neither the names? of ~university of illinois ~may be used to endorse or promote products"),
+    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice(?: this list of conditions and the following disclaimer)?"),
+    ("bsd", "redistributions", r"redistributions in binary form must reproduce the above copyright notice(?: this list of conditions and the following disclaimer in the documentation)?"),
+    ("bsd", "warranties", r"this software is provided by ~as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd-3-clause", "endorse", r"neither the names? of ~nor the names of (?:its|their) contributors may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd-2-clause", "interpreted", r"the views and conclusions contained in the software and documentation are those of the authors and should not be interpreted as representing official policies"),
+    ("isc", "hereby", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd", "hereby", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "disclaims", r"the software is provided as is and (?:the author|isc|internet systems consortium) disclaims all warranties with regard to this software"),
+    ("gpl", "redistribute", r"this (?:program|file|software) is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e as published by the free software foundation"),
+    ("gpl", "gnu", r"you should have received a copy of the gnu general public licen[sc]e along with this"),
+    ("gpl", "merchantability", r"this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl", "freedom", r"the licenses for most software(?: and other practical works)? are designed to take away your freedom to share and change"),
+    ("gpl", "copyleft", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl", "verbatim", r"you may (?:convey|copy and distribute) verbatim copies of the program s source code as you receive it"),
+    ("gpl", "propagate", r"you may not propagate or modify a covered work except as expressly provided under this license"),
+    ("gpl", "verbatim", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("lgpl", "redistribute", r"this (?:library|program|file|software) is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e as published by the free software foundation"),
+    ("lgpl", "gnu", r"you should have received a copy of the gnu (?:lesser|library) general public licen[sc]e along with this"),
+    ("lgpl", "specially", r"this license the (?:lesser|library) general public license applies to some specially designated software packages"),
+    ("lgpl", "lesser", r"this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("agpl", "redistribute", r"this (?:program|file|software) is free software you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e as published by the free software foundation"),
+    ("agpl", "affero", r"you should have received a copy of the gnu affero general public licen[sc]e along with this"),
+    ("agpl", "remotely", r"your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("gfdl", "documentation", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e"),
+    ("gfdl", "textbook", r"the purpose of this license is to make a manual textbook or other functional and useful document free"),
+    ("apache", "compliance", r"licensed under the apache license version 2 0 the license you may not use (?:this file|these files) except in compliance with the license"),
+    ("apache", "writing", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind"),
+    ("apache", "contributor", r"subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable(?: except as stated in this section)? (?:copyright|patent) license"),
+    ("apache", "prominent", r"you must cause any modified files to carry prominent notices stating that you changed the files"),
+    ("apache", "contributor", r"licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache", "apache", r"this product includes software developed by the apache (?:group|software foundation)"),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl", "mozilla", r"the contents of this file are subject to the mozilla public license version 1 [01]"),
+    ("mpl", "contributor", r"each contributor hereby grants you a world wide royalty free non exclusive license"),
+    ("epl", "eclipse", r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("epl", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "recipient", r"any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement"),
+    ("cddl", "distribution", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", "eupl", r"this european union public licence the eupl applies to the work"),
+    ("eupl", "eupl", r"licensed under the eupl(?: version 1 [012])?(?: only| or as soon they will be approved by the european commission)"),
+    ("artistic", "semblance", r"the intent of this document is to state the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control"),
+    ("artistic", "modified", r"you are permitted to use the standard version and create and use modified versions for any purpose without restriction"),
+    ("zlib", "arising", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("libpng", "png", r"the png reference library is supplied as is"),
+    ("boost", "organization", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("busl", "licensor", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl", "functionality", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("elastic", "hosted", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", r"you just do what the fuck you want to"),
+    ("cc0", "deed", r"the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc0", "affirmer", r"affirmer hereby overtly fully permanently irrevocably and unconditionally waives"),
+    ("cc-by", "credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by", "creative", r"this work is licensed under (?:a|the) creative commons attribution(?: [1-4] [05])?(?: international| unported| generic)? licen[sc]e"),
+    ("cc-by-sa", "remix", r"if you remix transform or build upon the material you must distribute your contributions under the same license as the original"),
+    ("cc-by-sa", "creative", r"this work is licensed under (?:a|the) creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported| generic)? licen[sc]e"),
+    ("cc-by-nd", "remix", r"if you remix transform or build upon the material you may not distribute the modified material"),
+    ("cc-by-nc", "commercial", r"you may not use the material for commercial purposes"),
+    ("cc-by-nc", "creative", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported| generic)? licen[sc]e"),
+    ("cc-by-nc-sa", "creative", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?(?: international| unported| generic)? licen[sc]e"),
+    ("cc-by-nc-nd", "creative", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: works)?(?: [1-4] [05])?(?: international| unported| generic)? licen[sc]e"),
+    ("odbl", "odbl", r"(?:this|the) open database license odbl is a license agreement intended to allow users to freely share modify and use this database"),
+    ("pddl", "dedication", r"the open data commons public domain dedication and licen[sc]e(?: pddl)?"),
+    ("ofl", "font", r"this font software is licensed under the sil open font license"),
+    ("ofl", "font", r"the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("ofl", "font", r"neither the font software nor any of its individual components in original or modified versions may be sold by itself"),
+    ("psf", "psf", r"psf is making python available to licensee on an as is basis"),
+    ("psf", "psf", r"this license agreement is between the python software foundation psf and the individual or organization licensee"),
+    ("php", "php", r"this source file is subject to version (?:2 02|3 0|3 01) of the php license"),
+    ("php", "php", r"products derived from this software may not be called php"),
+    ("ruby", "verbatim", r"you may make and give away verbatim copies of the source form of the software without restriction"),
+    ("zpl", "zope", r"this software is subject to the provisions of the zope public license"),
+    ("w3c", "licensee", r"by obtaining using and or copying this work you the licensee agree that you have read understood and will comply"),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("openssl", "cryptographic", r"this product includes cryptographic software written by eric young"),
+    ("postgresql", "fee", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("curl", "holder", r"except as contained in this notice the name of a copyright holder shall not be used in advertising or otherwise to promote the sale"),
+    ("vim", "vim", r"there are no restrictions on distributing unmodified copies of vim"),
+    ("tcl", "regents", r"this software is copyrighted by the regents of the university of california sun microsystems"),
+    ("ms-pl", "governs", r"this license governs use of the accompanying software if you use the software you accept this license"),
+    ("apsl", "apple", r"this file contains original code and or modifications of original code as defined in and that are subject to the apple public source license"),
+    ("osl", "authorship", r"this open software license the license applies to any original work of authorship"),
+    ("afl", "authorship", r"this academic free license the license applies to any original work of authorship"),
+    ("cecill", "cecill", r"this software is governed by the cecill(?: b| c)? licen[sc]e under french law and abiding by the rules of distribution of free software"),
+    ("mulanpsl", "mulan", r"is licensed under mulan psl v[12] you can use this software according to the terms and conditions of the mulan psl"),
+    ("upl", "hereby", r"subject to the condition set forth below permission is hereby granted to any person obtaining a copy of this software associated documentation and or data"),
+    ("llama", "llama", r"llama [234](?: [1-3])? is licensed under the llama [234](?: [1-3])? community license"),
+    ("llama", "meta", r"you are granted a non exclusive worldwide non transferable and royalty free limited license under meta s intellectual property"),
+    ("openrail", "restrictions", r"use based restrictions as referenced in paragraph 5 must be included as an enforceable provision"),
+    ("proprietary", "unauthorized", r"unauthorized (?:copying|use|reproduction|distribution)(?: or distribution)? of (?:this|these) (?:file|files|software|document|program)(?: via any medium)? is strictly prohibited"),
+    ("proprietary", "confidential", r"this (?:software|document|file) (?:is|contains) (?:the )?confidential and proprietary information of"),
+    ("public-domain", "domain", r"this (?:file|work|software|code|program|document) (?:is|has been) (?:hereby )?(?:placed |released )?(?:in|into|to) the public domain"),
+    ("public-domain", "disclaims", r"the author disclaims copyright to this source code"),
+)
+
+
 class Rule(NamedTuple):
     label: str
     priority: int
@@ -126,36 +242,43 @@ class Detection(NamedTuple):
 def rules() -> tuple[list[Rule], dict[bytes, list[int]]]:
     """All rules, in order of priority, and the rules that each keyword lets through."""
     out, gate = [], {}
+
+    def add(label: str, priority: int, weight: float, keywords: str, pattern: str):
+        for k in keywords.split():
+            gate.setdefault(k.encode(), []).append(len(out))
+        out.append(Rule(label, priority, weight, re.compile(rb"(?<![^ ])(?:" + pattern.encode() + rb")(?![^ ])")))
+
+    for label, keyword, words in PASSAGES:
+        add(label, PASSAGE_PRIORITY, PASSAGE_WEIGHT, keyword, words.replace("~", "(?:[^ ]+ ){1,12}?"))
     for priority, weight, _, form in FORMS:
         for label, spdx, name, keywords in FAMILIES:
-            pattern = form.replace("{id}", spdx).replace("{name}", name)
-            for k in keywords.split():
-                gate.setdefault(k.encode(), []).append(len(out))
-            out.append(Rule(label, priority, weight, re.compile(rb"(?<![^ ])(?:" + pattern.encode() + rb")(?![^ ])")))
+            add(label, priority, weight, keywords, form.replace("{id}", spdx).replace("{name}", name))
     return out, gate
 
 
 def resolve(found: list[Detection]) -> list[Detection]:
-    """Detections that survive: higher priority first, then longer, then earlier; what overlaps a survivor goes,
-    unless it holds a survivor whole, with the same label, and so only adds words to it."""
+    """Detections that survive where they cross: higher priority first, then longer, then earlier; what overlaps a
+    survivor goes.  Survivors are kept in order of place, so a detection is compared with its neighbours only."""
     kept: list[Detection] = []
     for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
-        if all(d.end <= k.start or k.end <= d.start for k in kept):
-            kept.append(d)
-    return sorted(kept)
+        at = bisect(kept, d.start, key=lambda k: k.start)
+        if (at == 0 or kept[at - 1].end <= d.start) and (at == len(kept) or d.end <= kept[at].start):
+            kept.insert(at, d)
+    return kept
 
 
-def detections(words: list[bytes], vocabulary: set | None = None) -> list[Detection]:
-    """Resolved detections in a list of normalised words, as word positions."""
+def detections(words: list[bytes], vocabulary: set | None = None, gated: bool = True) -> list[Detection]:
+    """Resolved detections in a list of normalised words, as word positions; ``gated=False`` tries every rule."""
     every, gate = rules()
-    opened = {i for k in gate.keys() & (vocabulary if vocabulary is not None else set(words)) for i in gate[k]}
+    opened = {i for k in gate.keys() & (vocabulary if vocabulary is not None else set(words)) for i in gate[k]} if gated else range(len(every))
     if not opened:
         return []
     text = b" ".join(words)
     raw = [Detection(*m.span(), r.label, r.priority, r.weight) for r in map(every.__getitem__, sorted(opened)) for m in r.pattern.finditer(text)]
-    raw = contained_out(raw)
-    word = lambda at: text.count(b" ", 0, at)
-    return [d._replace(start=word(d.start), end=word(d.end) + 1) for d in resolve(raw)]
+    if not raw:
+        return []
+    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+    return [d._replace(start=bisect(starts, d.start) - 1, end=bisect(starts, d.end - 1)) for d in resolve(contained_out(raw))]
 
 
 def contained_out(found: list[Detection]) -> list[Detection]:
