@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.llm.common import batch_of, text_chunks
-from kestrel.llm.sampling import labelled_sample
+from kestrel.llm.sampling import labelled_sample, within_bytes
 
 FEATURES = 1 << 16
 PER_GRADE = 5000             # bound of the sample, for each grade
-MAX_CHARS = 50_000           # longer texts are not trained on (all are scored whole)
+SAMPLE_BYTES = 64 << 20      # bound of the sample's features
 EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.05, 1e-4
 KEEP_GOOD = 0.995            # share of the good documents put aside that the cut must keep
 # Byte classes of a word's shape: a for letters (and bytes above ASCII), A for capitals, 9 for digits.
@@ -154,11 +154,12 @@ def _sampled(batches):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", target: int | None = None, id_col: str = "doc_id", text_col: str = "text",
-        per_grade: int = PER_GRADE, max_chars: int = MAX_CHARS) -> Model:
-    """Model from a bounded sample of graded documents: any number of ordered integer grades."""
-    sample = labelled_sample(docs, labels, label, per_grade, max_chars, id_col, text_col)
-    rows = (sample.select("doc_id", F.col("label").cast("int").alias("label"), "text")
-            .mapInArrow(_sampled, "doc_id long, label int, index array<int>, value array<float>").toArrow()
+        per_grade: int = PER_GRADE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """Model from a sample of graded documents, bounded in rows and in feature bytes: any number of ordered integer grades."""
+    sample = labelled_sample(docs, labels, label, per_grade, id_col, text_col)
+    found = (sample.select("doc_id", F.col("label").cast("int").alias("label"), "text")
+             .mapInArrow(_sampled, "doc_id long, label int, index array<int>, value array<float>"))
+    rows = (within_bytes(found, 8 * F.size("index"), sample_bytes).toArrow()
             .sort_by([("doc_id", "ascending"), ("label", "ascending")]))
     found = [(np.asarray(i.values), np.asarray(v.values)) for i, v in zip(rows.column("index"), rows.column("value"))]
     return train(found, np.asarray(rows.column("label").to_pylist(), np.int64), target)

@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from kestrel.llm import quality as q
+from kestrel.llm.sampling import within_bytes
 
 GOOD, BAD = [f"word{k}" for k in range(60)], ["AAA!!", "***", "|", "x&&&", "$$$"]
 
@@ -72,3 +73,31 @@ def test_one_grade_or_no_labels_keep_all(spark):
     docs, labels = frames(spark, rows(30, 3, 2))
     for some in (labels.limit(0), labels.withColumn("quality", F.lit(1)), labels.withColumn("quality", F.lit(None).cast("int"))):
         assert q.select_good(docs, q.fit(docs, some)).count() == 30
+
+
+def test_the_sample_is_bounded_in_bytes_and_not_by_the_length_of_a_text(spark):
+    rows = [(i, "word " * (30_000 if i == 7 else 20), i % 2) for i in range(40)]
+    drawn = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    whole = within_bytes(drawn, F.length("text"), 10 ** 7).collect()
+    assert sorted(tuple(r) for r in whole) == rows
+    some = within_bytes(drawn, F.length("text"), 1000).collect()
+    assert 1 <= len(some) <= 11 and (len(some) == 1 or sum(len(r.text) for r in some) <= 1000)
+    assert within_bytes(drawn.limit(0), F.length("text"), 1000).count() == 0
+
+
+def test_scores_equal_a_plain_computation(spark):
+    docs, labels = frames(spark, rows(200, 9, 3))
+    model = q.fit(docs, labels)
+    odd = spark.createDataFrame([(900, None, 1), (901, " \t ", 1), (902, "Some WORD1 99 !!", 1)], docs.schema)
+    every = docs.limit(30).unionByName(odd)
+    texts = {r.doc_id: r.text for r in every.collect()}
+    for r in q.quality_scores(every, model).collect():
+        words, counts = (texts[r.doc_id] or "").encode().split(), {}
+        for w in words:
+            for f in q._Columns()[w]:
+                counts[f] = counts.get(f, 0) + 1
+        margin = sum(float(model.weights[f]) * (n / len(words)) ** 0.5 for f, n in counts.items()) if words else float(model.weights[q.FEATURES - 1])
+        above = [1 / (1 + np.exp(-(margin - t))) for t in model.thresholds]
+        expected = model.grades[0] + sum(p * (b - a) for p, a, b in zip(above, model.grades, model.grades[1:]))
+        assert abs(r.expected_grade - expected) < 1e-4 and abs(r.tail_probability - above[-1]) < 1e-5
+        assert r.kept == (r.tail_probability >= model.cut)
