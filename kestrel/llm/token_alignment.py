@@ -18,6 +18,7 @@ import hashlib
 import json
 import re
 from array import array
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -30,7 +31,7 @@ from kestrel.session import stage_table
 
 FREQUENT = 1 << 18           # pairs that may be broadcast (a long and two values each)
 CHUNK_BYTES = 1 << 20        # text whose tokens and links are held at once, besides one text of any length
-MEMO, MEMO_CHARS = 400_000, 64   # words whose ids a worker remembers, and their longest
+MEMO, MEMO_CHARS = 250_000, 64   # words whose ids a worker remembers, and their longest
 LONG_WORD = 200_000          # above it the slower library encodes a word
 WIDE_GROUP = 64              # links of a group above which equal ids are counted instead of written out
 
@@ -55,8 +56,6 @@ class ByteLevel:
     """Byte-level BPE from a vocabulary in JSON; ids of blank + text."""
 
     def __init__(self, blob: bytes):
-        from tokenizers import Tokenizer
-
         spec = json.loads(blob)
         alphabet, vocab = _byte_alphabet(), spec["model"]["vocab"]
         special = {t["content"] for t in spec["added_tokens"]}
@@ -65,15 +64,22 @@ class ByteLevel:
         for entry, i in vocab.items():
             self.bytes[i] = entry.encode() if entry in special else bytes(map(alphabet.__getitem__, entry))
         merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
-        self.whole = Tokenizer.from_str(blob.decode())
-        self.whole.encode_special_tokens = True  # their strings in a text are plain text
-        self.fast = None
+        self.blob, self.fast = blob, None
         if merged == sorted(merged):  # the order of ids is the order of merges: the quicker library gives the same ids
             import tiktoken
 
             ranks = {self.bytes[i]: i for entry, i in vocab.items() if entry not in special}
             self.fast = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def whole(self):
+        """The vocabulary's own library; large, so it is only loaded where a word needs it."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_str(self.blob.decode())
+        out.encode_special_tokens = True  # their strings in a text are plain text
+        return out
+
     def encode(self, words: list[str]) -> list[list[int]]:
         if not self.fast:
             return [e.ids for e in self.whole.encode_batch([" " + w for w in words], add_special_tokens=False)]

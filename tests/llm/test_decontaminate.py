@@ -64,7 +64,7 @@ def test_equal_brute_force_in_one_block_and_in_several(spark, max_windows):
 
 
 @pytest.mark.parametrize("max_windows", [200_000, 60])
-def test_removed_spans_leave_nothing_hit(spark, max_windows):
+def test_removed_spans_shorten_only_hit_texts(spark, max_windows):
     docs, bench = data(4)
     bench = [x for x in bench if len(words(x[1])) >= 12]
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
@@ -73,7 +73,7 @@ def test_removed_spans_leave_nothing_hit(spark, max_windows):
     for i, text in docs:
         if before[i][2] == 0:
             assert clean[i] == text
-        elif max_windows > 60:
+        else:
             assert len(words(clean[i])) >= before[i][1] - before[i][2] - 2 * before[i][3]  # words joined at a cut count once
             assert len(clean[i]) < len(text)
 

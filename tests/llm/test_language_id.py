@@ -51,3 +51,39 @@ def test_null_empty_long_and_repeated_rows(spark):
     assert li.identify(df, li.prototypes(df.limit(0))).select("lang_pred").distinct().collect() == [("und",)]
     assert li.held_out_predictions(df.limit(0)).count() == 0
     assert df.filter(train_fold(F.col("doc_id"))).count() < 47
+
+
+def plain_vector(text, dims):
+    """Bundle of bound letter vectors by loops over the text's letters."""
+    letters = [0]
+    for ch in text.lower():
+        x = ord(ch) if ch.isalpha() else 0
+        if x or letters[-1]:
+            letters.append(x)
+    if letters[-1]:
+        letters.append(0)
+    out = np.zeros(dims)
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b:
+            va, vb, vc = (li.letter_vectors(np.array([x]), dims)[0].astype(int) for x in (a, b, c))
+            out += np.roll(va, 2) * np.roll(vb, 1) * vc
+    return out
+
+
+def test_predictions_equal_plain_loops(spark):
+    data = rows(60, 8) + [(70, None, "aa"), (71, "12 ?", "bb"), (72, "der x1y haus", None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    learn = {r.doc_id for r in df.filter(train_fold(F.col("doc_id"))).collect()}
+    sums = {}
+    for i, text, lang in data:
+        if i in learn and lang and text:
+            sums[lang] = sums.get(lang, 0) + plain_vector(text, li.DIMENSIONS)
+    unit = {k: v / np.linalg.norm(v) for k, v in sums.items()}
+    for r in li.held_out_predictions(df).collect():
+        v = plain_vector(data[[x[0] for x in data].index(r.doc_id)][1] or "", li.DIMENSIONS)
+        assert r.held_out == (r.doc_id not in learn)
+        if not v.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosine = {k: float(v @ u / np.linalg.norm(v)) for k, u in unit.items()}
+        assert r.lang_pred == max(sorted(cosine), key=cosine.get) and abs(r.score - max(0.0, cosine[r.lang_pred])) < 1e-4
