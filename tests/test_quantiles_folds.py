@@ -62,11 +62,20 @@ def test_quantiles_with_infinities_and_nan(spark):
     assert math.isnan(ag.quantile_values(df, ["x"], [1.0])["x"][0])
 
 
-def test_no_sort_of_values_in_the_plan(spark, capsys):
-    df = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
-    ag.quantiles(df, ["x"], [0.5]).explain()
-    plan = capsys.readouterr().out
-    assert "rangepartitioning" not in plan and "value" not in plan.split("Sort [")[1:] if "Sort [" in plan else True
+def test_values_are_neither_sorted_nor_staged(spark, monkeypatch):
+    """What a pass stages are buckets of wanted ranks; windows sort bucket rows, and nothing is range-partitioned."""
+    staged, stage = [], ag.stage_table
+
+    def seen(df, name):
+        table = stage(df, name)
+        staged.append((df._jdf.queryExecution().executedPlan().toString(), table.count()))
+        return table
+
+    monkeypatch.setattr(ag, "stage_table", seen)
+    df = spark.range(0, 20_000, 1, 4).select((F.col("id") * 0.37).alias("x"), F.sqrt("id").alias("y"))
+    ag.quantiles(df, ["x", "y"], PROBS).collect()
+    assert 1 <= len(staged) <= 4
+    assert all("rangepartitioning" not in plan and "Sort [value" not in plan and n <= 2 * 2 * len(PROBS) for plan, n in staged)
 
 
 def linear(spark, n=600, seed=3):
