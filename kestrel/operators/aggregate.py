@@ -99,7 +99,7 @@ def quantiles(df: DataFrame, cols: list[str], probs, by: list[str] | None = None
         wanted = open_.groupBy(*[c for c in open_.columns if c not in ("slot", "rank")]).agg(F.collect_list(F.struct("slot", "rank")).alias("slots"))
         same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)] + [F.col("parent") == F.col("above")]
         inside = long.withColumn("above", F.shiftright("key", level)).join(wanted, same, "left_semi")
-        level -= DIGIT_BITS
+        level = max(level - DIGIT_BITS, 0)
         counts = inside.groupBy(*keys, "above", F.shiftright("key", level).alias("bucket")).agg(
             F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         counts = counts.join(wanted, same).select(*keys, "above", "bucket", "n", "lo", "hi", "total", "slots")
