@@ -3,8 +3,8 @@
 Moments, counts and correlations are one aggregation pass (map-side partial
 aggregation, one small shuffle), then a reshape of the result row into a long
 table.  Quantiles are exact (linear interpolation, equal to pandas / DuckDB
-``quantile_cont``) and come from radix selection: counts of leading bits, combined
-map-side, so no values are sorted and no task holds a column.
+``quantile_cont``) and come from selection by buckets: counts by parts of the value range,
+then by leading bits, combined map-side, so no values are sorted and no task holds a column.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from kestrel.session import stage_table
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 DIGIT_BITS = 16              # key bits that one pass of a quantile tells apart
+EVEN_PASSES = 2              # passes by equal parts of the value range before key bits are used
+FINITE = 2.0 ** 1022         # the difference of two values up to this is finite
 
 
 def _c(c) -> Column:
@@ -50,19 +52,25 @@ def ordered_key(value: Column) -> Column:
     return F.when(value.isNotNull(), F.when(value < 0, -key).otherwise(key))
 
 
-def _hits(counts: DataFrame, keys: list[str], within: list[str], slots: Column) -> DataFrame:
-    """Wanted ranks with the bucket each falls in: one row per slot, from buckets with ``n, lo, hi``.
+def _even_bucket(value: Column, lo: Column, hi: Column) -> Column:
+    """One of 2 ** ``DIGIT_BITS`` equal parts of the range from ``lo`` to ``hi``; what is not finite lies below or above them."""
+    lo, hi, parts = F.greatest(lo, F.lit(-FINITE)), F.least(hi, F.lit(FINITE)), 1 << DIGIT_BITS
+    part = F.floor(F.coalesce(F.try_divide(value - lo, hi - lo), F.lit(0.0)) * float(parts - 1))
+    return F.when(value < lo, F.lit(-1)).when(value > hi, F.lit(parts)).otherwise(part)
 
-    ``slots`` is the bucket row's array of ``(slot, rank)`` in its part (``within``), a slot being
-    resolved when its bucket's smallest or largest value must be it.
+
+def _hits(counts: DataFrame) -> DataFrame:
+    """Wanted ranks with the bucket each falls in: one row per slot, from a node's buckets with ``n, lo, hi``.
+
+    ``slots`` is the node's array of ``(slot, rank)``, a slot being resolved when its bucket's
+    smallest or largest value must be it.
     """
-    part = Window.partitionBy(*within)
-    run = counts.withColumns({"upto": F.sum("n").over(part.orderBy("bucket")), "total": F.coalesce("total", F.sum("n").over(part))})
-    run = run.withColumn("before", F.col("upto") - F.col("n")).withColumn("slots", slots)
-    hit = run.select(*keys, "bucket", "before", "upto", "lo", "hi", "total", F.explode(F.filter(
+    run = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("node").orderBy("bucket")))
+    run = run.withColumn("before", F.col("upto") - F.col("n"))
+    hit = run.select("root", "node", "bucket", "before", "upto", "lo", "hi", "total", F.explode(F.filter(
         "slots", lambda s: (s["rank"] >= F.col("before")) & (s["rank"] < F.col("upto")))).alias("s"))
     rank = F.col("s.rank") - F.col("before")
-    return hit.select(*keys, "bucket", "total", F.col("s.slot").alias("slot"), rank.alias("rank"),
+    return hit.select("root", "node", "bucket", "lo", "hi", "total", F.col("s.slot").alias("slot"), rank.alias("rank"),
                       F.when((rank == 0) | F.col("lo").eqNullSafe(F.col("hi")), F.col("lo"))
                        .when(F.col("s.rank") == F.col("upto") - 1, F.col("hi")).alias("value"))
 
@@ -70,40 +78,49 @@ def _hits(counts: DataFrame, keys: list[str], within: list[str], slots: Column)
 def quantiles(df: DataFrame, cols: list[str], probs, by: list[str] | None = None) -> DataFrame:
     """``(by…, column_name, q)``: the exact quantiles of every column per group as an array.
 
-    Radix selection on order-preserving keys, all columns, groups and probabilities at once:
-    rows are counted by the leading ``DIGIT_BITS`` of their keys, and only buckets that hold a
-    wanted rank are counted again by the next bits, until each wanted bucket's smallest or
-    largest value is the answer.  At most four passes over ``df``; counts are combined
-    map-side to at most 2 ** DIGIT_BITS rows per bucket, values are never sorted or kept.
+    Selection by buckets, all columns, groups and probabilities at once.  One aggregation gives
+    each part's (group's and column's) count and range.  Its values are counted by equal parts
+    of the range; only buckets that hold a wanted rank are cut again, until each wanted bucket's
+    smallest or largest value is the answer.  What ``EVEN_PASSES`` such passes leave open (values
+    of very different magnitude) is told apart by the bits of order-preserving keys, at most
+    64 / ``DIGIT_BITS`` passes more.  Counts are combined map-side to about 2 ** DIGIT_BITS rows
+    per bucket, values are never sorted or kept.
     NULLs are left out; NaN is the largest value; a column (or group) without values has no row.
     """
     by, probs = by or [], [float(p) for p in probs]
-    keys = [*by, "column_name"]
-    entry = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in cols])
-    long = df.select(*by, F.explode(entry).alias("e")).select(*by, "e.column_name", "e.value").filter("value IS NOT NULL")
-    long = long.withColumn("key", ordered_key(F.col("value")))
+    groups = [f"_{i}" for i in range(len(by))]
+    narrow = df.select(*[F.col(k).alias(g) for k, g in zip(by, groups)], *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    stats = []
+    for i in range(len(cols)):
+        finite = F.when(F.abs(f"x{i}") <= FINITE, F.col(f"x{i}"))
+        stats.append(F.struct(F.lit(i).alias("column"), F.count(f"x{i}").alias("total"),
+                              F.coalesce(F.min(finite), F.lit(0.0)).alias("lo"), F.coalesce(F.max(finite), F.lit(0.0)).alias("hi")))
+    ranges = stage_table(narrow.groupBy(*groups).agg(F.array(*stats).alias("e")).select(*groups, F.inline("e")).filter("total > 0")
+                         .withColumn("root", F.monotonically_increasing_id()), "value-ranges")
+    entry = F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"x{i}").alias("value")) for i in range(len(cols))])
+    long = narrow.select(*groups, F.explode(entry).alias("e")).select(*groups, "e.column", "e.value").filter("value IS NOT NULL")
+    part = ranges.select(*[F.col(g).alias(f"_{g}") for g in groups], F.col("column").alias("_column"), F.col("root").alias("node"), "lo", "hi")
+    rows = long.join(part, [F.col("column") == F.col("_column"), *[F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]]).select("node", "value", "lo", "hi")
     last = F.col("total") - 1
     slots = F.array(*[F.struct(F.lit(2 * i + side).alias("slot"), end(F.lit(p) * last).cast("long").alias("rank"))
                       for i, p in enumerate(probs) for side, end in ((0, F.floor), (1, F.ceil))])
-    found, level = [], 64 - DIGIT_BITS
-    counts = (long.groupBy(*keys, F.shiftright("key", level).alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-              .withColumn("total", F.lit(None).cast("long")))
-    hits = stage_table(_hits(counts, keys, keys, slots), "rank-buckets")
-    while True:
+    wanted = ranges.select("root", F.col("root").alias("node"), "total", slots.alias("slots"))
+    buckets = [_even_bucket(F.col("value"), F.col("lo"), F.col("hi"))] * EVEN_PASSES
+    buckets += [F.shiftright(ordered_key(F.col("value")), max(level, 0)) for level in range(64 - DIGIT_BITS, -DIGIT_BITS, -DIGIT_BITS)]
+    found = []
+    for bucket in buckets:
+        tagged = rows.withColumn("bucket", bucket)
+        counts = tagged.groupBy("node", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        hits = stage_table(_hits(counts.join(wanted, "node")).withColumn("next", F.monotonically_increasing_id()), "rank-buckets")
         found.append(hits.filter("value IS NOT NULL"))
-        open_ = hits.filter("value IS NULL").select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], F.col("bucket").alias("parent"),
-                                                    "total", "slot", "rank")
+        open_ = hits.filter("value IS NULL")
         if open_.isEmpty():
             break
-        wanted = open_.groupBy(*[c for c in open_.columns if c not in ("slot", "rank")]).agg(F.collect_list(F.struct("slot", "rank")).alias("slots"))
-        same = [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)] + [F.col("parent") == F.col("above")]
-        inside = long.withColumn("above", F.shiftright("key", level)).join(wanted, same, "left_semi")
-        level = max(level - DIGIT_BITS, 0)
-        counts = inside.groupBy(*keys, "above", F.shiftright("key", level).alias("bucket")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        counts = counts.join(wanted, same).select(*keys, "above", "bucket", "n", "lo", "hi", "total", "slots")
-        hits = stage_table(_hits(counts, keys, [*keys, "above"], F.col("slots")), "rank-buckets")
+        inner = open_.groupBy("node", "bucket").agg(F.min("next").alias("next"), *[F.first(c).alias(c) for c in ("root", "total", "lo", "hi")],
+                                                    F.collect_list(F.struct("slot", "rank")).alias("slots"))
+        rows = (tagged.select("node", "bucket", "value").join(inner.select("node", "bucket", "next", "lo", "hi"), ["node", "bucket"])
+                .select(F.col("next").alias("node"), "value", "lo", "hi"))
+        wanted = inner.select("root", F.col("next").alias("node"), "total", "slots")
 
     stats, out = [], []
     for i, p in enumerate(probs):
@@ -111,7 +128,9 @@ def quantiles(df: DataFrame, cols: list[str], probs, by: list[str] | None = None
         stats += [*(F.max(F.when(F.col("slot") == 2 * i + side, F.col("value"))).alias(f"{end}{i}") for side, end in enumerate(("lo", "hi"))),
                   F.max(place - F.floor(place)).alias(f"f{i}")]
         out.append(F.col(f"lo{i}") + F.col(f"f{i}") * (F.col(f"hi{i}") - F.col(f"lo{i}")))
-    return reduce(DataFrame.unionByName, found).groupBy(*keys).agg(*stats).select(*keys, F.array(*out).alias("q"))
+    done = reduce(DataFrame.unionByName, found).groupBy("root").agg(*stats).select("root", F.array(*out).alias("q"))
+    name = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column") + 1)
+    return done.join(ranges, "root").select(*[F.col(g).alias(k) for k, g in zip(by, groups)], name.alias("column_name"), "q")
 
 
 def quantile_values(df: DataFrame, cols: list[str], probs) -> dict[str, list[float | None]]:

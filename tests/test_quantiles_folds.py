@@ -62,6 +62,26 @@ def test_quantiles_with_infinities_and_nan(spark):
     assert math.isnan(ag.quantile_values(df, ["x"], [1.0])["x"][0])
 
 
+def test_quantiles_of_ordinary_values_need_no_key_bits(spark, monkeypatch):
+    """Values spread over a range are told apart by equal parts of it, in two cheap passes; only mixed magnitudes need the key's logarithms."""
+    plans, stage = [], ag.stage_table
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(ag, "stage_table", seen)
+    df = spark.range(0, 200_000, 1, 4).select((F.col("id") * 7919 % 200_003 / 100 + 900).alias("x"), (F.col("id") % 50).alias("y"))
+    got = ag.quantile_values(df, ["x", "y"], PROBS)
+    assert np.allclose(got["x"], np.quantile([i * 7919 % 200_003 / 100 + 900 for i in range(200_000)], PROBS), rtol=1e-12, atol=0)
+    assert np.allclose(got["y"], np.quantile([i % 50 for i in range(200_000)], PROBS), rtol=1e-12, atol=0)
+    assert len(plans) <= 3 and not any("LOG2" in p.upper() for p in plans)
+    wide = spark.createDataFrame([(s * 10.0 ** e * m,) for e in range(-300, 300, 7) for m in (1, 2, 3) for s in (-1, 1)], "x double")
+    assert np.allclose(ag.quantile_values(wide, ["x"], PROBS)["x"],
+                       np.quantile([s * 10.0 ** e * m for e in range(-300, 300, 7) for m in (1, 2, 3) for s in (-1, 1)], PROBS), rtol=1e-12, atol=0)
+    assert any("LOG2" in p.upper() for p in plans)
+
+
 def test_values_are_neither_sorted_nor_staged(spark, monkeypatch):
     """What a pass stages are buckets of wanted ranks; windows sort bucket rows, and nothing is range-partitioned."""
     staged, stage = [], ag.stage_table
