@@ -167,3 +167,49 @@ def test_ablation_reports_every_round(spark):
     short = md.feature_pipeline(["a", "b", "c"], md.regressor("gbt", label="y", maxIter=2, maxDepth=2)).fit(train)
     want = md.regression_metrics(short.transform(test), "y").first()["rmse"]
     assert [abs(r["rmse"] - want) < 1e-9 for r in rows if (r["feature_set"], r["split"], r["round"]) == ("all", "evaluate", 2)] == [True]
+
+
+def repeated(spark, n=3000):
+    """Rows of few distinct vectors (60) and labels that differ within them."""
+    r = random.Random(4)
+    rows = [(i, float(r.randint(0, 4)), float(r.randint(0, 3)), float(r.randint(0, 2)), r.gauss(0, 1)) for i in range(n)]
+    return spark.createDataFrame([(i, a, b, c, 3 * a - b * c + e) for i, a, b, c, e in rows], "id long, a double, b double, c double, y double")
+
+
+def test_distinct_vectors_stand_for_their_rows(spark, monkeypatch):
+    df, cols, sizes, stage = repeated(spark), ["a", "b", "c"], {}, md.stage_table
+
+    def seen(frame, name):
+        table = stage(frame, name)
+        sizes[name] = max(sizes.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(md, "stage_table", seen)
+    est = md.regressor("gbt", label="y", maxIter=3, maxDepth=3)
+    train, test = df.filter("id % 3 > 0"), df.filter("id % 3 = 0")
+    rows = md.feature_set_ablation(train, test, {"all": cols}, "y", est).collect()
+    model = md.feature_pipeline(cols, est.copy()).fit(train)
+    for split, d in (("train", train), ("evaluate", test)):
+        want = md.regression_metrics(model.transform(d), "y").first()["rmse"]
+        assert abs(next(r["rmse"] for r in rows if r["split"] == split and r["round"] == 3) - want) < 1e-9
+    assert sizes["ablation-train"] <= 60 and sizes["ablation-evaluate"] <= 60
+
+    algos = {"tree": md.regressor("tree", label="y", maxDepth=3), "forest": md.regressor("forest", label="y", numTrees=8, maxDepth=4)}
+    found = {(r["algo"], r["fold"]): (r["train_r2"], r["test_r2"]) for r in md.kfold_scores(df, "id", [3], cols, "y", algos).collect()}
+    assert sizes["fold-cells"] <= 3 * 60
+    for fold in range(3):
+        learn, held = df.filter(f"floor(id / 1000) <> {fold}"), df.filter(f"floor(id / 1000) = {fold}")
+        for name, est in algos.items():
+            m = md.feature_pipeline(cols, est.copy()).fit(learn)
+            want = [md.regression_metrics(m.transform(d), "y").first()["r2"] for d in (learn, held)]
+            assert np.allclose(found[name, fold], want, atol=1e-9 if name == "tree" else 0.15), (name, fold)
+
+
+def test_bags_are_bootstrap_samples_of_the_rows(spark):
+    df = repeated(spark, 20_000)
+    cells = md.distinct_vectors(df, ["a"], "y", bags=2).collect()
+    assert sum(c["__n"] for c in cells) == 20_000
+    for b in (0, 1):
+        assert abs(sum(c[f"__n{b}"] for c in cells) - 20_000) < 6 * math.sqrt(20_000)
+        assert all(abs(c[f"__y{b}"] - c["y"]) < 6 * math.sqrt(2 * c["__within"]) / c["__n"] for c in cells)
+    assert [c["__n0"] for c in cells] != [c["__n1"] for c in cells]
