@@ -1,12 +1,14 @@
 """Token normalisers and taggers as vocabulary jobs and lookup joins.
 
-Stemming runs once per DISTINCT token (a pandas UDF over the vocabulary) and is
-joined back, so the Python helper's cost grows with the vocabulary, not with the
-corpus.  Stems and lemmas are lookup tables joined on the token, frequent tokens split off.
+Stemming is a pandas UDF that remembers the words it has met, so each task stems a
+distinct token once, where it stands: no token row is shuffled for its stem.  Lemmas are
+lookup tables joined on the token, frequent tokens split off.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +38,21 @@ PENN_TAGS = (
 )
 
 
+class _Stems(dict):
+    """Word to its stem; emptied when it grows past its bound."""
+
+    def __missing__(self, word):
+        if len(self) > 500_000:
+            self.clear()
+        stem = self[word] = porter_stem(word)
+        return stem
+
+
 @pandas_udf(T.StringType())
-def _stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(porter_stem)
+def _stem_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    stems = _Stems()
+    for words in batches:
+        yield pd.Series([stems[w] for w in words], dtype=object)
 
 
 def stem_vocabulary(long: DataFrame, term: str = "term") -> DataFrame:
@@ -47,16 +61,15 @@ def stem_vocabulary(long: DataFrame, term: str = "term") -> DataFrame:
 
 
 def stem_tokens(long: DataFrame, term: str = "term", out: str = "stem") -> DataFrame:
-    """Add the Porter stem of every token occurrence via the vocabulary table."""
-    v = stem_vocabulary(long, term).withColumnRenamed("stem", out)
-    return lookup_join(long, v, term, "left")
+    """Add the Porter stem of every token occurrence (one pass, no shuffle; null stays null)."""
+    return long.withColumn(out, _stem_udf(F.col(term)))
 
 
 def lemma_table_from_stems(long: DataFrame, term: str = "term", n: str | None = None) -> DataFrame:
     """A corpus-derived lemma table: every term maps to the most frequent surface form that
     shares its stem (ties → shortest, then smallest).  ``long`` has a row per token, or counts in ``n``."""
     counts = long.groupBy(term).agg((F.sum(n) if n else F.count(F.lit(1))).alias("n"))
-    st = counts.join(stem_vocabulary(long, term), term)
+    st = stage_table(stem_tokens(counts, term, "stem"), "stems")   # one row per distinct term
     rep = st.groupBy("stem").agg(F.min_by(term, F.struct((-F.col("n")).alias("a"), F.length(term).alias("b"),
                                                          F.col(term).alias("c"))).alias("lemma"))
     return st.join(rep, "stem").select(term, "lemma")

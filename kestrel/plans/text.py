@@ -220,12 +220,13 @@ def document_tag_counts(spark, sf):
 
 @register("document_stem_counts")
 def document_stem_counts(spark, sf):
-    """Porter stems of every token, computed once per distinct term and joined back;
+    """Porter stems of every token, computed once per distinct term of a task;
     distinct terms and stems per document (N10).  Python stemmer: rows-only check."""
     d = load(spark, sf, "documents")
-    terms = d.select("doc_id", F.explode(F.array_distinct(tx.terms("text", unicode=False))).alias("term"))
-    s = nz.stem_tokens(terms)
-    return s.groupBy("doc_id").agg(F.count_distinct("term").alias("n_terms"), F.count_distinct("stem").alias("n_stems"))
+    s = nz.stem_tokens(tx.distinct_tokens(d, "doc_id", tx.terms("text", unicode=False)))
+    # one shuffle: the steps below find a document's terms together (a stem depends on its term alone)
+    per_stem = s.repartition("doc_id").groupBy("doc_id", "stem", "term").agg(F.lit(1).alias("one")).groupBy("doc_id", "stem").agg(F.count(F.lit(1)).alias("n"))
+    return per_stem.groupBy("doc_id").agg(F.sum("n").alias("n_terms"), F.count(F.lit(1)).alias("n_stems"))
 
 
 @register("document_lemma_counts")
