@@ -237,7 +237,8 @@ def document_lemma_counts(spark, sf):
     counts = stage_table(tx.explode_tokens(d, "doc_id", tx.terms("text", unicode=False))
                          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     lem = nz.lemmatise(counts, nz.lemma_table_from_stems(counts, n="n"))
-    return lem.groupBy("doc_id").agg(F.count_distinct("lemma").alias("n_lemmas"), F.sum("n").alias("n_tokens"))
+    per_lemma = lem.select("doc_id", "lemma", "n").repartition("doc_id").groupBy("doc_id", "lemma").agg(F.sum("n").alias("n"))
+    return per_lemma.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lemmas"), F.sum("n").alias("n_tokens"))
 
 
 # ---------------------------------------------------------------- tagger with context, dictionary lemmas

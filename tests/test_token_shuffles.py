@@ -45,3 +45,16 @@ def test_stem_counts(spark, texts, monkeypatch):
     assert plan(out).count("Exchange hashpartitioning") == 1
     got = {r["doc_id"]: (r["n_terms"], r["n_stems"]) for r in out.collect()}
     assert got == {i: (len(c), len({porter_stem(w) for w in c})) for i, c in words_of_ids().items()}
+
+
+def test_lemma_counts(spark, texts, monkeypatch):
+    monkeypatch.setattr(plans, "load", lambda *a: texts)
+    out = plans.document_lemma_counts(spark, "")
+    assert plan(out).count("Exchange hashpartitioning(doc_id") == 1
+    of_ids, total, best = words_of_ids(), Counter(), {}
+    for c in of_ids.values():
+        total.update(c)
+    for w in sorted(total, key=lambda w: (-total[w], len(w), w)):
+        best.setdefault(porter_stem(w), w)
+    got = {r["doc_id"]: (r["n_lemmas"], r["n_tokens"]) for r in out.collect()}
+    assert got == {i: (len({best[porter_stem(w)] for w in c}), sum(c.values())) for i, c in of_ids.items()}
