@@ -150,7 +150,8 @@ def document_tfidf(spark, sf):
     """Smoothed TF-IDF with +1 idf and L2 row norm, long form."""
     d = load(spark, sf, "documents")
     n_docs = d.count()
-    long = tx.explode_tokens(d, "doc_id", tx.terms("text", unicode=False))
+    # the texts are shuffled, not their tokens: a document's are counted where they are
+    long = tx.explode_tokens(d.select("doc_id", "text").repartition("doc_id"), "doc_id", tx.terms("text", unicode=False))
     return tx.tfidf_long(long, "doc_id", n_docs).withColumn("weight", F.round("weight", R))
 
 

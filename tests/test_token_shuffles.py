@@ -58,3 +58,14 @@ def test_lemma_counts(spark, texts, monkeypatch):
         best.setdefault(porter_stem(w), w)
     got = {r["doc_id"]: (r["n_lemmas"], r["n_tokens"]) for r in out.collect()}
     assert got == {i: (len({best[porter_stem(w)] for w in c}), sum(c.values())) for i, c in of_ids.items()}
+
+
+def test_tfidf_of_repeated_ids(spark, texts, monkeypatch):
+    """Rows of one id are one document; texts are brought together by id, and their tokens counted there."""
+    monkeypatch.setattr(plans, "load", lambda *a: texts)
+    seen = []
+    real = tx.tfidf_long
+    monkeypatch.setattr(tx, "tfidf_long", lambda long, *a, **k: (seen.append(plan(long.groupBy("doc_id", "term").count())), real(long, *a, **k))[1])
+    got = {(r["doc_id"], r["term"]) for r in plans.document_tfidf(spark, "").collect() if r["doc_id"] is not None}
+    assert re.findall(r"Exchange hashpartitioning\(([a-z_]+)#\d+L?, \d+\)", seen[0]) == ["doc_id"] and seen[0].count("Exchange") == 1
+    assert got == {(i, w) for i, c in words_of_ids().items() for w in c if i is not None}
