@@ -58,8 +58,9 @@ def token_pairs(df: DataFrame, text: str) -> DataFrame:
 def abbreviation_scores(pairs: DataFrame) -> DataFrame:
     """``type, with_period, without, score`` of every word type that stands before a period."""
     ends = F.col("token").endswith(".")
-    counts = stage_table(pairs.select(_type(F.col("token")).alias("type"), ends.cast("long").alias("e")).groupBy("type")
-                         .agg(F.sum("e").alias("with_period"), F.sum(1 - F.col("e")).alias("without")), "period-counts")
+    tokens = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("n"))   # patterns run on distinct tokens only
+    counts = stage_table(tokens.select(_type(F.col("token")).alias("type"), "n", F.when(ends, F.col("n")).otherwise(0).alias("e")).groupBy("type")
+                         .agg(F.sum("e").alias("with_period"), F.sum(F.col("n") - F.col("e")).alias("without")), "period-counts")
     total = counts.agg(F.sum("with_period").alias("p"), F.sum(F.col("with_period") + F.col("without")).alias("n"))
     share = F.col("p") / F.col("n")
     k, n = F.col("with_period"), F.col("with_period") + F.col("without")
@@ -72,9 +73,12 @@ def abbreviation_scores(pairs: DataFrame) -> DataFrame:
 
 def starter_scores(pairs: DataFrame, abbreviations: tuple[str, ...]) -> DataFrame:
     """``word, after_end, n, score`` of every word that follows a clear sentence end."""
-    clear = F.col("token").rlike(r"[!?]$") | (F.col("token").endswith(".") & ~_type(F.col("token")).isin(list(abbreviations)) & ~F.col("token").rlike(r"^\p{L}\.$"))
-    rows = stage_table(pairs.filter("following IS NOT NULL").select(_starter(F.col("following")).alias("word"), clear.cast("long").alias("c"))
-                       .groupBy("word").agg(F.sum("c").alias("after_end"), F.count(F.lit(1)).alias("n")), "start-counts")
+    # the token's last two characters decide what its whole text would: blanks, line ends among them, are not in tokens
+    clear = F.right("token", F.lit(2)).rlike(r"[!?]$") | (F.col("token").endswith(".") & ~_type(F.col("token")).isin(list(abbreviations)) & ~F.col("token").rlike(r"^\p{L}\.$"))
+    followers = (pairs.filter("following IS NOT NULL").select("following", clear.cast("long").alias("c"))
+                 .groupBy("following").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")))   # patterns run on distinct followers only
+    rows = stage_table(followers.select(_starter(F.col("following")).alias("word"), "c", "n")
+                       .groupBy("word").agg(F.sum("c").alias("after_end"), F.sum("n").alias("n")), "start-counts")
     total = rows.agg(F.sum("after_end").alias("ends"), F.sum("n").alias("all"))
     k, m, n, everything = F.col("after_end"), F.col("ends"), F.col("n"), F.col("all")
     even, after, apart = n / everything, k / m, (n - k) / (everything - m)

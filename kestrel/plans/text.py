@@ -235,7 +235,8 @@ def document_lemma_counts(spark, sf):
     """Lemmatisation by lookup join against a lemma table derived from the corpus (each
     term → most frequent form of its stem class); distinct lemmas per document (N11)."""
     d = load(spark, sf, "documents")
-    counts = stage_table(tx.explode_tokens(d, "doc_id", tx.terms("text", unicode=False))
+    # the texts are shuffled, not their tokens: a document's are counted where they are
+    counts = stage_table(tx.explode_tokens(d.select("doc_id", "text").repartition("doc_id"), "doc_id", tx.terms("text", unicode=False))
                          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")), "term-counts")
     lem = nz.lemmatise(counts, nz.lemma_table_from_stems(counts, n="n"))
     per_lemma = lem.select("doc_id", "lemma", "n").repartition("doc_id").groupBy("doc_id", "lemma").agg(F.sum("n").alias("n"))

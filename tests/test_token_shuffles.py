@@ -69,3 +69,21 @@ def test_tfidf_of_repeated_ids(spark, texts, monkeypatch):
     got = {(r["doc_id"], r["term"]) for r in plans.document_tfidf(spark, "").collect() if r["doc_id"] is not None}
     assert re.findall(r"Exchange hashpartitioning\(([a-z_]+)#\d+L?, \d+\)", seen[0]) == ["doc_id"] and seen[0].count("Exchange") == 1
     assert got == {(i, w) for i, c in words_of_ids().items() for w in c if i is not None}
+
+
+def test_sentence_statistics_run_patterns_on_distinct_tokens(spark, monkeypatch):
+    rows = ["He met Dr. Smith. The end! The day? It ended. The", "Dr. Dr. who?! The  end. ", None, "", "one"]
+    df = stage_table(spark.createDataFrame([(t,) for t in rows], "text string"), "sentence-test")
+    pairs = st.token_pairs(df, "text")
+    tokens = [(t or "").split() for t in rows]
+    assert sorted((r["token"], r["following"] or "") for r in pairs.collect()) == sorted(p for t in tokens for p in zip(t, [*t[1:], ""]))
+    plans_seen = []
+    monkeypatch.setattr(st, "stage_table", lambda d, name: (plans_seen.append(plan(d)), stage_table(d, name))[1])
+    st.abbreviation_scores(pairs).collect()
+    got = {r["word"]: (r["after_end"], r["n"]) for r in st.starter_scores(pairs, ("dr",)).collect()}
+    assert all(p.count("Exchange hashpartitioning") == 2 for p in plans_seen)     # tokens are combined before any pattern
+    follow = [(p, f) for t in tokens for p, f in zip(t, t[1:])]
+    ends = lambda t: t[-1] in "!?" or t[-1] == "." and t.lower() != "dr."
+    words = {f.lower().strip(".!?") for _, f in follow}
+    want = {w: (sum(ends(p) for p, f in follow if f.lower().strip(".!?") == w), sum(f.lower().strip(".!?") == w for _, f in follow)) for w in words}
+    assert got == {w: x for w, x in want.items() if x[0]}
