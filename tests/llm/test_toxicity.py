@@ -103,3 +103,20 @@ def test_a_text_of_any_length_is_trained_on(spark):
     model = tx.fit(docs, labels)
     got = {r.doc_id: r.predicted for r in tx.toxicity_scores(spark.createDataFrame([(1, "snarl grumbleA grumbleB", "aa"), (2, "wort1 wort2", "aa")], docs.schema), model).collect()}
     assert got == {1: 1, 2: 0}
+
+
+def test_every_labelled_text_is_learnt_from(spark, monkeypatch):
+    """Counts and thresholds are those of all labelled texts, whatever their number; several learners are averaged."""
+    data = [(i, f"wort{i % 90} mot{i % 70} " + ("snarl" if i % 11 == 0 else f"only{i}"), "ab"[i % 2], int(i % 11 == 0)) for i in range(2600)]
+    docs, labels = frames(spark, data)
+    monkeypatch.setattr(tx, "SHARD_DOCS", 900, raising=False)
+    monkeypatch.setattr(tx, "EPOCHS", 2)
+    monkeypatch.setattr(tx, "LEAST_STEPS", 20)
+    model = tx.fit(docs, labels)
+    want = np.full((tx.BUCKETS + 1, 2), 0.1)
+    for _, text, lang, _ in data:
+        np.add.at(want[:, "ab".index(lang)], tx.rows_of(text.encode(), tx.WordRows()).ravel(), 1)
+    want = np.log(want / want.sum(axis=0))
+    assert np.allclose(model.languages[:tx.PAD], want[:tx.PAD], atol=1e-4)
+    got = {r.doc_id: r.predicted for r in tx.toxicity_scores(docs, model).collect()}
+    assert np.mean([got[i] == toxic for i, _, _, toxic in data]) > 0.98
