@@ -35,15 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import batch_of, having_ids, text_chunks
+from kestrel.llm.common import batch_of, having_ids, in_buckets, text_chunks
 from kestrel.llm.components import connected_components
 from kestrel.llm.decontaminate import WordHashes, hash_words
-from kestrel.operators.lookup import lookup_join
 from kestrel.session import drop_staged, stage_table
 
 SMALL_HUB = 16               # sets of a group whose pairs a join may write out
 BLOCK = 256                  # sets of a block of a larger group
-LARGE_HUB = 1 << 14          # sets of a hub above which its members meet under their rarest shingles only
+LARGE_HUB = 16               # sets of a hub above which its members meet under their rarest shingles only
+SHINGLE_BUCKETS = 1 << 16    # hash buckets by whose counts shingles are called rare
 KNOWN = 8                    # sets of one batch that make a tile known as shared
 BITMAP_BITS = 1 << 16        # widest bitmap of a set
 U = np.uint64
@@ -315,24 +315,54 @@ def _small_groups(rows: DataFrame, members: DataFrame, num: int, den: int) -> Da
     return _with_bitmaps(_ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fits), "x", "y"), members, num, den)
 
 
+def _shingle_counts(batches, width: int):
+    """How many sets of the task hold shingles of each hash bucket."""
+    schema = pa.schema([("bucket", pa.int32()), ("sets", pa.int64())])
+    hashes, held = WordHashes(), np.zeros(SHINGLE_BUCKETS, np.int64)
+    for _, texts in text_chunks(batches):
+        found = np.concatenate([shingle_hashes(t, width, hashes) for t in texts])
+        held += np.bincount(_bucket(found), minlength=SHINGLE_BUCKETS)
+    some = np.flatnonzero(held)
+    yield batch_of(schema, [some.astype(np.int32), held[some]])
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h % U(SHINGLE_BUCKETS)).astype(np.int64)
+
+
+def _rarest(batches, width: int, num: int, den: int, shared):
+    """Each set's first n - ceil(n num / den) + 1 shingles, those of the rarest hash buckets first."""
+    schema = pa.schema([("rep", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    hashes, held = WordHashes(), shared.value
+    for _, texts in text_chunks(batches):
+        sets = [h for h in (shingle_hashes(t, width, hashes) for t in texts) if len(h)]
+        keys = [h[np.argsort(held[_bucket(h)], kind="stable")[:len(h) + (-len(h) * num // den) + 1]].astype(np.int64) for h in sets]
+        yield batch_of(schema, [[_digest(h)[0] for h in sets], keys])
+
+
 def _by_rare_shingles(rows: DataFrame, src: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``key, rep, comp``: the members of large hubs under each of their rarest shingles.
+    """``key, rep, comp``: the members of large hubs that share one of their rarest shingles with another component, under hubs of these shingles.
 
-    Shingles are ordered by how many of these members hold them.  Linked sets hold so much in
-    common that both have a common shingle among their first n - ceil(n num / den) + 1, so no
-    link is lost; sets that share only what many share are not brought together.
+    Shingles are ordered by how many sets hold their hash bucket, then by hash; any order that all
+    sets share will do.  Linked sets hold so much in common that both have a common shingle
+    among their first n - ceil(n num / den) + 1, so no link is lost; sets that share only what
+    many share are not brought together.  Only these first shingles are shuffled; the texts are
+    scanned twice for them, where they are.
     """
     mine = stage_table(rows.select("rep", "comp").distinct(), "hub-members")
-    ids = docs.join(mine.select("rep"), "rep", "left_semi").select(F.col("doc").alias("doc_id")).distinct()
-    sets = (having_ids(src, stage_table(ids, "hub-ids"), "doc_id").mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>")
-            .dropDuplicates(["rep"]).join(mine, "rep"))
-    long = stage_table(sets.select("rep", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("key")), "hub-shingles")
-    held = lookup_join(long, long.groupBy("key").agg(F.count(F.lit(1)).alias("df")), "key")
-    rank = F.row_number().over(Window.partitionBy("rep").orderBy("df", "key"))   # one set's shingles
-    rare = stage_table(held.withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1)
-                       .select("key", "rep", "comp"), "rare-shingles")
-    drop_staged(long)
-    return rare
+    ids = stage_table(docs.join(mine.select("rep"), "rep", "left_semi").select(F.col("doc").alias("doc_id")).distinct(), "hub-ids")
+    texts = in_buckets(src, ids, ["doc_id"])    # a few other texts as well, which the join with ``mine`` leaves out
+    counts = texts.mapInArrow(lambda it: _shingle_counts(it, width), "bucket int, sets long").groupBy("bucket").agg(F.sum("sets").alias("sets")).toArrow()
+    held = np.zeros(SHINGLE_BUCKETS, np.int64)
+    held[counts.column("bucket").to_numpy()] = counts.column("sets").to_numpy()
+    shared = src.sparkSession.sparkContext.broadcast(held)
+    rare = (texts.mapInArrow(lambda it: _rarest(it, width, num, den, shared), "rep long, keys array<long>")
+            .dropDuplicates(["rep"]).join(mine, "rep").select(F.explode("keys").alias("key"), "rep", "comp"))
+    rare = stage_table(rare, "rare-shingles")
+    several = rare.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
+    held_by_several = stage_table(in_buckets(rare, stage_table(several, "open-shingles"), ["key"]).select("key", "rep"), "open-rare-shingles")
+    drop_staged(rare)
+    return _hubs(held_by_several).join(mine, "rep")
 
 
 def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, src: DataFrame, docs: DataFrame,
