@@ -14,11 +14,12 @@
    falls together without its pairs being written out.  From here on the tiles of one
    centre are one hub, so two sets that share many tiles are compared once.
 4. Second round: all pairs under a hub that the links so far do not connect.  Small hubs are
-   joined with themselves, larger ones cut to blocks of ``BLOCK`` sets compared block by block
-   (blocks of a hub's main component only with those of other sets).  The members of hubs
-   above ``LARGE_HUB`` are grouped anew under their rarest shingles first (a prefix filter, which
-   loses no link): a member is thus written for a bounded number of blocks, or once for each of
-   its rarest shingles, and sets that share only what many share do not meet.
+   joined with themselves.  The members of hubs above ``LARGE_HUB`` are grouped anew under their
+   rarest shingles (a prefix filter, which loses no link), so sets that share only what many share
+   do not meet: a member is written once for each of its rarest shingles, however many sets
+   its hub holds.  Shingles that members of several components hold form hubs as tiles do; those above
+   ``SMALL_HUB`` are cut to blocks of ``BLOCK`` sets compared block by block (blocks of a
+   hub's main component only with those of other sets).
 5. In both rounds bit counts of the bitmaps bound the overlap from above; the pairs left are
    decided by intersecting the sorted arrays of only those documents, read again.
 6. Components of the links, joined back through the classes.
@@ -35,15 +36,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import batch_of, having_ids, text_chunks
+from kestrel.llm.common import batch_of, having_ids, in_buckets, text_chunks
 from kestrel.llm.components import connected_components
 from kestrel.llm.decontaminate import WordHashes, hash_words
-from kestrel.operators.lookup import lookup_join
 from kestrel.session import drop_staged, stage_table
 
 SMALL_HUB = 16               # sets of a group whose pairs a join may write out
 BLOCK = 256                  # sets of a block of a larger group
-LARGE_HUB = 1 << 14          # sets of a hub above which its members meet under their rarest shingles only
+LARGE_HUB = 16               # sets of a hub above which its members meet under their rarest shingles only
+SHINGLE_BUCKETS = 1 << 20    # hash buckets by whose counts shingles are called rare
+COUNT_BLOCK = 1 << 12        # buckets of a row of counts
 KNOWN = 8                    # sets of one batch that make a tile known as shared
 BITMAP_BITS = 1 << 16        # widest bitmap of a set
 U = np.uint64
@@ -315,24 +317,58 @@ def _small_groups(rows: DataFrame, members: DataFrame, num: int, den: int) -> Da
     return _with_bitmaps(_ordered(x.join(y, "key").filter((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fits), "x", "y"), members, num, den)
 
 
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h % U(SHINGLE_BUCKETS)).astype(np.int64)
+
+
+def _shingle_counts(batches, width: int):
+    """How many sets of the task hold shingles of each hash bucket, in blocks of ``COUNT_BLOCK`` buckets."""
+    schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
+    hashes, held = WordHashes(), np.zeros(SHINGLE_BUCKETS, np.int32)
+    for _, texts in text_chunks(batches):
+        held += np.bincount(_bucket(np.concatenate([shingle_hashes(t, width, hashes) for t in texts])), minlength=SHINGLE_BUCKETS).astype(np.int32)
+    if held.any():
+        blocks = held.reshape(-1, COUNT_BLOCK)
+        yield batch_of(schema, [np.arange(len(blocks)), [x.tobytes() for x in blocks]])
+
+
+def _summed_counts(table: pa.Table) -> pa.Table:
+    total = sum((np.frombuffer(x.as_buffer(), np.int32) for x in table.column("counts")), np.zeros(COUNT_BLOCK, np.int64))
+    return pa.table({"block": table.column("block")[:1], "counts": pa.array([np.minimum(total, 2 ** 31 - 1).astype(np.int32).tobytes()], pa.binary())})
+
+
+def _rarest(batches, width: int, num: int, den: int, shared):
+    """Each set's first n - ceil(n num / den) + 1 shingles, those of the rarest hash buckets first."""
+    schema = pa.schema([("rep", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    hashes, held = WordHashes(), shared.value
+    for _, texts in text_chunks(batches):
+        sets = [h for h in (shingle_hashes(t, width, hashes) for t in texts) if len(h)]
+        keys = [h[np.argsort(held[_bucket(h)], kind="stable")[:len(h) + (-len(h) * num // den) + 1]].astype(np.int64) for h in sets]
+        yield batch_of(schema, [[_digest(h)[0] for h in sets], keys])
+
+
 def _by_rare_shingles(rows: DataFrame, src: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``key, rep, comp``: the members of large hubs under each of their rarest shingles.
+    """``key, rep, comp``: the members of large hubs that share one of their rarest shingles with another component, under hubs of these shingles.
 
-    Shingles are ordered by how many of these members hold them.  Linked sets hold so much in
-    common that both have a common shingle among their first n - ceil(n num / den) + 1, so no
-    link is lost; sets that share only what many share are not brought together.
+    Shingles are ordered by how many sets hold their hash bucket, then by hash; any order that all
+    sets share will do.  Linked sets hold so much in common that both have a common shingle
+    among their first n - ceil(n num / den) + 1, so no link is lost; sets that share only what
+    many share are not brought together.  The texts are scanned twice where they are, and only
+    these first shingles are shuffled.  Two sets that share many of them meet once, as in ``_hubs``.
     """
     mine = stage_table(rows.select("rep", "comp").distinct(), "hub-members")
-    ids = docs.join(mine.select("rep"), "rep", "left_semi").select(F.col("doc").alias("doc_id")).distinct()
-    sets = (having_ids(src, stage_table(ids, "hub-ids"), "doc_id").mapInArrow(lambda it: _sets(it, width), "rep long, hashes array<long>")
-            .dropDuplicates(["rep"]).join(mine, "rep"))
-    long = stage_table(sets.select("rep", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("key")), "hub-shingles")
-    held = lookup_join(long, long.groupBy("key").agg(F.count(F.lit(1)).alias("df")), "key")
-    rank = F.row_number().over(Window.partitionBy("rep").orderBy("df", "key"))   # one set's shingles
-    rare = stage_table(held.withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1)
-                       .select("key", "rep", "comp"), "rare-shingles")
-    drop_staged(long)
-    return rare
+    ids = stage_table(docs.join(mine.select("rep"), "rep", "left_semi").select(F.col("doc").alias("doc_id")).distinct(), "hub-ids")
+    texts = in_buckets(src, ids, ["doc_id"])    # and a few others, which the join with ``mine`` leaves out
+    counts = (texts.mapInArrow(lambda it: _shingle_counts(it, width), "block int, counts binary")
+              .groupBy("block").applyInArrow(_summed_counts, "block int, counts binary").toArrow().sort_by("block"))
+    shared = src.sparkSession.sparkContext.broadcast(np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in counts.column("counts")]))
+    sets = stage_table(texts.mapInArrow(lambda it: _rarest(it, width, num, den, shared), "rep long, keys array<long>")
+                       .join(mine, "rep").dropDuplicates(["rep"]), "rarest")
+    rare = sets.select(F.explode("keys").alias("key"), "rep", "comp")
+    several = stage_table(rare.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key"), "open-shingles")
+    shared_keys = stage_table(in_buckets(rare.select("key", "rep"), several, ["key"]).join(several, "key", "left_semi"), "rare-shingles")
+    drop_staged(sets)
+    return _hubs(shared_keys).join(mine, "rep").select("key", "rep", "comp")
 
 
 def _open_pairs(hubs: DataFrame, members: DataFrame, links: DataFrame, decided: DataFrame, src: DataFrame, docs: DataFrame,

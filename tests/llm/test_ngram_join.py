@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kestrel.llm import common
 from kestrel.llm import ngram_join as nj
@@ -152,3 +153,53 @@ def test_a_text_stays_unless_one_linked_with_it_does(spark):
 
 def _text_components(texts):
     return brute(list(enumerate(texts)), 5, 80, 100)
+
+
+def _sharing(sets, own=60):
+    """Sets that share 100 words and have some of their own: one hub of all, in which none links."""
+    return [(i, " ".join(f"c{k}" for k in range(100)) + " " + " ".join(f"w{i}x{k}" for k in range(own))) for i in range(sets)]
+
+
+def test_rows_dealt_to_blocks_do_not_grow_with_the_square_of_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 16)
+    dealt, block_groups = [], nj._block_groups
+
+    def spy(rows, *rest):
+        blocks = F.when(F.col("comp") == F.col("main"), F.col("s")).otherwise(F.col("s") + F.col("s_main"))
+        dealt.append(rows.agg(F.coalesce(F.sum(blocks), F.lit(0))).first()[0])
+        return block_groups(rows, *rest)
+
+    monkeypatch.setattr(nj, "_block_groups", spy)
+    rows = _sharing(400)
+    out = nj.linked_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.component_id) for r in out.collect()} == {(i, i) for i, _ in rows}
+    assert sum(dealt) <= 2 * len(rows)
+
+
+def test_links_inside_a_hub_of_many_sets_are_kept(spark):
+    """Near copies of some members of a large hub are linked with them."""
+    rows = _sharing(60)
+    rows += [(100 + i, text + f" more{i}") for i, text in rows[::7]]
+    want = brute(rows, 5, 80, 100)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in nj.linked_components(df).collect()) == want
+    assert any(i != c for i, _, c in want)
+
+
+def test_rarest_shingles_of_linked_sets_meet_whatever_the_counts():
+    class Counts:
+        pass
+
+    r, words = random.Random(3), [f"w{k}" for k in range(300)]
+    for num in (50, 80, 90):
+        Counts.value = np.array([r.randrange(4) for _ in range(nj.SHINGLE_BUCKETS)], np.int32)
+        for _ in range(40):
+            a = r.choices(words, k=r.randrange(1, 60))
+            b = list(a)
+            for _ in range(r.randrange(0, 4)):
+                b[r.randrange(len(b))] = r.choice(words)
+            texts = [" ".join(x) for x in (a, b)]
+            x, y = (nj.shingle_hashes(t.encode(), 1, nj.WordHashes()) for t in texts)
+            common_hashes = nj.overlap(x, y)
+            keys = [set(k) for p in nj._rarest([pa.RecordBatch.from_pydict({"text": texts})], 1, num, 100, Counts) for k in p.to_pydict()["keys"]]
+            assert 100 * common_hashes < num * (len(x) + len(y) - common_hashes) or keys[0] & keys[1]
