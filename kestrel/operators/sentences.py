@@ -3,8 +3,9 @@
 Unsupervised, after Kiss and Strunk (2006): a word that nearly always stands before a period,
 is short and often has periods inside, is an abbreviation; a word that follows clear sentence
 ends far more often than chance is a sentence starter.  Both come from counts per word type
-(distributed, combined map-side).  The model is two bounded word lists, applied as hash sets in
-column expressions, so splitting is one pass without a shuffle.
+(distributed, combined map-side).  A model holds every word found.  A list of up to
+``MODEL_ENTRIES`` words is applied as a hash set in column expressions, so splitting is one pass
+without a shuffle; a longer one stays a table, which the texts' candidate words are joined with.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.lookup import lookup_join
 from kestrel.session import stage_table
 
 # Thresholds of the published method.
 ABBREVIATION_SCORE, STARTER_SCORE = 0.3, 30.0
 ALWAYS = 0.99                # how often a period follows an abbreviation
-MODEL_ENTRIES = 5000         # abbreviations, and starters, that a model holds: those of the highest scores
+MODEL_ENTRIES = 5000         # words of a list that expressions hold; more stay a table
 BLANKS = " \n\t\r"
 BLANK_RUN = f"[{BLANKS}]+"
 CANDIDATE = f"([.!?][{BLANKS}]+)"   # where a sentence may end
@@ -28,8 +30,9 @@ EDGES = r"^[^\p{L}]+|[^\p{L}]+$"
 
 
 class SentenceModel(NamedTuple):
-    abbreviations: tuple[str, ...]   # lower-cased, without the final period
-    starters: tuple[str, ...]        # lower-cased
+    """Words as a tuple, or as a table of distinct ``word`` where they are many."""
+    abbreviations: tuple[str, ...] | DataFrame   # lower-cased, without the final period
+    starters: tuple[str, ...] | DataFrame        # lower-cased
 
 
 def _type(token: Column) -> Column:
@@ -71,12 +74,23 @@ def abbreviation_scores(pairs: DataFrame) -> DataFrame:
             .select("type", "with_period", "without", F.when(share < 1, score).otherwise(F.lit(0.0)).alias("score")))
 
 
-def starter_scores(pairs: DataFrame, abbreviations: tuple[str, ...]) -> DataFrame:
+def _single_letter(token: Column) -> Column:
+    return token.rlike(r"^\p{L}\.$")
+
+
+def starter_scores(pairs: DataFrame, abbreviations: tuple[str, ...] | DataFrame) -> DataFrame:
     """``word, after_end, n, score`` of every word that follows a clear sentence end."""
     # the token's last two characters decide what its whole text would: blanks, line ends among them, are not in tokens
-    clear = F.right("token", F.lit(2)).rlike(r"[!?]$") | (F.col("token").endswith(".") & ~_type(F.col("token")).isin(list(abbreviations)) & ~F.col("token").rlike(r"^\p{L}\.$"))
-    followers = (pairs.filter("following IS NOT NULL").select("following", clear.cast("long").alias("c"))
+    token, pairs = F.col("token"), pairs.filter("following IS NOT NULL")
+    loud, dotted = F.right("token", F.lit(2)).rlike(r"[!?]$"), token.endswith(".") & ~_single_letter(token)
+    many = isinstance(abbreviations, DataFrame)
+    clear = loud if many else loud | (dotted & ~_type(token).isin(list(abbreviations)))
+    followers = (pairs.select("following", clear.cast("long").alias("c"))
                  .groupBy("following").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")))   # patterns run on distinct followers only
+    if many:
+        ends = stage_table(pairs.filter(dotted).groupBy(_type(token).alias("word"), "following").agg(F.count(F.lit(1)).alias("c")), "period-followers")
+        ends = lookup_join(ends, abbreviations.select("word", F.lit(True).alias("known")), "word", "left").filter("known IS NULL")
+        followers = followers.unionByName(ends.select("following", "c", F.lit(0).alias("n")))
     rows = stage_table(followers.select(_starter(F.col("following")).alias("word"), "c", "n")
                        .groupBy("word").agg(F.sum("c").alias("after_end"), F.sum("n").alias("n")), "start-counts")
     total = rows.agg(F.sum("after_end").alias("ends"), F.sum("n").alias("all"))
@@ -88,34 +102,79 @@ def starter_scores(pairs: DataFrame, abbreviations: tuple[str, ...]) -> DataFram
 
 
 def learn_sentences(df: DataFrame, text: str = "text", entries: int = MODEL_ENTRIES) -> SentenceModel:
-    """Model from all texts of ``df``; of more than ``entries`` words of a kind the highest scores are kept (ties: smallest word)."""
+    """Model from all texts of ``df``: every word of either kind that reaches its score; more than ``entries`` words stay a table."""
     pairs = token_pairs(df, text)
 
-    def best(scores: DataFrame, word: str, least: float) -> tuple[str, ...]:
-        top = scores.filter(F.col("score") >= least).orderBy(F.desc("score"), word).limit(entries)
-        return tuple(r[word] for r in top.collect())
+    def found(scores: DataFrame, word: str, least: float) -> tuple[str, ...] | DataFrame:
+        words = stage_table(scores.filter(F.col("score") >= least).select(F.col(word).alias("word"), "score"), "model-words")
+        if words.count() > entries:
+            return words.select("word")
+        return tuple(r["word"] for r in words.orderBy(F.desc("score"), "word").collect())
 
-    abbreviations = best(abbreviation_scores(pairs), "type", ABBREVIATION_SCORE)
-    return SentenceModel(abbreviations, best(starter_scores(pairs, abbreviations), "word", STARTER_SCORE))
+    abbreviations = found(abbreviation_scores(pairs), "type", ABBREVIATION_SCORE)
+    return SentenceModel(abbreviations, found(starter_scores(pairs, abbreviations), "word", STARTER_SCORE))
 
 
-def sentences(text: str | Column, model: SentenceModel) -> Column:
-    """ARRAY of a text's sentences, without the blanks between them; null for a null text.
+def _pieces(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, CANDIDATE, f"$1{MARK}"), MARK)
+
+
+def _with_next(pieces: Column) -> Column:
+    """Structs ``p, f``: each piece beside the next one (the last: null), so that pieces are not looked up again for every piece."""
+    after = F.concat(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    return F.arrays_zip(pieces.alias("p"), after.alias("f"))
+
+
+def _last(piece: Column) -> Column:
+    return F.regexp_extract(F.rtrim(F.regexp_replace(piece, BLANK_RUN + "$", "")), f"([^{BLANKS}]+)$", 1)
+
+
+def _first(piece: Column) -> Column:
+    return F.regexp_extract(piece, f"^[{BLANKS}]*([^{BLANKS}]+)", 1)
 
-    A candidate end is ``.``, ``!`` or ``?`` before blanks.  A period after an abbreviation or a
-    single letter ends a sentence only before a capitalised sentence starter.
-    """
-    pieces = F.split(F.regexp_replace(F.col(text) if isinstance(text, str) else text, CANDIDATE, f"$1{MARK}"), MARK)
 
+def _split(text: Column, is_abbreviation, is_starter) -> Column:
+    """The sentences of a text; both functions tell of a column of words whether they are of that kind."""
     def ended(piece: Column, following: Column) -> Column:
-        last = F.regexp_extract(F.rtrim(F.regexp_replace(piece, BLANK_RUN + "$", "")), f"([^{BLANKS}]+)$", 1)
-        word = F.regexp_extract(following, f"^[{BLANKS}]*([^{BLANKS}]+)", 1)
-        unsure = last.endswith(".") & (_type(last).isin(list(model.abbreviations)) | last.rlike(r"^\p{L}\.$"))
-        starts = word.rlike(r"^[^\p{L}]*\p{Lu}") & _starter(word).isin(list(model.starters))
+        last, word = _last(piece), _first(following)
+        unsure = last.endswith(".") & (is_abbreviation(_type(last)) | _single_letter(last))
+        starts = word.rlike(r"^[^\p{L}]*\p{Lu}") & is_starter(_starter(word))
         return F.when(unsure & ~starts, F.lit("")).otherwise(F.lit(MARK))
 
-    # each piece beside the next one: the pieces are not looked up again for every piece
-    after = F.concat(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    marked = F.transform(F.arrays_zip(pieces.alias("p"), after.alias("f")),
+    marked = F.transform(_with_next(_pieces(text)),
                          lambda x: F.concat(x["p"], F.when(x["f"].isNull(), F.lit("")).otherwise(ended(x["p"], x["f"]))))
     return F.transform(F.split(F.array_join(marked, ""), MARK), lambda s: F.regexp_replace(s, BLANK_RUN + "$", ""))
+
+
+def sentences(text: str | Column, model: SentenceModel) -> Column:
+    """ARRAY of a text's sentences, without the blanks between them; null for a null text.
+
+    A candidate end is ``.``, ``!`` or ``?`` before blanks.  A period after an abbreviation or a
+    single letter ends a sentence only before a capitalised sentence starter.  For a model of
+    two tuples; ``split_sentences`` takes any.
+    """
+    return _split(F.col(text) if isinstance(text, str) else text, lambda w: w.isin(list(model.abbreviations)), lambda w: w.isin(list(model.starters)))
+
+
+def split_sentences(df: DataFrame, text: str, model: SentenceModel, out: str = "sentences") -> DataFrame:
+    """``df`` with the column ``out``, the ``sentences`` of its texts, however many words the model has.
+
+    Where a list is a table, the distinct words of each text that may stand in it (last words
+    before candidate ends, first words after them) are joined with it, and what is found is joined back to the text.
+    """
+    if not any(isinstance(words, DataFrame) for words in model):
+        return df.withColumn(out, sentences(text, model))
+    free = "_" * (1 + max(map(len, [*df.columns, out])))  # longer than any column's name, so it is none of them
+    rows = stage_table(df.withColumn(free, F.monotonically_increasing_id()), "texts")
+    ends = F.filter(_with_next(_pieces(F.col(text))), lambda x: x["f"].isNotNull() & _last(x["p"]).endswith("."))
+    parts = {"a": lambda x: _type(_last(x["p"])), "s": lambda x: _starter(_first(x["f"]))}
+    known, data = {}, rows
+    for (kind, word), words in zip(parts.items(), model):
+        if not isinstance(words, DataFrame):
+            known[kind] = lambda w, words=words: w.isin(list(words))
+            continue
+        met = stage_table(rows.select(free, F.explode(F.array_distinct(F.transform(ends, word))).alias("word")), "end-words")
+        held = lookup_join(met, words, "word").groupBy(free).agg(F.collect_list("word").alias(free + kind))   # one text's words
+        data = data.join(held, free, "left")
+        known[kind] = lambda w, c=free + kind: F.array_contains(F.coalesce(F.col(c), F.array().cast("array<string>")), w)
+    return data.withColumn(out, _split(F.col(text), known["a"], known["s"])).select(*df.columns, out)

@@ -81,7 +81,11 @@ def sentence_abbreviations(spark, sf):
     return scores.withColumn("score", F.round("score", R))
 
 
-@register("document_learnt_sentences", sql=LEARNT_SQL.replace("WITH toks", "WITH " + STAND_IN_SQL + " toks") + r""",
+# Every word that reaches its score decides, however many there are.
+WHOLE_SQL = LEARNT_SQL.replace(" ORDER BY score DESC, type LIMIT 5000", "").replace(" ORDER BY score DESC, word LIMIT 5000", "")
+
+
+@register("document_learnt_sentences", sql=WHOLE_SQL.replace("WITH toks", "WITH " + STAND_IN_SQL + " toks") + r""",
 pieces AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?][ \n\t\r]+)', '\1' || chr(1), 'g'), chr(1)) AS ps FROM documents),
 each AS (SELECT doc_id, len(ps) AS total, unnest(range(1, len(ps) + 1)) AS i, unnest(ps) AS piece, unnest(list_append(ps[2:], NULL)) AS nxt FROM pieces),
 seen AS (SELECT *, regexp_extract(regexp_replace(piece, '[ \n\t\r]+$', ''), '([^ \n\t\r]+)$', 1) AS last, regexp_extract(nxt, '^[ \n\t\r]*([^ \n\t\r]+)', 1) AS word FROM each),
@@ -95,8 +99,8 @@ SELECT doc_id, CAST(len(ss) AS INTEGER) AS n_sentences, CAST(list_max(list_trans
 def document_learnt_sentences(spark, sf):
     """Sentences per document where abbreviations and sentence starters learnt from all texts decide."""
     d = _stand_in_abbreviations(load(spark, sf, "documents"))
-    ss = st.sentences("text", st.learn_sentences(d))
-    return d.select("doc_id", ss.alias("ss")).select("doc_id", F.size("ss").alias("n_sentences"), F.array_max(F.transform("ss", lambda s: F.length(s))).alias("longest"))
+    ss = st.split_sentences(d, "text", st.learn_sentences(d), "ss")
+    return ss.select("doc_id", F.size("ss").alias("n_sentences"), F.array_max(F.transform("ss", lambda s: F.length(s))).alias("longest"))
 
 
 @register("document_word_tokens", sql="""

@@ -82,6 +82,19 @@ def test_learnt_sentence_ends_survive_abbreviations(spark):
     assert st.learn_sentences(docs.limit(0)) == st.SentenceModel((), ())
 
 
+def test_words_above_a_models_entries_decide_too(spark):
+    learnt = spark.createDataFrame(list(enumerate(chatter(400, 3))), "doc long, text string")
+    rows = [(i, t) for i, t in enumerate([*chatter(40, 4), "Yesterday Dr. Adams spoke. The room was full.  He left early! Mr. Jones stayed.", "She saw the Dr. The man left.",
+                                          "She saw the Mr. He left.", "He met J. Smith. He ran.", "no end", "", None])]
+    docs = spark.createDataFrame([*rows, (7, "Dr. Adams left. He ran."), (None, "Mr. Brown left. The end.")], "doc long, text string")
+    want = sorted((tuple(r) for r in st.split_sentences(docs, "text", st.learn_sentences(learnt), "s").collect()), key=str)
+    whole = st.learn_sentences(learnt, entries=1)     # both lists have two words
+    assert sorted(r.word for r in whole.abbreviations.collect()) == ["dr", "mr"] and sorted(r.word for r in whole.starters.collect()) == ["he", "the"]
+    mixed = [st.SentenceModel(whole.abbreviations, ("the", "he")), st.SentenceModel(("dr", "mr"), whole.starters)]
+    for model in (whole, *mixed):
+        assert sorted((tuple(r) for r in st.split_sentences(docs, "text", model, "s").collect()), key=str) == want
+
+
 def test_viterbi_is_the_best_of_all_paths():
     r = np.random.default_rng(2)
     for _ in range(60):
