@@ -7,8 +7,8 @@
    following from the band, so when the hash range is cut to more than H segments at least
    one segment is equal in both.  Each set is dealt to one tile per segment: (band, segment,
    content), in the scheme of its band and of the next one if it can link upwards.  Only
-   tiles of several sets are kept.  What a batch knows to be a shared tile is not gathered
-   on its key, so one tile of very many sets is not one task.
+   tiles of several sets are kept; they are gathered in ``TILE_PASSES`` parts by key.  What a batch
+   knows to be a shared tile is not gathered on its key, so one tile of very many sets is not one task.
 3. First round: every member of a tile meets the tile's centre, the member that shares most
    tiles.  In a group of near copies that is the text they derive from, so the group
    falls together without its pairs being written out.  From here on the tiles of one
@@ -46,6 +46,7 @@ BLOCK = 256                  # sets of a block of a larger group
 LARGE_HUB = 16               # sets of a hub above which its members meet under their rarest shingles only
 SHINGLE_BUCKETS = 1 << 20    # hash buckets by whose counts shingles are called rare
 COUNT_BLOCK = 1 << 12        # buckets of a row of counts
+TILE_PASSES = 4              # parts of the tiles that are gathered one after the other, so that not all of them are on disk twice
 KNOWN = 8                    # sets of one batch that make a tile known as shared
 BITMAP_BITS = 1 << 16        # widest bitmap of a set
 U = np.uint64
@@ -401,6 +402,15 @@ def _block_groups(rows: DataFrame, members: DataFrame, num: int, den: int) -> Da
             .applyInArrow(lambda t: _block_pairs(t, num, den), "a long, b long"))
 
 
+def _shared_tiles(sets: DataFrame) -> list[DataFrame]:
+    """``key, d1``: the tiles of several sets, part by part of the keys."""
+    tile = Window.partitionBy("key", "route")
+    tiles = sets.select("d1", F.inline("tiles"))
+    return [stage_table(tiles.filter(F.pmod("key", F.lit(TILE_PASSES)) == part)
+                        .select("key", "d1", "route", F.min("d1").over(tile).alias("lo"), F.max("d1").over(tile).alias("hi"))
+                        .filter("route > 0 OR lo <> hi").select("key", "d1").distinct(), "shared-tiles") for part in range(TILE_PASSES)]
+
+
 def _sets_and_links(src: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, links): per row its set, per distinct set its smallest id, and the pairs of distinct sets that link.
 
@@ -410,11 +420,8 @@ def _sets_and_links(src: DataFrame, width: int, num: int, den: int) -> tuple[Dat
                                       "doc_id long, mark long, n long, d1 long, d2 long, bits binary, tiles array<struct<key:long,route:int>>"), "sets")
     classes = stage_table(sets.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.max("n").alias("n")), "classes")
 
-    tile = Window.partitionBy("key", "route")
-    shared = (sets.select("d1", F.inline("tiles"))
-              .select("key", "d1", "route", F.min("d1").over(tile).alias("lo"), F.max("d1").over(tile).alias("hi"))
-              .filter("route > 0 OR lo <> hi").select("key", "d1").distinct())
-    shared = stage_table(shared, "shared-tiles")
+    parts = _shared_tiles(sets)
+    shared = reduce(DataFrame.unionByName, parts)
     known = stage_table(classes.filter("doc IS NOT NULL").join(shared.select("d1").distinct(), "d1", "left_semi")
                         .select("d2", F.col("d1").alias("rep"), "doc", "n"), "known")
     tiles = stage_table(shared.withColumnRenamed("d1", "rep").join(known.select("rep"), "rep", "left_semi").select("key", "rep"), "tiles")
@@ -422,8 +429,8 @@ def _sets_and_links(src: DataFrame, width: int, num: int, den: int) -> tuple[Dat
                           .dropDuplicates(["rep"]).select("rep", "n", "bits"), "members")
     docs = known.select("rep", "doc")
     rows = stage_table(sets.select("doc_id", "mark", "n", "d1", "d2"), "set-rows")
-    drop_staged(sets)  # bitmaps and tiles of sets that share none are not needed any more
-    drop_staged(shared)
+    for table in (sets, *parts):  # bitmaps and tiles of sets that share none are not needed any more
+        drop_staged(table)
 
     hubs = _hubs(tiles)
     decided, links = _decide(_with_bitmaps(_ordered(hubs, "rep", "key"), members, num, den), src, docs, width, num, den)

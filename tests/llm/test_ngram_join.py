@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from kestrel.llm import common
 from kestrel.llm import ngram_join as nj
 from kestrel.llm.components import connected_components
+from kestrel.session import stage_table
 
 
 def brute(rows, width, num, den):
@@ -203,3 +205,25 @@ def test_rarest_shingles_of_linked_sets_meet_whatever_the_counts():
             common_hashes = nj.overlap(x, y)
             keys = [set(k) for p in nj._rarest([pa.RecordBatch.from_pydict({"text": texts})], 1, num, 100, Counts) for k in p.to_pydict()["keys"]]
             assert 100 * common_hashes < num * (len(x) + len(y) - common_hashes) or keys[0] & keys[1]
+
+
+def test_shuffle_files_go_when_a_table_is_staged(spark):
+    """Disk of a stage: not all of its shuffles at once, and its tiles part by part."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {n for n in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in n}
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", held()
+    setting = spark.conf.get(key)
+    table = stage_table(spark.range(0, 50_000, 1, 4).groupBy((F.col("id") % 977).alias("k")).count(), "shuffled")
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before and table.count() == 977 and spark.conf.get(key) == setting
+
+
+def test_tiles_are_gathered_in_parts(spark):
+    rows = [(i, [{"key": k, "route": 0} for k in range(-20, 20) if (k + i) % 3 == 0] + ([{"key": 99, "route": 1 + i}] if i < 3 else [])) for i in range(9)] + [(50, [{"key": 1000, "route": 0}])]
+    sets = stage_table(spark.createDataFrame(rows, "d1 long, tiles array<struct<key:long,route:int>>"), "tile-test")
+    parts = [sorted(map(tuple, p.collect())) for p in nj._shared_tiles(sets)]
+    assert len(parts) == nj.TILE_PASSES > 1 and all(len({k % nj.TILE_PASSES for k, _ in p}) == 1 for p in parts)
+    assert sorted(sum(parts, [])) == sorted((t["key"], d) for d, tiles in rows[:-1] for t in tiles)
