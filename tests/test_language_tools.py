@@ -210,3 +210,15 @@ def test_nearest_equals_comparing_all(spark, others_only):
             want[i] = min(scored)
     assert set(got) == set(want) and all(got[i][0] == j and abs(got[i][1] + s) < 2e-9 for i, (s, j) in want.items())
     assert sum(n for _, _, n in got.values()) < pairs / 2
+
+
+def test_nearest_takes_queries_in_parts(spark, monkeypatch):
+    r = random.Random(5)
+    vectors = {i: {w: 1 / math.sqrt(5) for w in r.sample([f"w{k}" for k in range(30)], 5)} for i in range(80)}
+    long = spark.createDataFrame([(i, t, w) for i, v in vectors.items() for t, w in v.items()], "id long, term string, weight double")
+    names, stage = [], rt.stage_table
+    monkeypatch.setattr(rt, "stage_table", lambda df, name: names.append(name) or stage(df, name))
+    whole = sorted(map(tuple, rt.nearest(long, long, "id", "id", others_only=True).collect()))
+    assert names.count("open-pairs") == 1
+    assert sorted(map(tuple, rt.nearest(long, long, "id", "id", others_only=True, part_rows=1500).collect())) == whole and len(whole) == 80
+    assert names.count("open-pairs") > 2
